@@ -1,0 +1,7 @@
+"""Intentionally empty.
+
+The application this library re-creates is batch only: it has no stream
+source, sink, watermark or stateful operator, so there is nothing to put
+here. Fitted ``PipelineModel`` objects from ``tabreg`` are plain Spark ML
+transformers and can be applied to a streaming DataFrame as they are.
+"""
