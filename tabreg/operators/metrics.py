@@ -15,21 +15,40 @@ from pyspark.sql import functions as F
 PREDICTION = "prediction"
 
 
-def _metric_aggs(label: str, prediction: str) -> list[Column]:
+def _metric_aggs(label: str, prediction: str, prefix: str = "") -> list[Column]:
     y, p = F.col(label), F.col(prediction)
     e = y - p
     return [
-        F.count(F.lit(1)).alias("n"),
-        F.avg(e * e).alias("mse"),
-        F.avg(F.abs(e)).alias("mae"),
-        F.var_pop(y).alias("var_label"),
-        F.var_pop(p).alias("var_pred"),
-        (F.avg(p) - F.avg(y)).alias("mean_gap"),
-        F.min(e).alias("min_residual"),
-        F.max(e).alias("max_residual"),
+        F.count(F.lit(1)).alias(f"{prefix}n"),
+        F.avg(e * e).alias(f"{prefix}mse"),
+        F.avg(F.abs(e)).alias(f"{prefix}mae"),
+        F.var_pop(y).alias(f"{prefix}var_label"),
+        F.var_pop(p).alias(f"{prefix}var_pred"),
+        (F.avg(p) - F.avg(y)).alias(f"{prefix}mean_gap"),
+        F.min(e).alias(f"{prefix}min_residual"),
+        F.max(e).alias(f"{prefix}max_residual"),
     ]
 
 
+def _metric_cols(prefix: str = "", extra: bool = False) -> list[Column]:
+    def c(name):
+        return F.col(f"{prefix}{name}")
+    cols = [
+        c("n").alias(f"{prefix}n"),
+        c("mse").alias(f"{prefix}mse"),
+        F.sqrt(c("mse")).alias(f"{prefix}rmse"),
+        (F.lit(1.0) - c("mse") / c("var_label")).alias(f"{prefix}r2"),
+        c("mae").alias(f"{prefix}mae"),
+    ]
+    if extra:
+        cols += [
+            (c("var_pred") + c("mean_gap") * c("mean_gap")).alias(f"{prefix}explained_variance"),
+            c("min_residual").alias(f"{prefix}min_residual"),
+            c("max_residual").alias(f"{prefix}max_residual"),
+        ]
+    return cols
+
+
 def regression_metrics(scored: DataFrame, label: str, prediction: str = PREDICTION,
                        extra: bool = False) -> DataFrame:
     """One row: n, mse, rmse, r2, mae (and more with ``extra``).
@@ -38,20 +57,19 @@ def regression_metrics(scored: DataFrame, label: str, prediction: str = PREDICTI
     Spark's evaluator. ``extra`` adds explained_variance (mean squared
     distance of predictions from the label mean) and the min / max residual.
     """
-    agg = scored.agg(*_metric_aggs(label, prediction))
-    cols = [
-        F.col("n"),
-        F.col("mse"),
-        F.sqrt("mse").alias("rmse"),
-        (F.lit(1.0) - F.col("mse") / F.col("var_label")).alias("r2"),
-        F.col("mae"),
-    ]
-    if extra:
-        cols += [
-            (F.col("var_pred") + F.col("mean_gap") * F.col("mean_gap")).alias("explained_variance"),
-            F.col("min_residual"), F.col("max_residual"),
-        ]
-    return agg.select(*cols)
+    return scored.agg(*_metric_aggs(label, prediction)).select(*_metric_cols(extra=extra))
+
+
+def regression_metrics_sets(scored: DataFrame, sets: dict[str, tuple[str, str]]) -> DataFrame:
+    """Several metric sets in one aggregate: ``{prefix: (label, prediction)}``.
+
+    Output columns are ``<prefix>n``, ``<prefix>mse``, ... for every set.
+    """
+    aggs, cols = [], []
+    for prefix, (label, prediction) in sets.items():
+        aggs += _metric_aggs(label, prediction, prefix)
+        cols += _metric_cols(prefix)
+    return scored.agg(*aggs).select(*cols)
 
 
 def residuals(scored: DataFrame, label: str, prediction: str = PREDICTION,

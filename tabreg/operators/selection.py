@@ -82,38 +82,62 @@ def _metric_value(scored: DataFrame, label: str, metric: str) -> float:
     return float(regression_metrics(scored, label).first()[metric])
 
 
+def auto_parallelism(df: DataFrame, floor: int = 1) -> int:
+    """Concurrent fits that keep every core busy: cores / partitions per fit."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    parts = max(1, df.rdd.getNumPartitions())
+    return max(floor, cores // parts)
+
+
 def cross_validate(df: DataFrame, feature_stages: Callable[[], list], estimator,
                    grid: dict[str, Sequence], label: str, fold_col: str,
-                   num_folds: int, metric: str = "rmse", parallelism: int = 1,
-                   persist: bool = True) -> CVResult:
+                   num_folds: int, metric: str = "rmse", parallelism: int | None = None,
+                   persist: bool = True, skip_single: bool = False) -> CVResult:
     """k-fold CV; rows with ``fold_col == f`` validate fold f.
 
     feature_stages  factory returning fresh, unfitted feature stages
-    parallelism     candidates fitted at once per fold (driver threads only
-                    submit jobs; executors do the work)
+    parallelism     (fold, candidate) fits running at once; None sizes it to
+                    the cores left idle by one fit. Driver threads only
+                    submit jobs; executors do the work.
+    skip_single     with one candidate there is nothing to choose: skip the
+                    k fits and report its metric as NaN
+
+    Each fold's feature stages are fitted once on its training rows and the
+    transformed rows are kept (memory and disk) for all its candidates.
     """
     maps = param_grid(estimator, grid)
     grid_names = list(grid.keys())
-    metrics = [[0.0] * num_folds for _ in maps]
-    for f in range(num_folds):
+    if skip_single and len(maps) == 1:
+        return CVResult(grid_names, maps, [[float("nan")]], metric)
+    par = auto_parallelism(df) if parallelism is None else parallelism
+    keep = persist and len(maps) > 1
+
+    def fold_data(f):
         train_f = df.where(F.col(fold_col) != F.lit(f))
         valid_f = df.where(F.col(fold_col) == F.lit(f))
         stages = feature_stages()
         feats = Pipeline(stages=stages).fit(train_f) if stages else PipelineModel(stages=[])
         tr, va = feats.transform(train_f), feats.transform(valid_f)
-        if persist and len(maps) > 1:
+        if keep:
             tr = tr.persist(StorageLevel.MEMORY_AND_DISK)
             va = va.persist(StorageLevel.MEMORY_AND_DISK)
+        return tr, va
+
+    metrics = [[0.0] * num_folds for _ in maps]
+    with ThreadPoolExecutor(max_workers=max(1, min(par, num_folds * len(maps)))) as pool:
+        folds = list(pool.map(fold_data, range(num_folds)))
 
-        def fit_eval(i, tr=tr, va=va):
+        def fit_eval(job):
+            f, i = job
+            tr, va = folds[f]
             model = estimator.fit(tr, maps[i])
-            return _metric_value(model.transform(va), label, metric)
+            return f, i, _metric_value(model.transform(va), label, metric)
 
-        workers = max(1, min(parallelism, len(maps)))
-        with ThreadPoolExecutor(max_workers=workers) as pool:
-            for i, value in enumerate(pool.map(fit_eval, range(len(maps)))):
-                metrics[i][f] = value
-        if persist and len(maps) > 1:
+        jobs = [(f, i) for f in range(num_folds) for i in range(len(maps))]
+        for f, i, value in pool.map(fit_eval, jobs):
+            metrics[i][f] = value
+    if keep:
+        for tr, va in folds:
             tr.unpersist()
             va.unpersist()
     return CVResult(grid_names, maps, metrics, metric)
