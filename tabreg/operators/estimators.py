@@ -16,7 +16,7 @@ from pyspark.ml.regression import (DecisionTreeRegressionModel, DecisionTreeRegr
                                    RandomForestRegressionModel, RandomForestRegressor)
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import checkpoint_root
+from ..session import active_session, checkpoint_root
 from .features import NORM_FEATURES
 
 # --- fixed values: the original application's model settings ---------------
@@ -46,20 +46,23 @@ def linear_regression(label: str, features: str = NORM_FEATURES, **params) -> Li
 
 
 def _tree_params(params: dict, spark: SparkSession | None) -> dict:
-    """Deep trees: cache node ids and checkpoint them, give split stats room.
+    """Deep trees: cache node ids and checkpoint them.
 
     At depth >= 8 recomputing every row's node from the root each level
     dominates; cached node ids (checkpointed into the shared checkpoint
-    folder every 10 levels) avoid that and keep lineage short. maxBins x
-    features x 3 doubles per node is ~3 MB at 7500 bins and 16 features,
-    so the default 256 MB per pass holds ~90 nodes; 1 GB lets a depth-9
-    level go in about one pass.
+    folder every 10 levels) avoid that and keep lineage short.
+
+    Split statistics stay at Spark's default 256 MB per task (maxMemoryInMB,
+    also the original's setting): maxBins x features x 3 doubles per node is
+    ~3 MB at 7500 bins and 16 features, so a pass holds ~90 nodes and deep
+    levels take several passes. Raising it multiplies by every concurrent
+    task on an executor and ran a 6 GB heap out of memory with 8 cores and
+    three fits at once.
     """
     out = dict(params)
     if out.get("maxDepth", 5) >= 8:
         out.setdefault("cacheNodeIds", True)
         out.setdefault("checkpointInterval", 10)
-        out.setdefault("maxMemoryInMB", 1024)
         if spark is not None:
             checkpoint_root(spark)
     return out
@@ -98,7 +101,7 @@ def score(model, df: DataFrame) -> DataFrame:
 
 def coefficients(model: LinearRegressionModel, names: Sequence[str]) -> DataFrame:
     """(term, coefficient) rows: one per feature, then ``(intercept)``."""
-    spark = SparkSession.getActiveSession()
+    spark = active_session()
     coefs = [float(v) for v in model.coefficients.toArray()]
     if len(coefs) != len(names):
         raise ValueError(f"model has {len(coefs)} coefficients but {len(names)} names were given")

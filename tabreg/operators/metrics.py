@@ -9,9 +9,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.ml.regression import LinearRegressionModel
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import active_session
+
 PREDICTION = "prediction"
 
 
@@ -133,6 +135,6 @@ def coefficient_stats(model: LinearRegressionModel, names: Sequence[str]) -> Dat
     if len(terms) != len(se):
         raise ValueError(f"{len(se)} statistics for {len(terms)} terms")
     rows = [(t, c, float(e), float(tt), float(p)) for t, c, e, tt, p in zip(terms, coefs, se, tv, pv)]
-    spark = SparkSession.getActiveSession()
+    spark = active_session()
     return spark.createDataFrame(
         rows, "term string, coefficient double, std_error double, t_value double, p_value double")

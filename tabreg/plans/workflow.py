@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import json
 import math
+from concurrent.futures import ThreadPoolExecutor
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -68,6 +69,27 @@ def prepare(raw: DataFrame, spec: FeatureSpec, fit_fill_on: str = "train") -> Da
 ROWS_PER_PARTITION = 50_000
 
 
+def prepare_modes(raw: DataFrame, base: FeatureSpec, time_modes: Sequence[str],
+                  fit_fill_on: str = "train") -> DataFrame:
+    """One cleaned table carrying the clock features of every requested mode.
+
+    The modes differ only in derived columns, so one scan, one shuffle and
+    one cached copy serve all of them; each spec reads its own columns.
+    """
+    first = FeatureSpec(categorical=base.categorical, continuous=base.continuous, clock=base.clock,
+                        label=LABEL, time_mode=time_modes[0], drop=base.drop, na_tokens=base.na_tokens)
+    out = prepare(raw, first, fit_fill_on)
+    for mode in time_modes[1:]:
+        other = FeatureSpec(categorical=base.categorical, continuous=base.continuous, clock=base.clock,
+                            label=LABEL, time_mode=mode, drop=base.drop, na_tokens=base.na_tokens)
+        out = clean.add_clock_features(out, other.clock, mode)
+        if mode == "categorical":
+            out = clean.constant_impute(out, other.derived_clock)
+        elif fit_fill_on == "all":
+            out = clean.mean_impute(out, other.derived_clock)
+    return out
+
+
 def training_partitions(spark, expected_rows: int,
                         rows_per_partition: int = ROWS_PER_PARTITION) -> int:
     """Partitions for a table that models are fitted on.
@@ -82,13 +104,20 @@ def training_partitions(spark, expected_rows: int,
     return max(1, min(cores, math.ceil(max(expected_rows, 1) / rows_per_partition)))
 
 
-def bounded_input(raw: DataFrame, keys: Sequence[str] | None, max_rows: int | None,
+def bounded_input(raw: DataFrame, max_rows: int | None, sample_keys: Sequence[str] | None = None,
                   seed: int = SAMPLE_SEED) -> tuple[DataFrame, int]:
-    """The original's bounded sample (keyed when keys are given) and its expected size."""
+    """The original's bounded sample and its expected size.
+
+    Per-row Bernoulli by default (the original's sampler; deterministic on
+    recompute for a given input layout), so the cap holds in expectation
+    even if one key value covers a third of the rows. ``sample_keys`` makes
+    the choice a keyed hash instead, at the price that a hot key group is
+    taken or left whole.
+    """
     n = raw.count()
     if max_rows is None:
         return raw, n
-    sampled = sampling.bounded_sample(raw, max_rows=max_rows, keys=keys, seed=seed, n_rows=n)
+    sampled = sampling.bounded_sample(raw, max_rows=max_rows, keys=sample_keys, seed=seed, n_rows=n)
     return sampled, min(n, max_rows)
 
 
@@ -173,14 +202,15 @@ def evaluate_prepared(prepared: DataFrame, spec: FeatureSpec, model: str = "dt",
 
 def train_evaluate(raw: DataFrame, spec: FeatureSpec = FeatureSpec(), model: str = "dt",
                    keys: Sequence[str] | None = None, fit_fill_on: str = "train",
-                   max_rows: int | None = SAMPLE_CAP, **kwargs) -> Evaluation:
+                   max_rows: int | None = SAMPLE_CAP, sample_keys: Sequence[str] | None = None,
+                   **kwargs) -> Evaluation:
     """Sample, clean and evaluate one model (the original's default: dt).
 
     ``max_rows`` is the original's sample cap (1.5 M rows): training work is
     bounded however large the input is; only the count and the sampling
     scan touch every row. ``None`` trains on everything.
     """
-    bounded, expected = bounded_input(raw, keys, max_rows)
+    bounded, expected = bounded_input(raw, max_rows, sample_keys)
     prepared = cached_training_table(prepare(bounded, spec, fit_fill_on), expected)
     return evaluate_prepared(prepared, spec, model=model, keys=keys, fit_fill_on=fit_fill_on, **kwargs)
 
@@ -190,30 +220,29 @@ def compare_models(raw: DataFrame, models: Sequence[str] = ("lr", "dt", "rf"),
                    labels: Sequence[str] = (LABEL, LABEL_CUBE_ROOT),
                    keys: Sequence[str] | None = None, fit_fill_on: str = "train",
                    base: FeatureSpec = FeatureSpec(), max_rows: int | None = SAMPLE_CAP,
-                   **kwargs) -> DataFrame:
+                   sample_keys: Sequence[str] | None = None, **kwargs) -> DataFrame:
     """One metrics row per (time mode, label, model) combination.
 
-    Each time mode's cleaned table is built and persisted once and shared by
-    its label and model combinations.
+    One cleaned table (clock features of every mode) is built and persisted
+    once and shared by all combinations.
     """
     spark = raw.sparkSession
-    bounded, expected = bounded_input(raw, keys, max_rows)
-    rows, schema = [], None
-    for mode in time_modes:
-        spec_mode = FeatureSpec(categorical=base.categorical, continuous=base.continuous,
-                                clock=base.clock, label=LABEL, time_mode=mode, drop=base.drop,
-                                na_tokens=base.na_tokens)
-        prepared = cached_training_table(prepare(bounded, spec_mode, fit_fill_on), expected)
-        for label in labels:
-            spec = FeatureSpec(categorical=base.categorical, continuous=base.continuous,
-                               clock=base.clock, label=label, time_mode=mode, drop=base.drop,
-                               na_tokens=base.na_tokens)
-            for model in models:
-                ev = evaluate_prepared(prepared, spec, model=model, keys=keys,
-                                       fit_fill_on=fit_fill_on, **kwargs)
-                # One aggregate row per combination, computed while the
-                # cleaned table is cached.
-                rows.append(ev.metrics.first())
-                schema = ev.metrics.schema
-        prepared.unpersist()
+    bounded, expected = bounded_input(raw, max_rows, sample_keys)
+    prepared = cached_training_table(prepare_modes(bounded, base, list(time_modes), fit_fill_on), expected)
+
+    def run(combo):
+        mode, label, model = combo
+        spec = FeatureSpec(categorical=base.categorical, continuous=base.continuous,
+                           clock=base.clock, label=label, time_mode=mode, drop=base.drop,
+                           na_tokens=base.na_tokens)
+        ev = evaluate_prepared(prepared, spec, model=model, keys=keys, fit_fill_on=fit_fill_on, **kwargs)
+        # One aggregate row per combination, computed while the table is cached.
+        return ev.metrics.first(), ev.metrics.schema
+
+    combos = [(mode, label, model) for mode in time_modes for label in labels for model in models]
+    workers = max(1, min(len(combos), selection.auto_parallelism(prepared)))
+    with ThreadPoolExecutor(max_workers=workers) as pool:
+        results = list(pool.map(run, combos))
+    rows, schema = [r for r, _ in results], results[0][1]
+    prepared.unpersist()
     return spark.createDataFrame(rows, schema)

@@ -42,6 +42,11 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8,
     return spark
 
 
+def active_session() -> SparkSession:
+    """The caller's session, also from driver threads that have none bound."""
+    return SparkSession.getActiveSession() or SparkSession.builder.getOrCreate()
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
