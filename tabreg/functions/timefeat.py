@@ -29,6 +29,24 @@ def truncate_to_int(t: Column) -> Column:
     return clipped.cast("int")
 
 
+def minutes_from_parts(t: Column, i: Column) -> Column:
+    """HHMM -> minutes from the parsed value ``t`` and its truncation ``i``.
+
+    Split out so callers can project ``t`` and ``i`` once as columns and keep
+    this CASE small (see ``tabreg.operators.clean.add_clock_features``).
+    """
+    a = F.abs(i)
+    hours, minutes = F.floor(a / F.lit(100)), a % 100
+    return (
+        F.when(t.isNull(), F.lit(None))
+        .when(i >= 0, hours * 60 + minutes)
+        .when(i > -10, i)
+        .when(i > -100, F.lit(None))
+        .otherwise(-hours * 60 + minutes)
+        .cast("double")
+    )
+
+
 def hhmm_to_minutes(c: str | Column) -> Column:
     """HHMM clock value to minutes since midnight, as double.
 
@@ -43,17 +61,7 @@ def hhmm_to_minutes(c: str | Column) -> Column:
     string building per row.
     """
     t = as_double(c)
-    i = truncate_to_int(t).cast("bigint")
-    a = F.abs(i)
-    hours, minutes = F.floor(a / F.lit(100)), a % 100
-    return (
-        F.when(t.isNull(), F.lit(None))
-        .when(i >= 0, hours * 60 + minutes)
-        .when(i > -10, i)
-        .when(i > -100, F.lit(None))
-        .otherwise(-hours * 60 + minutes)
-        .cast("double")
-    )
+    return minutes_from_parts(t, truncate_to_int(t).cast("bigint"))
 
 
 def day_part(c: str | Column) -> Column:

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.timefeat import cube_root, day_part, hhmm_to_minutes
+from ..functions.timefeat import as_double, cube_root, day_part, minutes_from_parts, truncate_to_int
 from ..spec import LABEL, LABEL_CUBE_ROOT, MISSING_CATEGORY_PREFIX, FeatureSpec
 
 
@@ -126,10 +126,26 @@ def handle_missing(df: DataFrame, names: Sequence[str], label: str = LABEL,
 
 
 def add_clock_features(df: DataFrame, clock: Sequence[str], time_mode: str = "numeric") -> DataFrame:
-    """Append ``<c>Min`` (minutes, double) or ``<c>Disc`` (day part, string)."""
+    """Append ``<c>Min`` (minutes, double) or ``<c>Disc`` (day part, string).
+
+    The clock text is parsed to double once, and (numeric mode) truncated to
+    an integer once, each in its own projection; the final CASE reads those
+    columns. Catalyst keeps a non-trivial expression with several consumers
+    in its own projection, so nothing is re-parsed per branch and the
+    generated code stays small enough for whole-stage codegen (inlining the
+    four expanded CASEs made the stage several times slower).
+    """
+    parsed = {f"__t_{c}": as_double(c) for c in clock}
+    out = df.withColumns(parsed)
     if time_mode == "numeric":
-        return df.withColumns({f"{c}Min": hhmm_to_minutes(c) for c in clock})
-    return df.withColumns({f"{c}Disc": day_part(c) for c in clock})
+        trunc = {f"__i_{c}": truncate_to_int(F.col(f"__t_{c}")).cast("bigint") for c in clock}
+        out = out.withColumns(trunc)
+        out = out.withColumns({f"{c}Min": minutes_from_parts(F.col(f"__t_{c}"), F.col(f"__i_{c}"))
+                               for c in clock})
+        out = out.drop(*trunc)
+    else:
+        out = out.withColumns({f"{c}Disc": day_part(F.col(f"__t_{c}")) for c in clock})
+    return out.drop(*parsed)
 
 
 def add_label_cube_root(df: DataFrame, label: str = LABEL, out: str = LABEL_CUBE_ROOT) -> DataFrame:

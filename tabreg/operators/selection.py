@@ -82,13 +82,31 @@ def _metric_value(scored: DataFrame, label: str, metric: str) -> float:
     return float(regression_metrics(scored, label).first()[metric])
 
 
-def auto_parallelism(df: DataFrame, floor: int = 1) -> int:
-    """Concurrent fits that keep every core busy: cores / partitions per fit."""
+def auto_parallelism(df: DataFrame, floor: int = 2) -> int:
+    """Concurrent fits that keep every core busy: cores / partitions per fit.
+
+    At least two, so one fit's driver-side steps (split selection, solves,
+    job setup) overlap another fit's tasks.
+    """
     cores = df.sparkSession.sparkContext.defaultParallelism
     parts = max(1, df.rdd.getNumPartitions())
     return max(floor, cores // parts)
 
 
+def fit_layout(df: DataFrame, n_fits: int) -> tuple[int, int]:
+    """(concurrent fits, partitions per fit) for ``n_fits`` independent fits.
+
+    Tree fitting merges one dense histogram per node per partition per
+    level, so total work falls with fewer partitions per fit; running more
+    fits at once keeps the cores busy instead. Never more partitions than
+    the table has (a coalesce is narrow: no shuffle).
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    parts = max(1, df.rdd.getNumPartitions())
+    par = max(1, min(n_fits, cores))
+    return par, max(1, min(parts, cores // par))
+
+
 def cross_validate(df: DataFrame, feature_stages: Callable[[], list], estimator,
                    grid: dict[str, Sequence], label: str, fold_col: str,
                    num_folds: int, metric: str = "rmse", parallelism: int | None = None,
@@ -96,9 +114,10 @@ def cross_validate(df: DataFrame, feature_stages: Callable[[], list], estimator,
     """k-fold CV; rows with ``fold_col == f`` validate fold f.
 
     feature_stages  factory returning fresh, unfitted feature stages
-    parallelism     (fold, candidate) fits running at once; None sizes it to
-                    the cores left idle by one fit. Driver threads only
-                    submit jobs; executors do the work.
+    parallelism     (fold, candidate) fits running at once; None picks it
+                    with ``fit_layout`` (and narrows each fold's partitions
+                    to match). Driver threads only submit jobs; executors
+                    do the work.
     skip_single     with one candidate there is nothing to choose: skip the
                     k fits and report its metric as NaN
 
@@ -109,7 +128,11 @@ def cross_validate(df: DataFrame, feature_stages: Callable[[], list], estimator,
     grid_names = list(grid.keys())
     if skip_single and len(maps) == 1:
         return CVResult(grid_names, maps, [[float("nan")]], metric)
-    par = auto_parallelism(df) if parallelism is None else parallelism
+    n_fits = num_folds * len(maps)
+    if parallelism is None:
+        par, per_fit = fit_layout(df, n_fits)
+    else:
+        par, per_fit = parallelism, None
     keep = persist and len(maps) > 1
 
     def fold_data(f):
@@ -118,13 +141,18 @@ def cross_validate(df: DataFrame, feature_stages: Callable[[], list], estimator,
         stages = feature_stages()
         feats = Pipeline(stages=stages).fit(train_f) if stages else PipelineModel(stages=[])
         tr, va = feats.transform(train_f), feats.transform(valid_f)
+        # Fits and scoring read only the label and the feature vector.
+        needed = [label, estimator.getFeaturesCol()]
+        tr, va = tr.select(*needed), va.select(*needed)
+        if per_fit is not None and per_fit < df.rdd.getNumPartitions():
+            tr, va = tr.coalesce(per_fit), va.coalesce(per_fit)
         if keep:
             tr = tr.persist(StorageLevel.MEMORY_AND_DISK)
             va = va.persist(StorageLevel.MEMORY_AND_DISK)
         return tr, va
 
     metrics = [[0.0] * num_folds for _ in maps]
-    with ThreadPoolExecutor(max_workers=max(1, min(par, num_folds * len(maps)))) as pool:
+    with ThreadPoolExecutor(max_workers=max(1, min(par, n_fits))) as pool:
         folds = list(pool.map(fold_data, range(num_folds)))
 
         def fit_eval(job):

@@ -160,10 +160,9 @@ def evaluate_prepared(prepared: DataFrame, spec: FeatureSpec, model: str = "dt",
     label = spec.label
     grid = estimators.GRIDS[model] if grid is None else grid
     k = estimators.FOLDS[model] if num_folds is None else num_folds
-    # The original's candidate parallelism is a floor; more threads only
-    # add concurrency, never change a result.
-    par = (max(estimators.PARALLELISM[model], selection.auto_parallelism(prepared))
-           if parallelism is None else parallelism)
+    # The original's candidate parallelism is replaced by a layout sized to
+    # the cores (selection.fit_layout); concurrency never changes a result.
+    par = parallelism
     data = _with_assignments(prepared, keys, train_percent, k, seed)
     train = data.where(F.col(SPLIT) == "train").drop(SPLIT)
     test = data.where(F.col(SPLIT) == "test").drop(SPLIT, FOLD)

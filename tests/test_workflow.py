@@ -54,3 +54,30 @@ def test_compare_models_rows(spark, fx):
     assert {(r.time_mode, r.label) for r in rows} == {
         ("numeric", "ArrDelay"), ("numeric", "ArrDelayCubeRoot"),
         ("categorical", "ArrDelay"), ("categorical", "ArrDelayCubeRoot")}
+
+
+def test_compare_models_two_models_both_modes(spark, fx):
+    out = workflow.compare_models(fx, models=("lr", "dt"), labels=("ArrDelay",), keys=KEYS,
+                                  grid={}, estimator_params=None)
+    rows = out.collect()
+    assert {(r.model, r.time_mode) for r in rows} == {("lr", "numeric"), ("lr", "categorical"),
+                                                      ("dt", "numeric"), ("dt", "categorical")}
+    assert all(r.n_test == rows[0].n_test for r in rows)  # one split for every combination
+
+
+def test_train_evaluate_without_keys(spark, fx):
+    ev = workflow.train_evaluate(fx, FeatureSpec(), model="lr")
+    row = ev.metrics.first()
+    assert 900 < row.n_test < 1500
+
+
+def test_original_fill_mode(spark, fx):
+    ev = workflow.train_evaluate(fx, FeatureSpec(), model="lr", keys=KEYS, fit_fill_on="all")
+    assert ev.metrics.first().r2 > 0
+    assert type(ev.model.stages[0]).__name__ == "StringIndexerModel"  # no fitted Imputer stage
+
+
+def test_training_partitions(spark):
+    assert workflow.training_partitions(spark, 10) == 1
+    assert workflow.training_partitions(spark, 120_000) == 3
+    assert workflow.training_partitions(spark, 10**12) == spark.sparkContext.defaultParallelism
