@@ -16,7 +16,7 @@ from pyspark.ml.regression import (DecisionTreeRegressionModel, DecisionTreeRegr
                                    RandomForestRegressionModel, RandomForestRegressor)
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import active_session, checkpoint_root
+from ..session import active_session, checkpoint_root, task_memory_mb
 from .features import NORM_FEATURES
 
 # --- fixed values: the original application's model settings ---------------
@@ -60,6 +60,8 @@ def _tree_params(params: dict, spark: SparkSession | None) -> dict:
     three fits at once.
     """
     out = dict(params)
+    if spark is not None and "maxMemoryInMB" not in out:
+        out["maxMemoryInMB"] = tree_memory_mb(spark)
     if out.get("maxDepth", 5) >= 8:
         out.setdefault("cacheNodeIds", True)
         out.setdefault("checkpointInterval", 10)
@@ -68,6 +70,19 @@ def _tree_params(params: dict, spark: SparkSession | None) -> dict:
     return out
 
 
+def tree_memory_mb(spark: SparkSession, ceiling: int = 256, floor: int = 16) -> int:
+    """Per-task budget for split statistics (``maxMemoryInMB``).
+
+    Every task of a tree fit allocates up to this much for node histograms,
+    and all tasks of a JVM run at once, so the budget is the JVM's heap
+    share divided by its concurrent tasks: Spark's 256 MB with a 16 GB,
+    8-core heap; 32 MB with the 1 GB default heap on 8 local cores (more,
+    smaller passes instead of running out of memory). The value only
+    changes how many nodes go in one pass, never the tree.
+    """
+    return int(max(floor, min(ceiling, task_memory_mb(spark))))
+
+
 def decision_tree(label: str, features: str = NORM_FEATURES, spark: SparkSession | None = None,
                   **params) -> DecisionTreeRegressor:
     """Variance impurity; depth 5 and 7500 bins by default."""

@@ -52,6 +52,33 @@ def active_session() -> SparkSession:
     return SparkSession.getActiveSession() or SparkSession.builder.getOrCreate()
 
 
+def _size_mb(text: str) -> float:
+    """'16g' / '1024m' / '512k' / bytes -> MB (Spark's size suffixes)."""
+    t = text.strip().lower().rstrip("b")
+    units = {"k": 1 / 1024, "m": 1, "g": 1024, "t": 1024 * 1024}
+    if t and t[-1] in units:
+        return float(t[:-1]) * units[t[-1]]
+    return float(t) / (1024 * 1024)
+
+
+def task_memory_mb(spark: SparkSession, share: float = 0.25) -> float:
+    """Memory one concurrent task may use outside Spark's managed pools.
+
+    From public settings only: the executor heap (the driver's heap in local
+    mode, where the driver runs the tasks) times ``share``, divided by the
+    tasks that run at once in that JVM.
+    """
+    sc = spark.sparkContext
+    conf = sc.getConf()
+    if sc.master.startswith("local"):
+        heap = _size_mb(conf.get("spark.driver.memory", "1g"))
+        tasks = sc.defaultParallelism
+    else:
+        heap = _size_mb(conf.get("spark.executor.memory", "1g"))
+        tasks = int(conf.get("spark.executor.cores", "1")) // max(1, int(conf.get("spark.task.cpus", "1")))
+    return heap * share / max(1, tasks)
+
+
 def checkpoint_root(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder (``spark.checkpoint.dir``).
 
