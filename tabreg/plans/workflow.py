@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 
 from ..operators import clean, estimators, features, metrics, sampling, selection
 from ..operators.selection import CVResult
+from ..session import checkpoint_root
 from ..sources import model_store
 from ..spec import LABEL, LABEL_CUBE_ROOT, SAMPLE_CAP, SAMPLE_SEED, FeatureSpec
 
@@ -122,13 +123,20 @@ def bounded_input(raw: DataFrame, max_rows: int | None, sample_keys: Sequence[st
 
 
 def cached_training_table(prepared: DataFrame, expected_rows: int) -> DataFrame:
-    """Repartition the (bounded) cleaned table for fitting and persist it.
-
-    The shuffle moves at most the sample cap's rows; the scan before it
-    keeps the input's own parallelism.
+    """Repartition the (bounded) cleaned table for fitting, checkpoint, persist.
+
+    The shuffle moves at most the sample cap's rows; the scan before it keeps
+    the input's own parallelism. The reliable checkpoint (written under
+    ``spark.checkpoint.dir``) cuts the lineage, so an executor lost during a
+    long search recomputes its blocks from the bounded table, not from a
+    rescan and resample of the whole input; the persisted copy serves the
+    repeated passes.
     """
-    target = training_partitions(prepared.sparkSession, expected_rows)
-    return prepared.repartition(target).persist(StorageLevel.MEMORY_AND_DISK)
+    spark = prepared.sparkSession
+    checkpoint_root(spark)
+    target = training_partitions(spark, expected_rows)
+    table = prepared.repartition(target).checkpoint(eager=True)
+    return table.persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def _with_assignments(df: DataFrame, keys: Sequence[str] | None, train_percent: int,
