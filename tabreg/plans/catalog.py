@@ -29,6 +29,12 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+def hash32_sql(keys, salt: str | None = None) -> str:
+    """DuckDB form of ``functions.hashing.hash32``: first 32 bits of md5 of the keys."""
+    parts = ([f"'{salt}'"] if salt is not None else []) + [f"cast({k} as varchar)" for k in keys]
+    return f"('0x' || substr(md5(concat_ws('-', {', '.join(parts)})), 1, 8))::bigint"
+
+
 def round_doubles(df: DataFrame, digits: int = 6, only: list[str] | None = None) -> DataFrame:
     """Round every double column (or the named ones) to ``digits`` places."""
     names = [f.name for f in df.schema.fields

@@ -19,7 +19,7 @@ from ..operators import clean, estimators, features, metrics, sampling, selectio
 from ..session import shared_dir
 from ..sources import model_store
 from ..spec import FeatureSpec
-from .catalog import register, round_doubles
+from .catalog import hash32_sql, register, round_doubles
 from .fixtures import FLIGHTS_SQL, KEYS, flights, table
 from .prep_queries import _CAST, _DOUBLES, _means_cte
 
@@ -28,18 +28,13 @@ _K = ", ".join(KEYS)
 _KQ = ", ".join(f"li.{k}" for k in KEYS)
 
 
-def _md5_32(salt: str | None = None) -> str:
-    parts = ([f"'{salt}'"] if salt is not None else []) + [f"cast({k} as varchar)" for k in KEYS]
-    return f"('0x' || substr(md5(concat_ws('-', {', '.join(parts)})), 1, 8))::bigint"
-
-
 # label / feature of the model oracles
 X, Y = "x", "y"
 _LI_SQL = (f"li as (select {_K}, cast(l_quantity as double) as qx, cast(l_linenumber as double) as lx, "
            f"l_extendedprice / 1000.0 as {Y}, l_returnflag, l_linestatus, "
            f"cast(year(l_shipdate) as varchar) as ship_year, cast(l_linenumber as varchar) as line_text, "
-           f"{_md5_32()} % 100 < 80 as is_train, "
-           f"cast({_md5_32('fold')} % 3 as integer) as fold from lineitem)")
+           f"{hash32_sql(KEYS)} % 100 < 80 as is_train, "
+           f"cast({hash32_sql(KEYS, 'fold')} % 3 as integer) as fold from lineitem)")
 
 
 def _lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,7 +10,7 @@ from ..operators import clean, sampling
 from ..session import shared_dir
 from ..sources import io
 from ..spec import CATEGORICAL, CLOCK, CONTINUOUS, DROPPED, LABEL, FeatureSpec
-from .catalog import register, round_doubles
+from .catalog import hash32_sql, register, round_doubles
 from .fixtures import FLIGHTS_SQL, KEYS, RAW_COLUMNS, flights, table
 
 # ---------------------------------------------------------------- SQL pieces
@@ -217,17 +217,12 @@ def q_preprocess_categorical(spark, sf_dir):
 
 
 # ------------------------------------------------------------------ F2-F4
-def _md5_32(cols: str, salt: str | None = None) -> str:
-    parts = ([f"'{salt}'"] if salt is not None else []) + [f"cast({c.strip()} as varchar)" for c in cols.split(",")]
-    return f"('0x' || substr(md5(concat_ws('-', {', '.join(parts)})), 1, 8))::bigint"
-
-
 BOUNDED_SAMPLE_ROWS = 20_000
 
 
 @register("bounded_sample",
           f"select {_LINEITEM_COLS} from lineitem, (select count(*) as n from lineitem) c "
-          f"where cast({_md5_32(_KEYS_SQL, '1234')} as double) / 4294967296.0 "
+          f"where cast({hash32_sql(KEYS, '1234')} as double) / 4294967296.0 "
           f"< least(1.0, cast({BOUNDED_SAMPLE_ROWS} as double) / cast(c.n as double))")
 def q_bounded_sample(spark, sf_dir):
     """Keyed sample of about 20 000 lineitem rows (seed 1234)."""
@@ -237,7 +232,7 @@ def q_bounded_sample(spark, sf_dir):
 
 
 @register("train_test_split",
-          f"select {_KEYS_SQL}, case when {_md5_32(_KEYS_SQL)} % 100 < 80 then 'train' else 'test' end as split "
+          f"select {_KEYS_SQL}, case when {hash32_sql(KEYS)} % 100 < 80 then 'train' else 'test' end as split "
           f"from lineitem")
 def q_train_test_split(spark, sf_dir):
     """Keyed 80/20 split of lineitem; every row labelled with its side."""
