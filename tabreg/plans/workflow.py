@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from ..operators import clean, estimators, features, metrics, sampling, selection
 from ..operators.selection import CVResult
 from ..session import checkpoint_root
-from ..sources import model_store
+from ..sources import io, model_store
 from ..spec import LABEL, LABEL_CUBE_ROOT, SAMPLE_CAP, SAMPLE_SEED, FeatureSpec
 
 FOLD = "__fold"
@@ -139,6 +139,28 @@ def cached_training_table(prepared: DataFrame, expected_rows: int) -> DataFrame:
     return table.persist(StorageLevel.MEMORY_AND_DISK)
 
 
+def materialized_inputs(spark, csv_path: str, root: str, spec: FeatureSpec = FeatureSpec(),
+                        max_rows: int | None = SAMPLE_CAP, seed: int = SAMPLE_SEED) -> DataFrame:
+    """The original's read-through chain, ending in a typed Parquet table.
+
+    Use ``<root>/merged_processed_dataset`` if it exists; else build it from
+    ``<root>/merged_dataset`` (cleaning chain, means over all rows); else
+    build that from the raw CSV (bounded Bernoulli sample, seed 1234). Each
+    level is written once and read back. Unlike the original, the cleaned
+    table is written too, so a rerun skips cleaning.
+    """
+    def merged():
+        raw = io.read_raw(spark, csv_path)
+        if max_rows is None:
+            return raw
+        return sampling.bounded_sample(raw, max_rows=max_rows, seed=seed)
+
+    def processed():
+        return clean.preprocess(io.read_or_build(spark, f"{root}/merged_dataset", merged), spec)
+
+    return io.read_or_build(spark, f"{root}/merged_processed_dataset", processed)
+
+
 def _with_assignments(df: DataFrame, keys: Sequence[str] | None, train_percent: int,
                       num_folds: int, seed: int) -> DataFrame:
     if keys:

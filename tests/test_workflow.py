@@ -81,3 +81,20 @@ def test_training_partitions(spark):
     assert workflow.training_partitions(spark, 10) == 1
     assert workflow.training_partitions(spark, 120_000) == 3
     assert workflow.training_partitions(spark, 10**12) == spark.sparkContext.defaultParallelism
+
+
+def test_materialized_inputs_chain(spark):
+    from tabreg.plans.fixtures import flights
+    from tabreg.session import shared_dir
+    from tabreg.sources import io
+    from conftest import SF0001
+    csv = shared_dir(spark, "t-chain-csv")
+    io.write_csv(flights(spark, SF0001, keep_keys=False), csv)
+    root = shared_dir(spark, "t-chain")
+    first = workflow.materialized_inputs(spark, csv, root, max_rows=3000)
+    n = first.count()
+    assert 2500 < n < 3300 and "DepTimeMin" in first.columns
+    assert dict(first.dtypes)["ArrDelay"] == "double"
+    # second call reads the written table: same rows, no new sample
+    again = workflow.materialized_inputs(spark, csv, root, max_rows=10)
+    assert again.count() == n
