@@ -29,7 +29,7 @@ _KQ = ", ".join(f"li.{k}" for k in KEYS)
 
 
 # label / feature of the model oracles
-X, Y = "x", "y"
+Y = "y"
 _LI_SQL = (f"li as (select {_K}, cast(l_quantity as double) as qx, cast(l_linenumber as double) as lx, "
            f"l_extendedprice / 1000.0 as {Y}, l_returnflag, l_linestatus, "
            f"cast(year(l_shipdate) as varchar) as ship_year, cast(l_linenumber as varchar) as line_text, "

@@ -222,6 +222,7 @@ def evaluate_prepared(prepared: DataFrame, spec: FeatureSpec, model: str = "dt",
         F.lit(model).alias("model"), F.lit(label).alias("label"),
         F.lit(spec.time_mode).alias("time_mode"),
         F.lit(json.dumps(best, sort_keys=True)).alias("best_params"),
+        F.lit(json.dumps(estimators.chosen_params(fitted.stages[-1]), sort_keys=True)).alias("model_params"),
         F.lit(float(cv.avg_metrics[cv.best_index])).alias(f"cv_{cv.metric}"),
         F.col("n").alias("n_test"), "mse", "rmse", "r2", "mae",
         "orig_mse", "orig_rmse", "orig_r2", "orig_mae",

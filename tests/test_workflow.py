@@ -35,6 +35,9 @@ def test_train_evaluate_small(spark, fx):
                                  grid={"maxDepth": [2, 4]}, num_folds=2, estimator_params={"maxBins": 32})
     row = ev.metrics.first()
     assert row.model == "dt" and row.n_test > 1000 and 0 < row.r2 < 1
+    import json
+    chosen = json.loads(row.model_params)
+    assert chosen["maxBins"] == 32 and chosen["maxDepth"] == json.loads(row.best_params)["maxDepth"]
     assert row.rmse ** 2 == pytest.approx(row.mse)
     assert row.orig_mse == row.mse
     ev.release()
