@@ -1,7 +1,8 @@
 """Benchmark the headline stages at one scale factor; print one JSON line.
 
 Env: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8),
-BENCH_MEM (driver heap, default 16g), BENCH_SKIP (comma list of stages).
+BENCH_MEM (driver heap; default 60 % of physical memory, at most 16g),
+BENCH_SKIP (comma list of stages).
 
 Every stage forces full execution (``noop`` sink, a fit, or a one-row
 aggregate). ``value`` is the sum of the headline stages; the original
@@ -33,6 +34,16 @@ LR_GRID = {"regParam": [0.001, 0.01, 0.1, 0.5, 1.0, 2.0]}  # the original's wide
 CV_FOLDS = 5
 
 
+def _default_heap() -> str:
+    """60 % of physical memory, between 2 and 16 GB (tree fits size their
+    per-task buffers from this, so a small machine runs slower, not out of memory)."""
+    try:
+        phys_gb = os.sysconf("SC_PAGE_SIZE") * os.sysconf("SC_PHYS_PAGES") / 2**30
+    except (ValueError, OSError, AttributeError):
+        return "8g"
+    return f"{max(2, min(16, int(phys_gb * 0.6)))}g"
+
+
 def _noop(df):
     df.write.format("noop").mode("overwrite").save()
 
@@ -42,7 +53,7 @@ def main():
     cpus = os.environ.get("BENCH_CPUS", "8")
     skip = set(filter(None, os.environ.get("BENCH_SKIP", "").split(",")))
     spark = local_session(cores=cpus, shuffle_partitions=int(cpus) if cpus.isdigit() else 8,
-                          memory=os.environ.get("BENCH_MEM", "16g"), app="tabreg-bench")
+                          memory=os.environ.get("BENCH_MEM") or _default_heap(), app="tabreg-bench")
     m = re.search(r"sf([0-9.]+)", sf_dir)
     sf = float(m.group(1)) if m else None
 
