@@ -95,10 +95,12 @@ def _must_not_rebuild():
     raise AssertionError("read_or_build rebuilt a table that was already written")
 
 
-@register("preview")
+@register("preview",
+          f"with {_FX} select * from fx where cast({hash32_sql(KEYS, '1234')} as double) / 4294967296.0 < 0.1 "
+          f"order by {_KEYS_SQL} limit 100")
 def q_preview(spark, sf_dir):
-    """10 % Bernoulli sample, first 100 rows (a preview; rows only)."""
-    return io.preview(fx(spark, sf_dir), n=100, fraction=0.1, seed=1234)
+    """Keyed 10 % sample (seed 1234), first 100 rows in key order."""
+    return io.preview(fx(spark, sf_dir), n=100, fraction=0.1, seed=1234, keys=KEYS)
 
 
 def _prep_schema_rows():

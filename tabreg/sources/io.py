@@ -6,8 +6,11 @@ from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.hashing import hash_unit
+
 
 def raw_schema(columns: Sequence[str]) -> T.StructType:
     """All-string, all-nullable schema for a raw CSV with these columns."""
@@ -76,11 +79,19 @@ def read_or_build(spark: SparkSession, path: str,
 
 
 def preview(df: DataFrame, n: int = 100, fraction: float | None = None,
-            seed: int = 1234) -> DataFrame:
-    """First ``n`` rows, optionally of a Bernoulli sample, as a DataFrame.
-
-    The library never prints; the caller decides to ``show`` or write it.
+            seed: int = 1234, keys: Sequence[str] | None = None) -> DataFrame:
+    """``n`` rows, optionally of a ``fraction`` sample, as a DataFrame.
+
+    Without ``keys``: a Bernoulli sample and any ``n`` rows (the original's
+    ``sample(...).show(n)``). With ``keys``: a keyed-hash sample and the
+    first ``n`` rows in key order, the same rows on every run and layout;
+    Spark plans it as a per-partition top-n, not a full sort. The library
+    never prints; the caller decides to ``show`` or write it.
     """
+    if keys:
+        if fraction is not None:
+            df = df.where(hash_unit(*keys, salt=str(seed)) < F.lit(float(fraction)))
+        return df.orderBy(*keys).limit(n)
     if fraction is not None:
         df = df.sample(withReplacement=False, fraction=fraction, seed=seed)
     return df.limit(n)

@@ -22,7 +22,7 @@ SLOW = {"train_evaluate", "model_comparison"}
 def test_keys_consistent():
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
-    assert set(q) - set(o) == {"preview", "train_evaluate", "model_comparison"}
+    assert set(q) - set(o) == {"train_evaluate", "model_comparison"}
     for name in q:
         assert "pipeline" not in name and not name.startswith("op")
 

@@ -60,3 +60,8 @@ def test_schema_report(spark):
 def test_preview(spark):
     assert io.preview(spark.range(1000), n=7).count() == 7
     assert io.preview(spark.range(1000), n=1000, fraction=0.1).count() < 200
+    keyed = io.preview(spark.range(1000).repartition(5), n=10, fraction=0.5, keys=["id"])
+    again = io.preview(spark.range(1000), n=10, fraction=0.5, keys=["id"])
+    assert [r.id for r in keyed.collect()] == [r.id for r in again.collect()]
+    from test_plans import plan
+    assert "TakeOrderedAndProject" in plan(keyed)  # per-partition top-n, no full sort
