@@ -101,3 +101,13 @@ def test_materialized_inputs_chain(spark):
     # second call reads the written table: same rows, no new sample
     again = workflow.materialized_inputs(spark, csv, root, max_rows=10)
     assert again.count() == n
+
+
+def test_unnormalised_features_give_categorical_splits(spark, fx):
+    # Q15: without the L1 normaliser the indexers' nominal metadata reaches the tree
+    ev = workflow.train_evaluate(fx, FeatureSpec(), model="dt", keys=KEYS, normalize=False,
+                                 grid={}, estimator_params={"maxDepth": 4})
+    tree = ev.model.stages[-1]
+    assert ev.model.stages[-1].getFeaturesCol() == "features"
+    assert " in {" in tree.toDebugString  # a split on a set of categories
+    assert ev.metrics.first().r2 > 0
