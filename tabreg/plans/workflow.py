@@ -190,9 +190,6 @@ def evaluate_prepared(prepared: DataFrame, spec: FeatureSpec, model: str = "dt",
     label = spec.label
     grid = estimators.GRIDS[model] if grid is None else grid
     k = estimators.FOLDS[model] if num_folds is None else num_folds
-    # The original's candidate parallelism is replaced by a layout sized to
-    # the cores (selection.fit_layout); concurrency never changes a result.
-    par = parallelism
     data = _with_assignments(prepared, keys, train_percent, k, seed)
     train = data.where(F.col(SPLIT) == "train").drop(SPLIT)
     test = data.where(F.col(SPLIT) == "test").drop(SPLIT, FOLD)
@@ -203,7 +200,9 @@ def evaluate_prepared(prepared: DataFrame, spec: FeatureSpec, model: str = "dt",
     def stages():
         return features.feature_stages(spec, impute=(fit_fill_on == "train"), normalize=normalize)
 
-    cv = selection.cross_validate(train, stages, est, grid, label, FOLD, k, parallelism=par,
+    # parallelism=None: a fit layout sized to the cores (selection.fit_layout)
+    # replaces the original's fixed candidate parallelism; it never changes a result.
+    cv = selection.cross_validate(train, stages, est, grid, label, FOLD, k, parallelism=parallelism,
                                   skip_single=not cv_single)
     fitted = selection.fit_best(train.drop(FOLD), stages, est, cv.best_params)
     if model_dir:
