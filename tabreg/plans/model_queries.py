@@ -53,7 +53,9 @@ def _lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _r(expr: str, digits: int = 6) -> str:
-    return f"round({expr}, {digits})"
+    # "+ 0.0" turns DuckDB's -0.0 (a tiny negative rounded away) into 0.0,
+    # as Spark's decimal rounding gives.
+    return f"(round({expr}, {digits}) + cast(0.0 as double))"
 
 
 # ---------------------------------------------------------------- E1, S8
