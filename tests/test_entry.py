@@ -46,3 +46,16 @@ def test_oracle_matches(spark, con, name):
 
 def test_preview_rows(spark):
     assert E.queries()["preview"](spark, SF0001).count() == 100
+
+
+@pytest.mark.parametrize("name", ["cast_double", "mean_impute", "hhmm_to_minutes", "day_part", "preprocess",
+                                  "feature_encoding", "bounded_sample"])
+def test_oracle_matches_with_ansi_off(spark, con, name):
+    """Cast-heavy operators give the same rows when the session runs non-ANSI."""
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        sp = E.queries()[name](spark, SF0001).toPandas()
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+    od = con.execute(E.oracle_sql()[name]).df()
+    assert len(sp) == len(od) and frame_hash(sp)[0] == frame_hash(od)[0]
