@@ -269,7 +269,13 @@ def compare_models(raw: DataFrame, models: Sequence[str] = ("lr", "dt", "rf"),
         return ev.metrics.first(), ev.metrics.schema
 
     combos = [(mode, label, model) for mode in time_modes for label in labels for model in models]
-    workers = max(1, min(len(combos), selection.auto_parallelism(prepared)))
+    # Single-candidate grids fit once per combination: run combinations side
+    # by side. Otherwise each search already fills the cores (and caches its
+    # folds), so combinations run one after another.
+    grid = kwargs.get("grid")
+    grids = [estimators.GRIDS[m] if grid is None else grid for m in models]
+    single = all(all(len(v) <= 1 for v in g.values()) for g in grids)
+    workers = max(1, min(len(combos), selection.auto_parallelism(prepared))) if single else 1
     with ThreadPoolExecutor(max_workers=workers) as pool:
         results = list(pool.map(run, combos))
     rows, schema = [r for r, _ in results], results[0][1]
