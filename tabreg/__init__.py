@@ -8,6 +8,10 @@ Subpackages:
   streaming  nothing: the original application has no stream (see README)
 """
 
+from .operators.clean import preprocess
+from .plans.workflow import compare_models, materialized_inputs, train_evaluate
+from .sources.io import read_or_build, read_raw
 from .spec import FeatureSpec
 
-__all__ = ["FeatureSpec"]
+__all__ = ["FeatureSpec", "compare_models", "materialized_inputs", "preprocess", "read_or_build",
+           "read_raw", "train_evaluate"]
