@@ -20,8 +20,9 @@ ORACLE: dict[str, str] = {}
 
 def register(name: str, sql: str | None = None):
     def deco(fn):
-        if name in QUERIES:
-            raise KeyError(f"query {name!r} registered twice")
+        prev = QUERIES.get(name)
+        if prev is not None and (prev.__module__, prev.__qualname__) != (fn.__module__, fn.__qualname__):
+            raise KeyError(f"query {name!r} registered by two functions")
         QUERIES[name] = fn
         if sql is not None:
             ORACLE[name] = sql
