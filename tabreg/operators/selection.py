@@ -93,18 +93,27 @@ def auto_parallelism(df: DataFrame, floor: int = 2) -> int:
     return max(floor, cores // parts)
 
 
+FIT_PARTITION_MERGE = 4
+
+
 def fit_layout(df: DataFrame, n_fits: int) -> tuple[int, int]:
     """(concurrent fits, partitions per fit) for ``n_fits`` independent fits.
 
     Tree fitting merges one dense histogram per node per partition per
     level, so total work falls with fewer partitions per fit; running more
-    fits at once keeps the cores busy instead. Never more partitions than
-    the table has (a coalesce is narrow: no shuffle).
+    fits at once keeps the cores busy instead. Partitions per fit are the
+    smallest of: the table's partitions (a coalesce is narrow, no shuffle),
+    the cores left per concurrent fit, and a quarter of the table's
+    partitions (~200k rows each for a table laid out by
+    ``training_partitions``). That last bound matters on a large cluster,
+    where cores per fit would otherwise leave ~50k-row partitions, each
+    shipping up to ~750 MB of deep-level histograms for ~6 MB of data.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     parts = max(1, df.rdd.getNumPartitions())
     par = max(1, min(n_fits, cores))
-    return par, max(1, min(parts, cores // par))
+    per_fit = min(parts, cores // par, max(1, parts // FIT_PARTITION_MERGE))
+    return par, max(1, per_fit)
 
 
 def cross_validate(df: DataFrame, feature_stages: Callable[[], list], estimator,
