@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabreg.llm import fingerprints, packing, sharding
+from tabreg.llm import dartminhash, fingerprints, packing, sharding
 from tabreg.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -35,6 +35,12 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+@_query
+def op9_dartminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document with its near-duplicate class (smallest doc_id of the class)."""
+    return dartminhash.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links")
+
+
 @_query
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """24 contiguous shards by doc_id, near equal in bytes."""
