@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabreg.llm import dartminhash, fingerprints, packing, sharding, suffix_tree_lm
+from tabreg.llm import dartminhash, fingerprints, hnsw, packing, sharding, suffix_tree_lm
 from tabreg.llm.common import ship_package, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -40,6 +40,12 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+@_query
+def op6_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest of every 20th vector by inner product."""
+    return hnsw.search(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 20 == 0)
+
+
 @_query
 def op8_suffix_tree_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_tree_lm.fit_and_score(table(spark, sf_dir, "documents"))
