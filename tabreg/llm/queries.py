@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabreg.llm import dartminhash, fingerprints, hnsw, packing, sharding, suffix_tree_lm
+from tabreg.llm import dartminhash, fingerprints, hnsw, mixing, packing, sharding, suffix_tree_lm
 from tabreg.llm.common import ship_package, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -46,6 +46,19 @@ def op6_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hnsw.search(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 20 == 0)
 
 
+@_query
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its raked weight, sampling probability and draw."""
+    rows = mixing.mix(table(spark, sf_dir, "documents"), mixing.document_dims())
+    return rows.select("doc_id", F.col("_mix_source").alias("source"), F.col("_mix_lang").alias("lang"),
+                       F.col("_mix_topic").alias("topic"), F.col("_mix_tokens").alias("tokens"),
+                       F.round("_mix_weight", 6).alias("weight"), F.round("_mix_probability", 6).alias("probability"),
+                       F.col("_mix_sampled").alias("sampled"))
+
+
+ORACLE["op7_mixing"] = mixing.oracle_sql()
+
+
 @_query
 def op8_suffix_tree_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_tree_lm.fit_and_score(table(spark, sf_dir, "documents"))
