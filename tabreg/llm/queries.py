@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabreg.llm import dartminhash, fingerprints, hnsw, mixing, packing, sharding, suffix_tree_lm
+from tabreg.llm import dartminhash, fingerprints, hnsw, language_id, mixing, packing, sharding, suffix_tree_lm
 from tabreg.llm.common import ship_package, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -40,6 +40,12 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+@_query
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's language; the character model is fitted on labelled documents."""
+    return language_id.identify_pages(table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents"))
+
+
 @_query
 def op6_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest of every 20th vector by inner product."""
