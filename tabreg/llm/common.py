@@ -74,7 +74,7 @@ def range_buckets(df: DataFrame, key: str, out: str, n: int) -> DataFrame:
 
 
 def lookup_join(rows: DataFrame, small: DataFrame, keys: list[str], n_small: int, how: str = "left",
-                salt: int = 32, limit: int = BROADCAST_ROWS) -> DataFrame:
+                salt: int = 8, limit: int = BROADCAST_ROWS) -> DataFrame:
     """Join ``rows`` with a table of ``n_small`` counted rows, unique in ``keys``.
 
     Up to ``limit`` rows the table is broadcast. Beyond it, ``rows`` are spread

@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabreg.llm import dartminhash, fingerprints, hnsw, language_id, mixing, packing, sharding, suffix_tree_lm
+from tabreg.llm import dartminhash, fingerprints, hnsw, language_id, mixing, packing, sharding, suffix_tree_lm, token_counts, url_filter
 from tabreg.llm.common import ship_package, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -25,27 +25,42 @@ def _query(fn):
     return run
 
 
-@_query
-def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fingerprints.edited_pairs(table(spark, sf_dir, "documents"))
-
-
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
     return public_tokenizers.path(name)
 
 
+@_query
+def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.edited_pairs(table(spark, sf_dir, "documents"))
+
+
 @_query
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+#: Fixed values of the query: rules as host and path.
+URL_RULES = {"net/": "block", "example.net/en/": "allow", "example.com/de/": "block", "org/fr/": "allow"}
+
+
+@_query
+def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"), URL_RULES)
+
+
 @_query
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page's language; the character model is fitted on labelled documents."""
     return language_id.identify_pages(table(spark, sf_dir, "pages"), table(spark, sf_dir, "documents"))
 
 
+@_query
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's count of pieces."""
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
+
+
 @_query
 def op6_hnsw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest of every 20th vector by inner product."""
