@@ -91,7 +91,8 @@ def fit_text_model(rows: DataFrame, text: str, label: str, key: str, languages:
 
 
 def text_scores(text: Column, model, html: bool = False) -> Column:
-    """array<double>: letters, then the mean log likelihood per letter alone and in each language."""
+    """array<double>: letters; mean log likelihood per letter alone and in each language; each language's
+    probability by the text alone (zeros without letters)."""
     tags = re.compile(r"<(script|style|nav)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>", re.S | re.I)
 
     @F.pandas_udf("array<double>")
@@ -101,27 +102,67 @@ def text_scores(text: Column, model, html: bool = False) -> Column:
         for lo in range(0, len(texts), 500):
             part = [tags.sub(" ", t) for t in texts[lo:lo + 500]] if html else texts[lo:lo + 500]
             doc, code = _trigrams(part)
-            n = np.bincount(doc, minlength=len(part)).astype(float)
-            cols = [n] + [np.bincount(doc, row[code], len(part)) / np.maximum(n, 1) for row in table]
-            out += list(np.column_stack(cols))
+            n = np.bincount(doc, minlength=len(part)).astype(float)[:, None]
+            mean = np.stack([np.bincount(doc, row[code], len(part)) for row in table], 1) / np.maximum(n, 1)
+            told = np.exp(_weighted(n, mean) - _weighted(n, mean).max(1, keepdims=True, initial=-np.inf))
+            out += list(np.concatenate([n, mean, told / told.sum(1, keepdims=True) * (n > 0)], 1))
         return pd.Series(out)
 
     return scores(text)
 
 
+def _weighted(n: np.ndarray, mean: np.ndarray) -> np.ndarray:
+    """Log likelihood of a text in each language; a long text counts as TEXT_CHARS letters."""
+    return np.minimum(n, TEXT_CHARS) * mean[:, 1:]
+
+
+def _fused(languages: list[str], total: list[float], n_suffixes: int):
+    """A function of the evidence (scores, sums of the row's host, domain and suffix, declared language)."""
+    k = len(languages)
+    everything = np.array(total) + 1.0
+    wrong = (1 - DECLARED_RIGHT) / max(1, k - 1)
+
+    @F.pandas_udf("id string, posterior double, text string, accepted boolean")
+    def fuse(scores: pd.Series, host: pd.Series, domain: pd.Series, suffix: pd.Series, declared: pd.Series) -> pd.DataFrame:
+        if not len(scores):
+            return pd.DataFrame({"id": [], "posterior": [], "text": [], "accepted": []})
+        scores = np.stack(scores)
+        n, mean, own = scores[:, :1], scores[:, 1:2 + k], scores[:, 2 + k:]
+        rest = [np.maximum(np.stack(level) - own, 0.0) for level in (suffix, domain, host)]  # without the row's share
+        prior = everything / everything.sum()
+        for level in rest:
+            prior = (level + SMOOTHING * prior) / (level.sum(1, keepdims=True) + SMOOTHING)
+        markup = np.zeros((len(n), k))
+        for i, name in enumerate(languages):
+            markup[(declared == name).to_numpy()] = np.log(np.where(np.arange(k) == i, DECLARED_RIGHT, wrong))
+        address = np.log((rest[0] + SMOOTHING / n_suffixes) / (np.array(total) + SMOOTHING))
+        text = _weighted(n, mean)
+        score = text + np.log(prior) + markup + address
+        best, by_text = score.argmax(1), text.argmax(1)
+        posterior = 1 / np.exp(score - score.max(1, keepdims=True)).sum(1)
+        ordered = mean[:, 1:].max(1) - mean[:, 0]
+        names = np.array(languages, object)
+        return pd.DataFrame({
+            "id": names[best], "posterior": posterior, "text": np.where(n[:, 0] > 0, names[by_text], None),
+            "accepted": (n[:, 0] > 0) & (ordered > LEAST_ORDER) & (posterior >= LEAST_POSTERIOR)})
+
+    return fuse
+
+
 def identify(rows: DataFrame, model, languages: list[str], text: str, declared: Column, host: Column,
              html: bool = False) -> DataFrame:
-    """All rows and columns of ``rows`` plus _lang_id, _lang_posterior, _lang_text, _lang_accepted.
+    """All rows and columns of ``rows`` plus _lang_id, _lang_posterior, _lang_text, _lang_accepted,
+    _lang_declared, _lang_host and _lang_suffix.
 
     ``declared`` is a language code (regions after - or _ are ignored; unknown
     codes and nulls say nothing); ``host`` a host or source name (null: the
     empty host). A row is accepted if it has letters, its text is likelier in
     its language's order than as unordered letters, and the posterior is
     LEAST_POSTERIOR or more. Null and empty texts have no letters: their
-    language follows from the other evidence, and they are rejected. An empty
-    table gives no rows.
+    language follows from the other evidence, and they are rejected. Equal
+    scores go to the first language. An empty table gives no rows.
     """
-    langs = range(len(languages))
+    k = len(languages)
     name = F.lower(F.coalesce(host, F.lit("")))
     labels = F.split(name, r"\.")
     rows = rows.withColumns({
@@ -129,65 +170,29 @@ def identify(rows: DataFrame, model, languages: list[str], text: str, declared:
         "_lang_declared": F.lower(F.regexp_extract(F.coalesce(declared, F.lit("")), r"^\s*([A-Za-z]{2,3})", 1)),
         "_lang_host": name, "_lang_domain": F.array_join(F.slice(labels, F.greatest(F.size(labels) - 1, F.lit(1)), 2), "."),
         "_lang_suffix": F.when(F.size(labels) > 1, F.element_at(labels, -1)).otherwise("")})
-    likelihood = [F.least(F.col("_lang_scores")[0], F.lit(float(TEXT_CHARS))) * F.col("_lang_scores")[2 + i] for i in langs]
-    rows = rows.withColumns({f"_lang_l{i}": x for i, x in enumerate(likelihood)})
-    rows = rows.withColumn("_lang_top", F.greatest(*[F.col(f"_lang_l{i}") for i in langs], F.lit(float("-inf"))))
-    rows = rows.withColumns({f"_lang_e{i}": F.exp(F.col(f"_lang_l{i}") - F.col("_lang_top")) for i in langs})
-    whole = sum((F.col(f"_lang_e{i}") for i in langs), F.lit(0.0))
-    rows = rows.withColumns({f"_lang_p{i}": F.col(f"_lang_e{i}") / whole for i in langs})
-
-    # soft counts of each level from all rows; texts without letters tell nothing
-    own = [F.when(F.col("_lang_scores")[0] > 0, F.col(f"_lang_p{i}")).otherwise(0.0) for i in langs]
-    base = rows.select("_lang_host", "_lang_domain", "_lang_suffix", *[x.alias(f"s{i}") for i, x in enumerate(own)])
-    sums = [F.sum(f"s{i}").alias(f"s{i}") for i in langs]
-    hosts = cut(base.groupBy("_lang_host", "_lang_domain", "_lang_suffix").agg(*sums), "lang-hosts")
+
+    # soft counts of each level, from all rows
+    sums = [F.sum(f"s{i}").alias(f"s{i}") for i in range(k)]
+    hosts = cut(rows.select("_lang_host", "_lang_domain", "_lang_suffix", "_lang_scores")
+                .select("_lang_host", "_lang_domain", "_lang_suffix", *[F.col("_lang_scores")[2 + k + i].alias(f"s{i}") for i in range(k)])
+                .groupBy("_lang_host", "_lang_domain", "_lang_suffix").agg(*sums), "lang-hosts")
     domains = cut(hosts.groupBy("_lang_domain").agg(*sums), "lang-domains")
     suffixes = cut(hosts.groupBy("_lang_suffix").agg(*sums), "lang-suffixes")
     total = suffixes.agg(*sums).first()
-    total = [float(total[i] or 0.0) for i in langs]
-
-    n_domains, n_suffixes, n_hosts = domains.count(), suffixes.count(), hosts.count()
-    named = lambda df, p: df.select(*[c for c in df.columns if c.startswith("_")], *[F.col(f"s{i}").alias(f"_lang_{p}{i}") for i in langs])
-    levels = lookup_join(hosts.select("_lang_host", "_lang_domain", "_lang_suffix", *[F.col(f"s{i}").alias(f"_lang_h{i}") for i in langs]),
-                         named(domains, "d"), ["_lang_domain"], n_domains)
-    levels = cut(lookup_join(levels, named(suffixes, "x"), ["_lang_suffix"], n_suffixes).drop("_lang_domain", "_lang_suffix"), "lang-levels")
-    rows = lookup_join(rows, levels, ["_lang_host"], n_hosts)
-
-    everything = [t + 1.0 for t in total]
-    prior = [F.lit(t / sum(everything)) for t in everything]
-    said = F.col("_lang_declared")
-    known = said.isin(languages) if languages else F.lit(False)
-    score = []
-    n_suffix = F.greatest(F.lit(1.0), F.lit(float(n_suffixes)))
-    for level in "xdh":
-        n = sum((F.greatest(F.col(f"_lang_{level}{i}") - own[i], F.lit(0.0)) for i in langs), F.lit(0.0))
-        prior = [(F.greatest(F.col(f"_lang_{level}{i}") - own[i], F.lit(0.0)) + SMOOTHING * prior[i]) / (n + SMOOTHING) for i in langs]
-        rows = rows.withColumns({f"_lang_q{level}{i}": p for i, p in enumerate(prior)})
-        prior = [F.col(f"_lang_q{level}{i}") for i in langs]
-    for i in langs:
-        wrong = (1 - DECLARED_RIGHT) / max(1, len(languages) - 1)
-        markup = F.when(known, F.when(said == languages[i], F.log(F.lit(DECLARED_RIGHT))).otherwise(F.log(F.lit(wrong)))).otherwise(0.0)
-        rest = F.greatest(F.col(f"_lang_x{i}") - own[i], F.lit(0.0))
-        suffix = F.log((rest + SMOOTHING / n_suffix) / (F.lit(total[i]) + SMOOTHING))
-        score.append(F.col(f"_lang_l{i}") + F.log(prior[i]) + markup + suffix)
-    rows = rows.withColumns({f"_lang_f{i}": x for i, x in enumerate(score)})
-    top = F.greatest(*[F.col(f"_lang_f{i}") for i in langs], F.lit(float("-inf")))
-    mass = sum((F.exp(F.col(f"_lang_f{i}") - top) for i in langs), F.lit(0.0))
-
-    def first_best(prefix, best):
-        out = F.lit(None).cast("string")
-        for i in reversed(langs):
-            out = F.when(F.col(f"{prefix}{i}") == best, F.lit(languages[i])).otherwise(out)
-        return out
-
-    order = F.greatest(*[F.col("_lang_scores")[2 + i] for i in langs], F.lit(float("-inf"))) - F.col("_lang_scores")[1]
-    out = rows.withColumns({
-        "_lang_id": first_best("_lang_f", top), "_lang_posterior": 1.0 / mass,
-        "_lang_text": F.when(F.col("_lang_scores")[0] > 0, first_best("_lang_l", F.col("_lang_top")))})
-    out = out.withColumn("_lang_accepted", (F.col("_lang_scores")[0] > 0) & (order > LEAST_ORDER)
-                         & (F.col("_lang_posterior") >= LEAST_POSTERIOR))
-    keep = {"_lang_id", "_lang_posterior", "_lang_text", "_lang_accepted", "_lang_declared", "_lang_host", "_lang_suffix"}
-    return out.drop(*[c for c in out.columns if c.startswith("_lang_") and c not in keep])
+    total = [float(total[i] or 0.0) for i in range(k)]
+
+    def named(level: DataFrame, at: str, *keys: str) -> DataFrame:
+        return level.select(*keys, F.array(*[F.col(f"s{i}") for i in range(k)]).alias(f"_lang_at_{at}"))
+
+    levels = lookup_join(named(hosts, "host", "_lang_host", "_lang_domain", "_lang_suffix"),
+                         named(domains, "domain", "_lang_domain"), ["_lang_domain"], domains.count())
+    levels = lookup_join(levels, named(suffixes, "suffix", "_lang_suffix"), ["_lang_suffix"], n_suffixes := suffixes.count())
+    levels = cut(levels.drop("_lang_domain", "_lang_suffix"), "lang-levels")
+    rows = lookup_join(rows, levels, ["_lang_host"], levels.count())
+    fuse = _fused(languages, total, max(1, n_suffixes))
+    out = rows.withColumn("_lang_f", fuse("_lang_scores", "_lang_at_host", "_lang_at_domain", "_lang_at_suffix", "_lang_declared"))
+    out = out.withColumns({f"_lang_{c}": F.col(f"_lang_f.{c}") for c in ("id", "posterior", "text", "accepted")})
+    return out.drop("_lang_f", "_lang_scores", "_lang_domain", "_lang_at_host", "_lang_at_domain", "_lang_at_suffix")
 
 
 def languages_of(rows: DataFrame, label: str, most: int = 200) -> list[str]:
