@@ -57,15 +57,17 @@ def variants(rnd, base, n, edits):
     return out
 
 
-@pytest.mark.parametrize("rounds", [0, 3])
+@pytest.mark.parametrize("rounds", [0, 1, 4])
 def test_groups_on_both_sides_of_the_threshold(spark, rounds):
     rnd = random.Random(11)
     base = [f"b{i}" for i in range(160)]
-    texts = variants(rnd, base, 40, 6) + variants(rnd, [f"c{i}" for i in range(90)], 10, 2)
+    # copies at the threshold of their base, but not of each other, with copies of copies among them
+    texts = [" ".join(base)] + variants(rnd, base, 40, 5) + variants(rnd, [f"c{i}" for i in range(90)], 10, 2)
     texts += [" ".join(f"x{rnd.randrange(500)}" for _ in range(60)) for _ in range(20)]
+    texts += variants(rnd, texts[3].split(), 6, 2) + variants(rnd, texts[9].split()[:150], 6, 2)
     rows = [(i, t) for i, t in enumerate(texts)] + [(900, texts[0]), (901, texts[0].upper())]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    got = dm.near_duplicates(docs, leader_rounds=rounds)
+    got = dm.near_duplicates(docs, most_rounds=rounds)
     assert order(got_of(got)) == order(brute(rows))
 
 
