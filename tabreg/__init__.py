@@ -5,7 +5,6 @@ Subpackages:
   functions  Column expressions (clock features, keyed hashes)
   operators  cleaning, sampling, feature encoding, estimators, selection, metrics
   plans      the flight fixture, end-to-end workflows, registered queries
-  streaming  nothing: the original application has no stream (see README)
 """
 
 from .operators.clean import preprocess

@@ -24,9 +24,15 @@ def drop_columns(df: DataFrame, names: Sequence[str]) -> DataFrame:
 
 
 def cast_double(df: DataFrame, names: Sequence[str]) -> DataFrame:
-    """Cast the named columns to double in place; unparseable text -> null."""
-    present = [c for c in names if c in df.columns]
-    return df.withColumns({c: F.col(c).try_cast("double") for c in present})
+    """Cast the named columns to double in place; unparseable text -> null. A missing column raises."""
+    require_columns(df, names)
+    return df.withColumns({c: F.col(c).try_cast("double") for c in names})
+
+
+def require_columns(df: DataFrame, names: Sequence[str]) -> None:
+    missing = [c for c in names if c not in df.columns]
+    if missing:
+        raise ValueError(f"column(s) not in the table: {missing}")
 
 
 def drop_null_label(df: DataFrame, label: str = LABEL) -> DataFrame:
@@ -94,7 +100,8 @@ def constant_impute(df: DataFrame, names: Sequence[str],
 
 
 def split_by_type(df: DataFrame, names: Sequence[str]) -> tuple[list[str], list[str]]:
-    """Split column names into (double, string) by the frame's schema."""
+    """Split column names into (double, string) by the frame's schema. A missing column raises."""
+    require_columns(df, names)
     types = {f.name: f.dataType for f in df.schema.fields}
     doubles, strings = [], []
     for c in names:
@@ -115,7 +122,7 @@ def handle_missing(df: DataFrame, names: Sequence[str], label: str = LABEL,
     As in the original, means are taken over all rows of ``df`` (before the
     label filter).
     """
-    doubles, strings = split_by_type(df, [c for c in names if c in df.columns])
+    doubles, strings = split_by_type(df, names)
     means = collect_means(df, doubles)
     out = drop_null_label(df, label)
     if doubles:
@@ -172,7 +179,7 @@ def preprocess(df: DataFrame, spec: FeatureSpec = FeatureSpec(),
     if impute_means_from == "all":
         out = handle_missing(out, to_fill, label=raw_label, na_tokens=spec.na_tokens)
     elif impute_means_from == "none":
-        _, strings = split_by_type(out, [c for c in to_fill if c in out.columns])
+        _, strings = split_by_type(out, to_fill)
         out = constant_impute(drop_null_label(out, raw_label), strings, na_tokens=spec.na_tokens)
     else:
         raise ValueError("impute_means_from must be 'all' or 'none'")

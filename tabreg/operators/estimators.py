@@ -23,14 +23,13 @@ from .features import NORM_FEATURES
 LR_DEFAULTS = dict(regParam=0.1, elasticNetParam=0.0, maxIter=100)
 DT_DEFAULTS = dict(maxDepth=5, maxBins=7500)
 RF_DEFAULTS = dict(numTrees=20, maxDepth=5, maxBins=7500)
-# Grids searched by cross-validation, folds and candidate parallelism.
+# Grids searched by cross-validation, and folds.
 GRIDS = {
     "lr": {"regParam": [0.1]},
     "dt": {"maxDepth": [5, 7, 9], "maxBins": [7500, 10000]},
     "rf": {},
 }
 FOLDS = {"lr": 2, "dt": 5, "rf": 5}
-PARALLELISM = {"lr": 2, "dt": 3, "rf": 1}
 # ---------------------------------------------------------------------------
 
 MODEL_CLASSES = {

@@ -88,15 +88,3 @@ def vector_columns(df: DataFrame, vector_col: str, names: Sequence[str],
     arr = vector_to_array(F.col(vector_col))
     return df.select(*keep, *[arr[i].alias(f"{prefix}{n}") for i, n in enumerate(names)])
 
-
-def assert_finite(df: DataFrame, vector_col: str) -> None:
-    """Raise if any vector holds NaN or infinity (one aggregate pass).
-
-    Spark's regressors refuse such rows with a less helpful message; this
-    names the column and counts the rows.
-    """
-    arr = vector_to_array(F.col(vector_col))
-    bad = F.exists(arr, lambda x: F.isnan(x) | (F.abs(x) == F.lit(float("inf"))))
-    n = df.agg(F.count(F.when(bad, 1)).alias("n")).first()["n"]
-    if n:
-        raise ValueError(f"{n} row(s) of {vector_col!r} hold NaN or infinity; fill numeric inputs first")

@@ -32,6 +32,12 @@ def _metric_aggs(label: str, prediction: str, prefix: str = "") -> list[Column]:
     ]
 
 
+def _r2(mse: Column, var: Column) -> Column:
+    """1 - mse / var as IEEE division gives it: a constant label has -inf, or NaN if it is predicted exactly."""
+    return (F.when(var != 0, F.lit(1.0) - F.try_divide(mse, var))
+            .when(mse > 0, F.lit(float("-inf"))).when(mse == 0, F.lit(float("nan"))))
+
+
 def _metric_cols(prefix: str = "", extra: bool = False) -> list[Column]:
     def c(name):
         return F.col(f"{prefix}{name}")
@@ -39,7 +45,7 @@ def _metric_cols(prefix: str = "", extra: bool = False) -> list[Column]:
         c("n").alias(f"{prefix}n"),
         c("mse").alias(f"{prefix}mse"),
         F.sqrt(c("mse")).alias(f"{prefix}rmse"),
-        (F.lit(1.0) - c("mse") / c("var_label")).alias(f"{prefix}r2"),
+        _r2(c("mse"), c("var_label")).alias(f"{prefix}r2"),
         c("mae").alias(f"{prefix}mae"),
     ]
     if extra:
@@ -56,7 +62,8 @@ def regression_metrics(scored: DataFrame, label: str, prediction: str = PREDICTI
     """One row: n, mse, rmse, r2, mae (and more with ``extra``).
 
     r2 = 1 - SSE / SST with SST = n * var_pop(label), the definition of
-    Spark's evaluator. ``extra`` adds explained_variance (mean squared
+    Spark's evaluator, also for a constant label (-inf; NaN if predicted
+    exactly). No rows: n is 0 and the others are null. ``extra`` adds explained_variance (mean squared
     distance of predictions from the label mean) and the min / max residual.
     """
     return scored.agg(*_metric_aggs(label, prediction)).select(*_metric_cols(extra=extra))
@@ -96,7 +103,7 @@ def fit_summary(model: LinearRegressionModel, train_scored: DataFrame, label: st
     out = m.select(
         F.col("n").alias("num_instances"),
         F.col("r2"),
-        (F.lit(1.0) - (F.lit(1.0) - F.col("r2")) * (F.col("n") - F.lit(fit_icpt)) / dof).alias("r2adj"),
+        (F.lit(1.0) - F.try_divide((F.lit(1.0) - F.col("r2")) * (F.col("n") - F.lit(fit_icpt)), dof)).alias("r2adj"),
         F.col("rmse"), F.col("mse"), F.col("mae"), F.col("explained_variance"),
         dof.alias("degrees_of_freedom"),
         F.col("min_residual"), F.col("max_residual"),

@@ -13,19 +13,24 @@ land in the same fold on every run and after any executor loss.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
+from threading import Semaphore
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.regression import DecisionTreeRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .metrics import regression_metrics
+from ..session import shared_dir
+from ..sources import fs
+from .metrics import regression_metrics, regression_metrics_sets
 
 
 def param_grid(estimator, grid: dict[str, Sequence]) -> list[dict]:
@@ -40,12 +45,13 @@ def param_grid(estimator, grid: dict[str, Sequence]) -> list[dict]:
 class CVResult:
     grid_names: list[str]
     param_maps: list[dict]
-    fold_metrics: list[list[float]]  # [candidate][fold]
+    fold_metrics: list[list[float | None]]  # [candidate][fold]; None: the fold had no rows
     metric: str
 
     @property
     def avg_metrics(self) -> list[float]:
-        return [sum(m) / len(m) for m in self.fold_metrics]
+        """Means over the folds that had rows to score."""
+        return [sum(m) / len(m) for m in ([v for v in ms if v is not None] for ms in self.fold_metrics)]
 
     @property
     def best_index(self) -> int:
@@ -78,106 +84,148 @@ class CVResult:
         return spark.createDataFrame(rows, T.StructType(fields))
 
 
-def _metric_value(scored: DataFrame, label: str, metric: str) -> float:
-    return float(regression_metrics(scored, label).first()[metric])
+def _metric_values(scored: DataFrame, sets: dict, metric: str) -> list[float | None]:
+    """One metric of every (label, prediction) set in one aggregate; None without rows."""
+    row = regression_metrics_sets(scored, sets).first()
+    return [None if row[f"{p}{metric}"] is None else float(row[f"{p}{metric}"]) for p in sets]
 
 
-def auto_parallelism(df: DataFrame, floor: int = 2) -> int:
-    """Concurrent fits that keep every core busy: cores / partitions per fit.
+FIT_ROWS = 200_000
 
-    At least two, so one fit's driver-side steps (split selection, solves,
-    job setup) overlap another fit's tasks.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    parts = max(1, df.rdd.getNumPartitions())
-    return max(floor, cores // parts)
 
+def fit_layout(n_rows: int, n_parts: int, cores: int, n_fits: int) -> tuple[int, int]:
+    """(fits at once, partitions per fit) for fits on ``n_rows`` rows each.
 
-FIT_PARTITION_MERGE = 4
+    Tree fitting merges one dense histogram per node per partition per level,
+    so a partition should hold many rows: one for each FIT_ROWS rows, however
+    many cores there are. (Never more than the table has: narrowing it is a
+    coalesce, without a shuffle.) Fits run side by side until the cores are
+    busy. At 10^9 rows a fit has 5000 partitions.
+    """
+    per_fit = max(1, min(n_parts, math.ceil(n_rows / FIT_ROWS)))
+    return max(1, min(n_fits, math.ceil(cores / per_fit))), per_fit
 
 
-def fit_layout(df: DataFrame, n_fits: int) -> tuple[int, int]:
-    """(concurrent fits, partitions per fit) for ``n_fits`` independent fits.
+def depth_predictions(model, depths: Sequence[int]) -> dict[int, list[float]]:
+    """{depth: prediction by leaf index} of a tree cut at each depth.
 
-    Tree fitting merges one dense histogram per node per partition per
-    level, so total work falls with fewer partitions per fit; running more
-    fits at once keeps the cores busy instead. Partitions per fit are the
-    smallest of: the table's partitions (a coalesce is narrow, no shuffle),
-    the cores left per concurrent fit, and a quarter of the table's
-    partitions (~200k rows each for a table laid out by
-    ``training_partitions``). That last bound matters on a large cluster,
-    where cores per fit would otherwise leave ~50k-row partitions, each
-    shipping up to ~750 MB of deep-level histograms for ~6 MB of data.
+    A tree grown to depth d is the upper part of one grown deeper with the
+    same settings, so one deep fit holds the shallower ones. Read from the
+    saved model's node table: at most 2^(depth + 1) rows.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    parts = max(1, df.rdd.getNumPartitions())
-    par = max(1, min(n_fits, cores))
-    per_fit = min(parts, cores // par, max(1, parts // FIT_PARTITION_MERGE))
-    return par, max(1, per_fit)
+    spark = SparkSession.getActiveSession() or SparkSession.builder.getOrCreate()
+    path = shared_dir(spark, "tree")
+    model.write().save(path)
+    try:
+        nodes = {r.id: r for r in spark.read.parquet(f"{path}/data").select("id", "prediction", "leftChild", "rightChild").collect()}
+    finally:
+        fs.remove(spark, path)
+    out = {d: [] for d in depths}
+
+    def walk(i: int, above: list[float]) -> None:
+        above = [*above, nodes[i].prediction]
+        if nodes[i].leftChild < 0:
+            for d in depths:
+                out[d].append(above[min(d, len(above) - 1)])
+        else:
+            walk(nodes[i].leftChild, above)
+            walk(nodes[i].rightChild, above)
+    walk(0, [])
+    return out
+
+
+def _nested(estimator, maps: list[dict]) -> list[tuple[dict, list[int]]]:
+    """(params to fit, candidates it serves): trees that differ in depth only share the deepest fit."""
+    depth = estimator.maxDepth if isinstance(estimator, DecisionTreeRegressor) else None
+    groups: dict[tuple, list[int]] = {}
+    for i, pm in enumerate(maps):
+        rest = tuple(sorted((p.name, v) for p, v in pm.items() if p != depth)) if depth in pm else ("", i)
+        groups.setdefault(rest, []).append(i)
+    return [(max((maps[i] for i in g), key=lambda pm: pm.get(depth, 0) if depth is not None else 0), g) for g in groups.values()]
 
 
 def cross_validate(df: DataFrame, feature_stages: Callable[[], list], estimator,
                    grid: dict[str, Sequence], label: str, fold_col: str,
                    num_folds: int, metric: str = "rmse", parallelism: int | None = None,
-                   persist: bool = True, skip_single: bool = False) -> CVResult:
+                   persist: bool = True, n_rows: int | None = None) -> CVResult:
     """k-fold CV; rows with ``fold_col == f`` validate fold f.
 
     feature_stages  factory returning fresh, unfitted feature stages
-    parallelism     (fold, candidate) fits running at once; None picks it
-                    with ``fit_layout`` (and narrows each fold's partitions
-                    to match). Driver threads only submit jobs; executors
-                    do the work.
-    skip_single     with one candidate there is nothing to choose: skip the
-                    k fits and report its metric as NaN
+    parallelism     (fold, candidate) fits running at once, on the table's own
+                    partitions; None picks it and the partitions of each fit
+                    with ``fit_layout``. Driver threads only submit jobs;
+                    executors do the work.
+    n_rows          the table's rows, if known
 
     Each fold's feature stages are fitted once on its training rows and the
-    transformed rows are kept (memory and disk) for all its candidates.
+    transformed rows are kept (memory and disk) for all its candidates, then
+    freed; at most ``fits at once`` folds and one more are held. Decision
+    trees that differ in depth only are read off the deepest one. A fold
+    without rows to score counts in no mean; without training rows, or if all
+    folds are such, an error names it.
     """
     maps = param_grid(estimator, grid)
-    grid_names = list(grid.keys())
-    if skip_single and len(maps) == 1:
-        return CVResult(grid_names, maps, [[float("nan")]], metric)
-    n_fits = num_folds * len(maps)
+    fits = _nested(estimator, maps)
+    n_fits = num_folds * len(fits)
     if parallelism is None:
-        par, per_fit = fit_layout(df, n_fits)
+        n_rows = df.count() if n_rows is None else n_rows
+        par, per_fit = fit_layout(n_rows * (num_folds - 1) // max(1, num_folds), df.rdd.getNumPartitions(),
+                                  df.sparkSession.sparkContext.defaultParallelism, n_fits)
     else:
         par, per_fit = parallelism, None
-    keep = persist and len(maps) > 1
+    par = max(1, min(par, n_fits))
+    keep = persist and len(fits) > 1
+    values: list[list[float | None]] = [[None] * num_folds for _ in maps]
 
     def fold_data(f):
         train_f = df.where(F.col(fold_col) != F.lit(f))
         valid_f = df.where(F.col(fold_col) == F.lit(f))
+        if train_f.isEmpty():
+            raise ValueError(f"fold {f} has no training rows")
         stages = feature_stages()
         feats = Pipeline(stages=stages).fit(train_f) if stages else PipelineModel(stages=[])
-        tr, va = feats.transform(train_f), feats.transform(valid_f)
         # Fits and scoring read only the label and the feature vector.
         needed = [label, estimator.getFeaturesCol()]
-        tr, va = tr.select(*needed), va.select(*needed)
+        tr, va = (feats.transform(x).select(*needed) for x in (train_f, valid_f))
         if per_fit is not None and per_fit < df.rdd.getNumPartitions():
             tr, va = tr.coalesce(per_fit), va.coalesce(per_fit)
         if keep:
-            tr = tr.persist(StorageLevel.MEMORY_AND_DISK)
-            va = va.persist(StorageLevel.MEMORY_AND_DISK)
+            tr, va = tr.persist(StorageLevel.MEMORY_AND_DISK), va.persist(StorageLevel.MEMORY_AND_DISK)
         return tr, va
 
-    metrics = [[0.0] * num_folds for _ in maps]
-    with ThreadPoolExecutor(max_workers=max(1, min(par, n_fits))) as pool:
-        folds = list(pool.map(fold_data, range(num_folds)))
-
-        def fit_eval(job):
-            f, i = job
-            tr, va = folds[f]
-            model = estimator.fit(tr, maps[i])
-            return f, i, _metric_value(model.transform(va), label, metric)
-
-        jobs = [(f, i) for f in range(num_folds) for i in range(len(maps))]
-        for f, i, value in pool.map(fit_eval, jobs):
-            metrics[i][f] = value
-    if keep:
-        for tr, va in folds:
-            tr.unpersist()
-            va.unpersist()
-    return CVResult(grid_names, maps, metrics, metric)
+    def fit_eval(f, tr, va, pm, served):
+        depths = [maps[i].get(estimator.maxDepth) for i in served] if len(served) > 1 else []
+        if not depths:
+            model = estimator.fit(tr, pm)
+            found = _metric_values(model.transform(va), {"": (label, "prediction")}, metric)
+        else:
+            model = estimator.copy({estimator.leafCol: "__leaf"}).fit(tr, pm)
+            by_depth = depth_predictions(model, depths)
+            scored = model.transform(va).withColumns({
+                f"__p{d}": F.element_at(F.lit(by_depth[d]), F.col("__leaf").cast("int") + 1) for d in depths})
+            found = _metric_values(scored, {f"d{d}_": (label, f"__p{d}") for d in depths}, metric)
+        for i, value in zip(served, found):
+            values[i][f] = value
+
+    room = Semaphore(min(num_folds, par + 1))  # folds held at a time
+
+    def run_fold(f, pool):
+        with room:
+            tr, va = fold_data(f)
+            try:
+                for job in [pool.submit(fit_eval, f, tr, va, pm, served) for pm, served in fits]:
+                    job.result()
+            finally:
+                if keep:
+                    tr.unpersist()
+                    va.unpersist()
+
+    with ThreadPoolExecutor(max_workers=par) as pool, ThreadPoolExecutor(max_workers=num_folds) as folds:
+        for fold in [folds.submit(run_fold, f, pool) for f in range(num_folds)]:
+            fold.result()
+    if all(v is None for v in values[0]):
+        raise ValueError("no fold has rows to score")
+    return CVResult(list(grid.keys()), maps, values, metric)
 
 
 def cross_validate_plain(df: DataFrame, feature_stages: Callable[[], list], estimator,

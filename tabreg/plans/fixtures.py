@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 KEYS = ("l_orderkey", "l_linenumber", "l_partkey")
 
+# --- fixed values: the columns of the flight table -------------------------
 RAW_COLUMNS = (
     "Year", "Month", "DayofMonth", "DayOfWeek", "DepTime", "CRSDepTime", "CRSArrTime",
     "UniqueCarrier", "FlightNum", "TailNum", "CRSElapsedTime", "ArrDelay", "DepDelay",

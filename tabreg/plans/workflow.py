@@ -1,4 +1,4 @@
-"""End-to-end: clean -> split -> cross-validate -> refit -> score held-out rows.
+"""End-to-end: split -> clean -> cross-validate -> refit -> score held-out rows.
 
 ``train_evaluate`` is the original application's run for one model choice;
 ``compare_models`` runs every (time mode, label, model) combination the
@@ -7,17 +7,19 @@ returning one row per combination.
 
 Leak-free by default: fill means, category order and the model are fitted on
 training rows only and saved together as one ``PipelineModel``; the split
-and the folds are keyed hashes, so the same rows are held out on every run.
-``fit_fill_on="all"`` reproduces the original's means over all rows.
+and the folds are keyed hashes (of all columns, unless keys are given), so
+the same rows are held out on every run. The sample cap bounds training rows
+only: every held-out row is scored. ``fit_fill_on="all"`` takes the means of
+all rows, as the original did.
 """
 
 from __future__ import annotations
 
+import hashlib
 import json
 import math
-from concurrent.futures import ThreadPoolExecutor
-from collections.abc import Sequence
-from dataclasses import dataclass
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, replace
 
 from pyspark import StorageLevel
 from pyspark.ml import PipelineModel
@@ -32,20 +34,22 @@ from ..spec import LABEL, LABEL_CUBE_ROOT, SAMPLE_CAP, SAMPLE_SEED, FeatureSpec
 
 FOLD = "__fold"
 SPLIT = "__split"
+#: ``keys`` value for seeded per-row draws, which depend on the table's layout.
+RAND = "rand"
 
 
 @dataclass
 class Evaluation:
     metrics: DataFrame          # one row
     model: PipelineModel        # features + fitted regressor
-    cv: CVResult
+    cv: CVResult | None         # None for a loaded model
     test_scored: DataFrame      # held-out rows with ``prediction``
-    prepared: DataFrame | None = None
+    train: DataFrame | None = None
 
     def release(self) -> None:
-        """Drop the cached cleaned table (results stay computable from the source)."""
-        if self.prepared is not None and self.prepared.is_cached:
-            self.prepared.unpersist()
+        """Drop the cached training table (results stay computable from the source)."""
+        if self.train is not None and self.train.is_cached:
+            self.train.unpersist()
 
 
 def prepare(raw: DataFrame, spec: FeatureSpec, fit_fill_on: str = "train") -> DataFrame:
@@ -62,7 +66,7 @@ def prepare(raw: DataFrame, spec: FeatureSpec, fit_fill_on: str = "train") -> Da
         out = clean.constant_impute(out, spec.derived_clock)
     elif fit_fill_on == "all":
         # The original left <c>Min unfilled, which NaN-poisons whole rows
-        # after L1 normalisation; fill them from the same all-row means.
+        # after L1 normalisation; fill them from the means of all labelled rows.
         out = clean.mean_impute(out, spec.derived_clock)
     return out
 
@@ -77,12 +81,10 @@ def prepare_modes(raw: DataFrame, base: FeatureSpec, time_modes: Sequence[str],
     The modes differ only in derived columns, so one scan, one shuffle and
     one cached copy serve all of them; each spec reads its own columns.
     """
-    first = FeatureSpec(categorical=base.categorical, continuous=base.continuous, clock=base.clock,
-                        label=LABEL, time_mode=time_modes[0], drop=base.drop, na_tokens=base.na_tokens)
-    out = prepare(raw, first, fit_fill_on)
+    base = replace(base, label=base.raw_label)
+    out = prepare(raw, replace(base, time_mode=time_modes[0]), fit_fill_on)
     for mode in time_modes[1:]:
-        other = FeatureSpec(categorical=base.categorical, continuous=base.continuous, clock=base.clock,
-                            label=LABEL, time_mode=mode, drop=base.drop, na_tokens=base.na_tokens)
+        other = replace(base, time_mode=mode)
         out = clean.add_clock_features(out, other.clock, mode)
         if mode == "categorical":
             out = clean.constant_impute(out, other.derived_clock)
@@ -91,64 +93,73 @@ def prepare_modes(raw: DataFrame, base: FeatureSpec, time_modes: Sequence[str],
     return out
 
 
-def training_partitions(spark, expected_rows: int,
-                        rows_per_partition: int = ROWS_PER_PARTITION) -> int:
-    """Partitions for a table that models are fitted on.
+def assigned(raw: DataFrame, keys: Sequence[str] | str | None, train_percent: int = 80,
+             num_folds: int = 5, seed: int = 1) -> DataFrame:
+    """``raw`` with its side of the split and its fold.
 
-    Tree fitting makes every partition emit a dense histogram (features x
-    bins x 3 doubles) per node per level, so more partitions mean more
-    shuffle; fewer mean idle cores. About 50k rows per partition, and never
-    more partitions than cores, balances the two. The training table is
-    bounded by the sample cap, so this stays small at any input size.
+    By default both are hashes of all columns, so equal rows stay together and
+    neither layout nor retries move a row; ``keys`` names the columns to hash,
+    ``RAND`` asks for seeded draws per row.
     """
-    cores = spark.sparkContext.defaultParallelism
-    return max(1, min(cores, math.ceil(max(expected_rows, 1) / rows_per_partition)))
+    if keys == RAND:
+        return raw.withColumns({
+            SPLIT: F.when(F.rand(seed) < F.lit(train_percent / 100.0), F.lit("train")).otherwise(F.lit("test")),
+            FOLD: F.floor(F.rand(seed + 1) * F.lit(num_folds)).cast("int")})
+    keys = list(keys) if keys else raw.columns
+    return raw.withColumns({SPLIT: sampling.split_column(keys, train_percent), FOLD: sampling.fold_column(keys, num_folds)})
 
 
-def bounded_input(raw: DataFrame, max_rows: int | None, sample_keys: Sequence[str] | None = None,
-                  seed: int = SAMPLE_SEED) -> tuple[DataFrame, int]:
-    """The original's bounded sample and its expected size.
+ROWS_PER_PARTITION = 50_000
+
+
+def training_partitions(n_rows: int, rows_per_partition: int = ROWS_PER_PARTITION) -> int:
+    """Partitions for a table that models are fitted on: by its rows alone, 50k each.
 
-    Per-row Bernoulli by default (the original's sampler; deterministic on
-    recompute for a given input layout), so the cap holds in expectation
-    even if one key value covers a third of the rows. ``sample_keys`` makes
-    the choice a keyed hash instead, at the price that a hot key group is
-    taken or left whole.
+    ``selection.fit_layout`` narrows them further for tree fits.
     """
-    n = raw.count()
-    if max_rows is None:
-        return raw, n
-    sampled = sampling.bounded_sample(raw, max_rows=max_rows, keys=sample_keys, seed=seed, n_rows=n)
-    return sampled, min(n, max_rows)
-
-
-def cached_training_table(prepared: DataFrame, expected_rows: int) -> DataFrame:
-    """Repartition the (bounded) cleaned table for fitting, checkpoint, persist.
-
-    The shuffle moves at most the sample cap's rows; the scan before it keeps
-    the input's own parallelism. The reliable checkpoint (written under
-    ``spark.checkpoint.dir``) cuts the lineage, so an executor lost during a
-    long search recomputes its blocks from the bounded table, not from a
-    rescan and resample of the whole input; the persisted copy serves the
-    repeated passes.
+    return max(1, math.ceil(n_rows / rows_per_partition))
+
+
+def training_table(prepared: DataFrame, specs: Sequence[FeatureSpec], max_rows: int | None = SAMPLE_CAP,
+                   sample_keys: Sequence[str] | None = None, seed: int = SAMPLE_SEED) -> tuple[DataFrame, int]:
+    """(training rows of a prepared table, how many about): sampled, pruned, checkpointed, persisted.
+
+    ``max_rows`` is the original's cap (1.5 M rows), here a bound on labelled
+    training rows: per-row Bernoulli with the original's seed, so a hot key
+    can't pass it; ``sample_keys`` makes it a keyed hash. Only the labels, the
+    specs' feature inputs and the fold are kept. The reliable checkpoint
+    (under ``spark.checkpoint.dir``) cuts the lineage, so an executor lost
+    during a long search never rescans the input.
     """
-    spark = prepared.sparkSession
-    checkpoint_root(spark)
-    target = training_partitions(spark, expected_rows)
-    table = prepared.repartition(target).checkpoint(eager=True)
-    return table.persist(StorageLevel.MEMORY_AND_DISK)
+    checkpoint_root(prepared.sparkSession)
+    wanted = dict.fromkeys([LABEL_CUBE_ROOT, *(c for s in specs for c in (s.raw_label, s.label, *s.index_inputs, *s.numeric_inputs)), FOLD])
+    train = prepared.where(F.col(SPLIT) == "train").select(*wanted)
+    n = train.count()
+    if max_rows is not None:
+        train = sampling.bounded_sample(train if not sample_keys else prepared.where(F.col(SPLIT) == "train"),
+                                        max_rows=max_rows, keys=sample_keys, seed=seed, n_rows=n).select(*wanted)
+        n = min(n, max_rows)
+    table = train.repartition(training_partitions(n)).checkpoint(eager=True)
+    return table.persist(StorageLevel.MEMORY_AND_DISK), n
 
 
 def materialized_inputs(spark, csv_path: str, root: str, spec: FeatureSpec = FeatureSpec(),
                         max_rows: int | None = SAMPLE_CAP, seed: int = SAMPLE_SEED) -> DataFrame:
     """The original's read-through chain, ending in a typed Parquet table.
 
-    Use ``<root>/merged_processed_dataset`` if it exists; else build it from
-    ``<root>/merged_dataset`` (cleaning chain, means over all rows); else
-    build that from the raw CSV (bounded Bernoulli sample, seed 1234). Each
-    level is written once and read back. Unlike the original, the cleaned
-    table is written too, so a rerun skips cleaning.
+    Use ``<root>/merged_processed_dataset-...`` if it exists; else build it from
+    ``<root>/merged_dataset-...`` (cleaning chain, means over all rows); else
+    build that from the raw CSV (bounded Bernoulli sample, seed 1234). The
+    names hold the source, cap and seed, and the cleaned table's also the
+    spec, so another choice never finds this one's table. Each level is
+    written once and read back. Unlike the original, the cleaned table is
+    written too, so a rerun skips cleaning.
     """
+    def short(x) -> str:
+        return hashlib.md5(repr(x).encode()).hexdigest()[:8]
+
+    sample = f"{short(csv_path)}-{'all' if max_rows is None else max_rows}-{seed}"
+
     def merged():
         raw = io.read_raw(spark, csv_path)
         if max_rows is None:
@@ -156,128 +167,127 @@ def materialized_inputs(spark, csv_path: str, root: str, spec: FeatureSpec = Fea
         return sampling.bounded_sample(raw, max_rows=max_rows, seed=seed)
 
     def processed():
-        return clean.preprocess(io.read_or_build(spark, f"{root}/merged_dataset", merged), spec)
-
-    return io.read_or_build(spark, f"{root}/merged_processed_dataset", processed)
-
-
-def _with_assignments(df: DataFrame, keys: Sequence[str] | None, train_percent: int,
-                      num_folds: int, seed: int) -> DataFrame:
-    if keys:
-        return df.withColumns({SPLIT: sampling.split_column(keys, train_percent),
-                               FOLD: sampling.fold_column(keys, num_folds)})
-    # No key: seeded per-row draws (stable while the input layout is stable).
-    u = F.rand(seed)
-    return df.withColumns({
-        SPLIT: F.when(u < F.lit(train_percent / 100.0), F.lit("train")).otherwise(F.lit("test")),
-        FOLD: F.floor(F.rand(seed + 1) * F.lit(num_folds)).cast("int"),
-    })
-
-
-def evaluate_prepared(prepared: DataFrame, spec: FeatureSpec, model: str = "dt",
-                      keys: Sequence[str] | None = None, grid: dict | None = None,
-                      num_folds: int | None = None, parallelism: int | None = None,
-                      fit_fill_on: str = "train", normalize: bool = True,
-                      train_percent: int = 80, seed: int = 1,
-                      estimator_params: dict | None = None,
-                      model_dir: str | None = None, cv_single: bool = False) -> Evaluation:
-    """Cross-validate, refit and score one model on a prepared table.
-
-    A grid with a single candidate skips cross-validation (the choice is
-    already made; ``cv_rmse`` is NaN) unless ``cv_single`` asks for it.
+        return clean.preprocess(io.read_or_build(spark, f"{root}/merged_dataset-{sample}", merged), spec)
+
+    return io.read_or_build(spark, f"{root}/merged_processed_dataset-{sample}-{spec.tag}-{short(spec)}", processed)
+
+
+def _for_model(choice, model: str):
+    """``choice`` itself, or its entry for the model if it maps model names."""
+    if isinstance(choice, Mapping) and choice and all(isinstance(v, Mapping) for v in choice.values()):
+        return choice.get(model)
+    return choice
+
+
+def evaluate(train: DataFrame, n_train: int, test: DataFrame, spec: FeatureSpec, model: str = "dt",
+             grid: dict | None = None, num_folds: int | None = None, parallelism: int | None = None,
+             fit_fill_on: str = "train", normalize: bool = True, estimator_params: dict | None = None,
+             model_dir: str | None = None) -> Evaluation:
+    """Cross-validate on ``train``, refit, and score every row of ``test``.
+
+    With ``model_dir`` a model saved there for this model, label and mode is
+    loaded and only scored (``loaded`` is true, ``cv_rmse`` NaN); else the
+    fitted one is saved there.
     """
-    spark = prepared.sparkSession
-    label = spec.label
+    spark, label = train.sparkSession, spec.label
+    grid = _for_model(grid, model)
     grid = estimators.GRIDS[model] if grid is None else grid
     k = estimators.FOLDS[model] if num_folds is None else num_folds
-    data = _with_assignments(prepared, keys, train_percent, k, seed)
-    train = data.where(F.col(SPLIT) == "train").drop(SPLIT)
-    test = data.where(F.col(SPLIT) == "test").drop(SPLIT, FOLD)
-
     est = estimators.make_estimator(model, label, features.features_col(normalize), spark=spark,
-                                    **(estimator_params or {}))
+                                    **(_for_model(estimator_params, model) or {}))
+    cv: CVResult | None = None
 
     def stages():
         return features.feature_stages(spec, impute=(fit_fill_on == "train"), normalize=normalize)
 
-    # parallelism=None: a fit layout sized to the cores (selection.fit_layout)
-    # replaces the original's fixed candidate parallelism; it never changes a result.
-    cv = selection.cross_validate(train, stages, est, grid, label, FOLD, k, parallelism=parallelism,
-                                  skip_single=not cv_single)
-    fitted = selection.fit_best(train.drop(FOLD), stages, est, cv.best_params)
+    def search():
+        nonlocal cv
+        cv = selection.cross_validate(train, stages, est, grid, label, FOLD, k, parallelism=parallelism, n_rows=n_train)
+        return selection.fit_best(train.drop(FOLD), stages, est, cv.best_params)
+
     if model_dir:
-        model_store.save_model(fitted, model_store.model_path(model_dir, model, label, spec.time_mode))
+        path = model_store.model_path(model_dir, model, label, spec.time_mode)
+        fitted, loaded = model_store.load_or_train(path, PipelineModel, search)
+    else:
+        fitted, loaded = search(), False
 
     scored = fitted.transform(test)
     if label == LABEL_CUBE_ROOT:
         # Also report in the original label's units (prediction cubed).
-        orig_pair = (LABEL, "__back")
+        orig_pair = (spec.raw_label, "__back")
         scored_m = scored.withColumn("__back", F.pow(F.col("prediction"), F.lit(3.0)))
     else:
         orig_pair, scored_m = (label, "prediction"), scored
     m = metrics.regression_metrics_sets(scored_m, {"": (label, "prediction"), "orig_": orig_pair})
-    best = {k2: (v.item() if hasattr(v, "item") else v) for k2, v in cv.best_params.items()}
+    chosen = estimators.chosen_params(fitted.stages[-1])
+    best = {name: v.item() if hasattr(v, "item") else v for name, v in cv.best_params.items()} if cv else {
+        name: chosen[name] for name in grid if name in chosen}
     out = m.select(
         F.lit(model).alias("model"), F.lit(label).alias("label"),
         F.lit(spec.time_mode).alias("time_mode"),
         F.lit(json.dumps(best, sort_keys=True)).alias("best_params"),
-        F.lit(json.dumps(estimators.chosen_params(fitted.stages[-1]), sort_keys=True)).alias("model_params"),
-        F.lit(float(cv.avg_metrics[cv.best_index])).alias(f"cv_{cv.metric}"),
+        F.lit(json.dumps(chosen, sort_keys=True)).alias("model_params"),
+        F.lit(float(cv.avg_metrics[cv.best_index]) if cv else float("nan")).alias("cv_rmse"),
+        F.lit(loaded).alias("loaded"),
         F.col("n").alias("n_test"), "mse", "rmse", "r2", "mae",
         "orig_mse", "orig_rmse", "orig_r2", "orig_mae",
     )
-    return Evaluation(out, fitted, cv, scored, prepared)
+    return Evaluation(out, fitted, cv, scored, train)
+
+
+def _folds_of(models: Sequence[str], num_folds: int | None) -> dict[str, int]:
+    return {m: estimators.FOLDS[m] if num_folds is None else num_folds for m in models}
 
 
 def train_evaluate(raw: DataFrame, spec: FeatureSpec = FeatureSpec(), model: str = "dt",
-                   keys: Sequence[str] | None = None, fit_fill_on: str = "train",
+                   keys: Sequence[str] | str | None = None, fit_fill_on: str = "train",
                    max_rows: int | None = SAMPLE_CAP, sample_keys: Sequence[str] | None = None,
-                   **kwargs) -> Evaluation:
-    """Sample, clean and evaluate one model (the original's default: dt).
+                   num_folds: int | None = None, train_percent: int = 80, seed: int = 1, **kwargs) -> Evaluation:
+    """Split, clean and evaluate one model (the original's default: dt).
 
-    ``max_rows`` is the original's sample cap (1.5 M rows): training work is
-    bounded however large the input is; only the count and the sampling
-    scan touch every row. ``None`` trains on everything.
+    ``max_rows`` bounds the training rows, ``None`` trains on all of them;
+    the held-out rows are all scored, whatever it is.
     """
-    bounded, expected = bounded_input(raw, max_rows, sample_keys)
-    prepared = cached_training_table(prepare(bounded, spec, fit_fill_on), expected)
-    return evaluate_prepared(prepared, spec, model=model, keys=keys, fit_fill_on=fit_fill_on, **kwargs)
+    k = _folds_of([model], num_folds)[model]
+    prepared = prepare(assigned(raw, keys, train_percent, k, seed), spec, fit_fill_on)
+    train, n = training_table(prepared, [spec], max_rows, sample_keys)
+    test = prepared.where(F.col(SPLIT) == "test").drop(SPLIT, FOLD)
+    try:
+        return evaluate(train, n, test, spec, model=model, num_folds=k, fit_fill_on=fit_fill_on, **kwargs)
+    except BaseException:
+        train.unpersist()
+        raise
 
 
 def compare_models(raw: DataFrame, models: Sequence[str] = ("lr", "dt", "rf"),
                    time_modes: Sequence[str] = ("numeric", "categorical"),
                    labels: Sequence[str] = (LABEL, LABEL_CUBE_ROOT),
-                   keys: Sequence[str] | None = None, fit_fill_on: str = "train",
+                   keys: Sequence[str] | str | None = None, fit_fill_on: str = "train",
                    base: FeatureSpec = FeatureSpec(), max_rows: int | None = SAMPLE_CAP,
-                   sample_keys: Sequence[str] | None = None, **kwargs) -> DataFrame:
-    """One metrics row per (time mode, label, model) combination.
-
-    One cleaned table (clock features of every mode) is built and persisted
-    once and shared by all combinations.
+                   sample_keys: Sequence[str] | None = None, num_folds: int | None = None,
+                   train_percent: int = 80, seed: int = 1, **kwargs) -> DataFrame:
+    """One metrics row per (time mode, label, model) combination, each model with its own grid and folds.
+
+    One cleaned training table (clock features of every mode) is built and
+    persisted once and shared by all combinations; one search fills the
+    cores, so combinations run one after another. ``grid`` and
+    ``estimator_params`` may map model names to their own.
     """
     spark = raw.sparkSession
-    bounded, expected = bounded_input(raw, max_rows, sample_keys)
-    prepared = cached_training_table(prepare_modes(bounded, base, list(time_modes), fit_fill_on), expected)
-
-    def run(combo):
-        mode, label, model = combo
-        spec = FeatureSpec(categorical=base.categorical, continuous=base.continuous,
-                           clock=base.clock, label=label, time_mode=mode, drop=base.drop,
-                           na_tokens=base.na_tokens)
-        ev = evaluate_prepared(prepared, spec, model=model, keys=keys, fit_fill_on=fit_fill_on, **kwargs)
-        # One aggregate row per combination, computed while the table is cached.
-        return ev.metrics.first(), ev.metrics.schema
-
-    combos = [(mode, label, model) for mode in time_modes for label in labels for model in models]
-    # Single-candidate grids fit once per combination: run combinations side
-    # by side. Otherwise each search already fills the cores (and caches its
-    # folds), so combinations run one after another.
-    grid = kwargs.get("grid")
-    grids = [estimators.GRIDS[m] if grid is None else grid for m in models]
-    single = all(all(len(v) <= 1 for v in g.values()) for g in grids)
-    workers = max(1, min(len(combos), selection.auto_parallelism(prepared))) if single else 1
-    with ThreadPoolExecutor(max_workers=workers) as pool:
-        results = list(pool.map(run, combos))
-    rows, schema = [r for r, _ in results], results[0][1]
-    prepared.unpersist()
+    rows, schema = [], None
+    specs = {(mode, label): replace(base, label=label, time_mode=mode) for mode in time_modes for label in labels}
+    folds = _folds_of(models, num_folds)
+    for k in sorted(set(folds.values())):
+        prepared = prepare_modes(assigned(raw, keys, train_percent, k, seed), base, list(time_modes), fit_fill_on)
+        train, n = training_table(prepared, list(specs.values()), max_rows, sample_keys)
+        test = prepared.where(F.col(SPLIT) == "test").drop(SPLIT, FOLD)
+        try:
+            for (mode, label), spec in specs.items():
+                for model in (m for m in models if folds[m] == k):
+                    ev = evaluate(train, n, test, spec, model=model, num_folds=k, fit_fill_on=fit_fill_on, **kwargs)
+                    # One aggregate row per combination, computed while the table is cached.
+                    rows.append(ev.metrics.first())
+                    schema = ev.metrics.schema
+        finally:
+            train.unpersist()
     return spark.createDataFrame(rows, schema)

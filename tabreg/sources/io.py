@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.hashing import hash_unit
+from . import fs
 
 
 def raw_schema(columns: Sequence[str]) -> T.StructType:
@@ -54,12 +55,6 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def is_path_not_found(exc: AnalysisException) -> bool:
-    condition = getattr(exc, "getCondition", None) or getattr(exc, "getErrorClass", None)
-    name = condition() if condition else None
-    return name == "PATH_NOT_FOUND" or (name is None and "PATH_NOT_FOUND" in str(exc))
-
-
 def read_or_build(spark: SparkSession, path: str,
                   builder: Callable[[], DataFrame]) -> DataFrame:
     """Read the Parquet table at ``path``; if it is missing, build, write, read.
@@ -67,14 +62,17 @@ def read_or_build(spark: SparkSession, path: str,
     The result is always the table read back from storage, so later stages
     start from Parquet (typed, prunable, pushdown-able) instead of
     re-running the builder's lineage, and a lost executor recomputes from
-    the written files. Any error other than a missing path is raised.
+    the written files. The table is built beside ``path`` and renamed when it
+    is complete, so a broken build leaves nothing under the name; of two
+    builders the first to finish wins. A folder without Spark's success marker
+    is not a table of this function and raises.
     """
-    try:
-        return read_table(spark, path)
-    except AnalysisException as exc:
-        if not is_path_not_found(exc):
-            raise
-    write_table(builder(), path, mode="errorifexists")
+    path = path.rstrip("/")
+    if not fs.exists(spark, path):
+        built = write_table(builder(), f"{path}.building-{uuid.uuid4().hex[:12]}")
+        fs.publish(spark, built, path)
+    if not fs.is_complete(spark, path):
+        raise ValueError(f"{path} has no _SUCCESS marker: an unfinished or foreign folder; remove it to build the table")
     return read_table(spark, path)
 
 

@@ -6,12 +6,13 @@ shared checkpoint folder), never to a machine-local folder.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 
-from .io import is_path_not_found
+from ..session import active_session
+from . import fs
 
 
 def model_path(root: str, model: str, label: str, time_mode: str) -> str:
@@ -31,27 +32,18 @@ def load_model(model_cls, path: str):
     return model_cls.load(path)
 
 
-def _missing(exc: Exception) -> bool:
-    if isinstance(exc, AnalysisException):
-        return is_path_not_found(exc)
-    text = str(exc)
-    return ("InvalidInputException" in text or "FileNotFoundException" in text
-            or "PATH_NOT_FOUND" in text or "does not exist" in text)
-
-
 def load_or_train(path: str, model_cls, train: Callable[[], object]):
-    """Load the model at ``path``; if it is not there, train, save, return it.
+    """Load the model at ``path``; if nothing is there, train, save, return it.
 
-    Returns ``(model, loaded)``. Only a missing path triggers training; any
-    other failure (corrupt folder, wrong class) is raised.
+    Returns ``(model, loaded)``. Only an absent folder triggers training. A
+    folder that can't be loaded (damaged, of another class) raises and is left
+    as it is. A model is saved beside ``path`` and renamed when complete.
     """
-    try:
+    spark, path = active_session(), path.rstrip("/")
+    if fs.exists(spark, path):
         return load_model(model_cls, path), True
-    except Exception as exc:  # noqa: BLE001 - Py4J wraps the JVM's errors
-        if not _missing(exc):
-            raise
     model = train()
-    save_model(model, path)
+    fs.publish(spark, save_model(model, f"{path}.saving-{uuid.uuid4().hex[:12]}"), path)
     return model, False
 
 

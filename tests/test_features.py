@@ -43,11 +43,3 @@ def test_feature_stages_layout():
     assert len(cat.feature_names) == 16 and cat.feature_names[9] == "DepTimeDiscIndex"
     stages = features.feature_stages(spec)
     assert [type(s).__name__ for s in stages] == ["Imputer", "StringIndexer", "VectorAssembler", "Normalizer"]
-
-
-def test_assert_finite(spark):
-    df = spark.createDataFrame([(1.0, None)], "a double, b double")
-    out = features.vector_assembler(["a", "b"]).transform(df)
-    import pytest
-    with pytest.raises(ValueError, match="NaN"):
-        features.assert_finite(out, "features")

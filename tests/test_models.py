@@ -105,3 +105,22 @@ def test_forest_without_bootstrap_equals_group_means(spark):
 def test_unknown_model():
     with pytest.raises(ValueError):
         estimators.make_estimator("svm", "y")
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_metrics_of_degenerate_rows(spark, ansi):
+    """As Spark's evaluator: a constant label, one row, an exact prediction; no rows give nulls."""
+    from pyspark.ml.evaluation import RegressionEvaluator
+    from tabreg.operators import metrics
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        for rows in ([(2.0, 1.0), (2.0, 3.0)], [(2.0, 1.0)], [(2.0, 2.0), (2.0, 2.0)], [(1.0, 1.0), (3.0, 2.0)]):
+            df = spark.createDataFrame(rows, "y double, prediction double")
+            got = metrics.regression_metrics(df, "y", extra=True).first()
+            for name in ("mse", "rmse", "r2", "mae"):
+                want = RegressionEvaluator(labelCol="y", metricName=name).evaluate(df)
+                assert got[name] == pytest.approx(want, nan_ok=True)
+        empty = metrics.regression_metrics(spark.createDataFrame([], "y double, prediction double"), "y").first()
+        assert empty.n == 0 and empty.rmse is None and empty.r2 is None
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")

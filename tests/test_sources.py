@@ -44,6 +44,35 @@ def test_read_or_build_builds_once(spark):
     assert a.count() == b.count() == 5 and len(calls) == 1
 
 
+def test_read_or_build_refuses_an_unfinished_folder(spark):
+    from tabreg.sources import fs
+    path = shared_dir(spark, "t-part")
+    spark.range(50).write.parquet(path)
+    fs.remove(spark, f"{path}/_SUCCESS")
+    with pytest.raises(ValueError, match="_SUCCESS"):
+        io.read_or_build(spark, path, lambda: spark.range(5))
+    broken = shared_dir(spark, "t-broken")
+    with pytest.raises(Exception):
+        io.read_or_build(spark, broken, lambda: spark.range(5).selectExpr("assert_true(id < 2) as x"))
+    assert not fs.exists(spark, broken)  # a failed build leaves nothing under the name
+    assert io.read_or_build(spark, broken, lambda: spark.range(5)).count() == 5
+
+
+def test_load_or_train_leaves_a_damaged_model(spark):
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import LinearRegression, LinearRegressionModel
+    from tabreg.sources import fs, model_store
+    df = VectorAssembler(inputCols=["id"], outputCol="features").transform(spark.range(9).selectExpr("id", "id * 2.0 as label"))
+    path = model_store.model_path(shared_dir(spark, "t-model"), "lr", "label", "numeric")
+    _, loaded = model_store.load_or_train(path, LinearRegressionModel, lambda: LinearRegression().fit(df))
+    assert not loaded
+    fs.remove(spark, f"{path}/data")
+    calls = []
+    with pytest.raises(Exception):
+        model_store.load_or_train(path, LinearRegressionModel, lambda: calls.append(1))
+    assert not calls and fs.exists(spark, f"{path}/metadata") and not fs.exists(spark, f"{path}/data")
+
+
 def test_read_or_build_reraises_other_errors(spark):
     path = shared_dir(spark, "t-rob2")
     with pytest.raises(ZeroDivisionError):

@@ -47,7 +47,52 @@ def test_train_evaluate_cube_root_reports_both_units(spark, fx):
     ev = workflow.train_evaluate(fx, FeatureSpec(label="ArrDelayCubeRoot"), model="lr", keys=KEYS)
     row = ev.metrics.first()
     assert row.label == "ArrDelayCubeRoot" and row.mse < row.orig_mse
-    assert row.cv_rmse != row.cv_rmse  # single candidate: CV skipped, NaN
+    assert row.cv_rmse > 0  # a single candidate is cross-validated too
+    ev.release()
+
+
+def test_cap_bounds_training_rows_only(spark, fx):
+    rows = {}
+    for cap in (1000, None):
+        ev = workflow.train_evaluate(fx, FeatureSpec(), model="lr", keys=KEYS, max_rows=cap)
+        rows[cap] = (ev.metrics.first().n_test, ev.train.count())
+        ev.release()
+    assert rows[1000][0] == rows[None][0] > 1000
+    assert rows[1000][1] < 1200 < 4000 < rows[None][1]
+
+
+def test_saved_model_is_reused(spark, fx):
+    from tabreg.session import shared_dir
+    root = shared_dir(spark, "t-models")
+    runs = [workflow.train_evaluate(fx, FeatureSpec(), model="lr", keys=KEYS, model_dir=root, grid=g)
+            for g in ({"regParam": [0.1, 5.0]}, {"regParam": [1.0]})]
+    a, b = [ev.metrics.first() for ev in runs]
+    assert (a.loaded, b.loaded) == (False, True) and b.cv_rmse != b.cv_rmse
+    assert a.best_params == b.best_params and a.mse == pytest.approx(b.mse, rel=1e-12)
+    other = workflow.train_evaluate(fx, FeatureSpec(label="ArrDelayCubeRoot"), model="lr", keys=KEYS, model_dir=root)
+    assert not other.metrics.first().loaded  # another label has a folder of its own
+    for ev in [*runs, other]:
+        ev.release()
+
+
+def test_default_split_does_not_depend_on_layout(spark, fx):
+    def held_out(n):
+        rows = workflow.assigned(fx.repartition(n), None).where(f"{workflow.SPLIT} = 'test'")
+        return sorted(r[:] for r in rows.select(*KEYS, workflow.FOLD).collect())
+    two = held_out(2)
+    assert two == held_out(4) and 1000 < len(two) < 1400
+
+
+def test_missing_feature_column_is_named(spark, fx):
+    with pytest.raises(ValueError, match="TaxiOut"):
+        workflow.train_evaluate(fx.drop("TaxiOut"), FeatureSpec(), model="lr", keys=KEYS)
+
+
+def test_failed_search_frees_its_tables(spark, fx):
+    before = len(spark.sparkContext._jsc.getPersistentRDDs())
+    with pytest.raises(Exception):
+        workflow.train_evaluate(fx, FeatureSpec(), model="dt", keys=KEYS, grid={"maxDepth": [2, 31]}, num_folds=2)
+    assert len(spark.sparkContext._jsc.getPersistentRDDs()) <= before
 
 
 def test_compare_models_rows(spark, fx):
@@ -80,10 +125,10 @@ def test_original_fill_mode(spark, fx):
     assert type(ev.model.stages[0]).__name__ == "StringIndexerModel"  # no fitted Imputer stage
 
 
-def test_training_partitions(spark):
-    assert workflow.training_partitions(spark, 10) == 1
-    assert workflow.training_partitions(spark, 120_000) == 3
-    assert workflow.training_partitions(spark, 10**12) == spark.sparkContext.defaultParallelism
+def test_training_partitions():
+    assert workflow.training_partitions(10) == 1
+    assert workflow.training_partitions(120_000) == 3
+    assert workflow.training_partitions(10**9) == 20_000  # by rows, whatever the cores
 
 
 def test_materialized_inputs_chain(spark):
@@ -98,9 +143,10 @@ def test_materialized_inputs_chain(spark):
     n = first.count()
     assert 2500 < n < 3300 and "DepTimeMin" in first.columns
     assert dict(first.dtypes)["ArrDelay"] == "double"
-    # second call reads the written table: same rows, no new sample
-    again = workflow.materialized_inputs(spark, csv, root, max_rows=10)
-    assert again.count() == n
+    # the same choice reads the written table; another cap or mode builds its own
+    assert workflow.materialized_inputs(spark, csv, root, max_rows=3000).count() == n
+    assert workflow.materialized_inputs(spark, csv, root, max_rows=300).count() < 500
+    assert "DepTimeDisc" in workflow.materialized_inputs(spark, csv, root, FeatureSpec(time_mode="categorical"), max_rows=3000).columns
 
 
 def test_unnormalised_features_give_categorical_splits(spark, fx):
