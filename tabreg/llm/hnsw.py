@@ -53,6 +53,27 @@ class Hnsw:
             batch = np.arange(done, min(n, done + max(1, min(_BATCH, done))))
             self._insert(batch, width)
             done = int(batch[-1]) + 1
+        for _ in range(5):
+            if not self._join_lost():
+                break
+
+    def _join_lost(self) -> int:
+        """Points that no walk on the lowest level reaches take the last link of a near point that one does."""
+        near, n = self.near[0], len(self.x)
+        reached = np.zeros(n, bool)
+        reached[:1] = True
+        edge = np.flatnonzero(reached)
+        while len(edge):
+            step = near[edge]
+            step = np.unique(step[step >= 0])
+            edge = step[~reached[step]]
+            reached[edge] = True
+        lost = np.flatnonzero(~reached)
+        for u in lost:
+            links = near[u][near[u] >= 0]
+            links = links[reached[links]]
+            near[links[0] if len(links) else 0, -1] = u
+        return len(lost)
 
     def _distance(self, q: np.ndarray, ids: np.ndarray) -> np.ndarray:
         return 1.0 - np.einsum("qd,qcd->qc", q, self.x[ids])
@@ -190,6 +211,10 @@ class Hnsw:
         if not n:
             return out
         width = max(width, k)
+        if n <= width:  # so wide a beam holds every point
+            found = np.argsort(-(queries @ self.x[:, :-1].T.astype(float)), axis=1, kind="stable")[:, :k]
+            out[:, :found.shape[1]] = found
+            return out
         step = max(1, min(_BATCH, 32_000_000 // n))  # the seen marks take step * n bytes
         for lo in range(0, len(queries), step):
             q = queries[lo:lo + step]
