@@ -21,7 +21,8 @@ from ..sources import model_store
 from ..spec import FeatureSpec
 from .catalog import hash32_sql, register, round_doubles
 from .fixtures import FLIGHTS_SQL, KEYS, flights, table
-from .prep_queries import _CAST, _DOUBLES, _means_cte
+from . import workflow
+from .prep_queries import _CAST, _DOUBLES, _hhmm_sql
 
 _FX = f"fx as ({FLIGHTS_SQL})"
 _K = ", ".join(KEYS)
@@ -33,6 +34,8 @@ Y = "y"
 _LI_SQL = (f"li as (select {_K}, cast(l_quantity as double) as qx, cast(l_linenumber as double) as lx, "
            f"l_extendedprice / 1000.0 as {Y}, l_returnflag, l_linestatus, "
            f"cast(year(l_shipdate) as varchar) as ship_year, cast(l_linenumber as varchar) as line_text, "
+           f"case when l_suppkey % 10 = 0 then null when l_suppkey % 7 = 0 and {hash32_sql(KEYS)} % 100 >= 80 then 'held out only' "
+           f"else 'S' || cast(l_suppkey % 40 as varchar) end as supp_group, "
            f"{hash32_sql(KEYS)} % 100 < 80 as is_train, "
            f"cast({hash32_sql(KEYS, 'fold')} % 3 as integer) as fold from lineitem)")
 
@@ -47,6 +50,9 @@ def _lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_returnflag", "l_linestatus",
         F.year("l_shipdate").cast("string").alias("ship_year"),
         F.col("l_linenumber").cast("string").alias("line_text"),
+        F.when(F.col("l_suppkey") % 10 == 0, F.lit(None).cast("string"))
+         .when((F.col("l_suppkey") % 7 == 0) & (sampling.split_column(KEYS, 80) == F.lit("test")), F.lit("held out only"))
+         .otherwise(F.concat(F.lit("S"), (F.col("l_suppkey") % 40).cast("string"))).alias("supp_group"),
         (sampling.split_column(KEYS, 80) == F.lit("train")).alias("is_train"),
         sampling.fold_column(KEYS, 3).alias("fold"),
     )
@@ -62,12 +68,12 @@ def _r(expr: str, digits: int = 6) -> str:
 # Categories with a bounded number of values: the indexer keeps one label
 # list per column on the driver, so a key-like column (cardinality growing
 # with the table) would not hold at scale.
-_INDEX_COLS = ("l_returnflag", "l_linestatus", "ship_year", "line_text")
+_INDEX_COLS = ("l_returnflag", "l_linestatus", "ship_year", "line_text", "supp_group")
 
 
 def _label_cte(c: str) -> str:
     return (f"lab_{c} as (select {c} as v, cast(row_number() over (order by count(*) desc, {c}) - 1 as double) "
-            f"as idx from li where is_train group by {c})")
+            f"as idx from li where is_train and {c} is not null group by {c})")
 
 
 _STRING_INDEX_SQL = (
@@ -134,36 +140,36 @@ def q_l1_normalize(spark, sf_dir):
     return round_doubles(features.vector_columns(out, features.NORM_FEATURES, _VEC, prefix="n_", keep=KEYS))
 
 
-_ENC_CAT = ("UniqueCarrier", "Dest")
-_ENC_NUM = ("DepDelay", "Distance")
+_SPEC = FeatureSpec()
 
 
 def _encoding_sql() -> str:
-    fills = ", ".join(f"coalesce(case when isnan({c}) then null else {c} end, m_{c}) as {c}" for c in _ENC_NUM)
+    """The 16 features: fills, category order and means from the training rows, applied to all rows."""
+    mins = {f"{c}Min": _hhmm_sql(c) for c in _SPEC.clock}
+    numbers = {**{c: f"case when isnan({c}) then null else {c} end" for c in _SPEC.continuous}, **mins}
+    prep = (f"prep as (select {_K}, {', '.join(f'coalesce({c}, {chr(39)}No_{c}{chr(39)}) as {c}' for c in _SPEC.categorical)}, "
+            f"{', '.join(f'{x} as {c}' for c, x in numbers.items())}, {hash32_sql(KEYS)} % 100 < 80 as is_train "
+            f"from casted where ArrDelay is not null and not isnan(ArrDelay))")
+    means = f"means as (select {', '.join(f'avg({c}) as m_{c}' for c in numbers)} from prep where is_train)"
     labs = ", ".join(
-        f"lab_{c} as (select {c} as v, cast(row_number() over (order by count(*) desc, {c}) - 1 as double) "
-        f"as idx from prep group by {c})" for c in _ENC_CAT)
-    vals = [f"lab_{c}.idx" for c in _ENC_CAT] + [f"prep.{c}" for c in _ENC_NUM]
-    names = [f"{c}Index" for c in _ENC_CAT] + list(_ENC_NUM)
-    norm = " + ".join(f"abs({v})" for v in vals)
-    outs = ", ".join(f"{_r(f'case when ({norm}) = 0 then {v} else {v} / ({norm}) end')} as n_{n}"
-                     for v, n in zip(vals, names))
-    return (f"with {_FX}, {_CAST}, {_means_cte()}, "
-            f"prep as (select {_K}, {', '.join(f'coalesce({c}, {chr(39)}No_{c}{chr(39)}) as {c}' for c in _ENC_CAT)}, "
-            f"{fills} from casted, means where ArrDelay is not null and not isnan(ArrDelay)), {labs} "
-            f"select {', '.join('prep.' + k for k in KEYS)}, {outs} from prep "
-            + " ".join(f"join lab_{c} on prep.{c} = lab_{c}.v" for c in _ENC_CAT))
+        f"lab_{c} as (select {c} as v, cast(row_number() over (order by count(*) desc, {c}) - 1 as double) as idx "
+        f"from prep where is_train group by {c}), n_{c} as (select cast(count(*) as double) as n from lab_{c})" for c in _SPEC.categorical)
+    values = ([f"coalesce(lab_{c}.idx, n_{c}.n) as {c}Index" for c in _SPEC.categorical] + [f"coalesce(prep.{c}, m_{c}) as {c}" for c in numbers])
+    joins = "".join(f" left join lab_{c} on prep.{c} = lab_{c}.v" for c in _SPEC.categorical)
+    singles = "".join(f" cross join n_{c}" for c in _SPEC.categorical)
+    encoded = (f"enc as (select {', '.join('prep.' + k for k in KEYS)}, {', '.join(values)} from prep{joins} cross join means{singles})")
+    norm = " + ".join(f"abs({n})" for n in _SPEC.feature_names)
+    outs = ", ".join(f"{_r(f'case when norm = 0 then {n} else {n} / norm end')} as n_{n}" for n in _SPEC.feature_names)
+    return f"with {_FX}, {_CAST}, {prep}, {means}, {labs}, {encoded} select {_K}, {outs} from (select *, {norm} as norm from enc)"
 
 
 @register("feature_encoding", _encoding_sql())
 def q_feature_encoding(spark, sf_dir):
-    """Index + assemble + L1-normalise on the cleaned flight table (2 + 2 features)."""
-    spec = FeatureSpec(categorical=_ENC_CAT, continuous=_ENC_NUM, clock=())
-    prep = clean.preprocess(flights(spark, sf_dir), FeatureSpec())
-    model = features.fit_features(prep, spec, impute=False, normalize=True)
+    """Impute + index + assemble + L1-normalise, all 16 features: fitted on the training rows, applied to all."""
+    prep = workflow.prepare(flights(spark, sf_dir), _SPEC).withColumn("is_train", sampling.split_column(KEYS, 80) == F.lit("train"))
+    model = features.fit_features(prep.where("is_train"), _SPEC)
     out = model.transform(prep)
-    return round_doubles(features.vector_columns(out, features.NORM_FEATURES, spec.feature_names,
-                                                 prefix="n_", keep=KEYS))
+    return round_doubles(features.vector_columns(out, features.NORM_FEATURES, _SPEC.feature_names, prefix="n_", keep=KEYS))
 
 
 # ------------------------------------------------------ M1, M4, M5, V1-V5
