@@ -32,13 +32,13 @@ from tabreg.llm.textnum import WordHashes, mix, slices
 DEPTH = 2
 ADD = 0.1  # of the unigram model
 OWN = 0.5  # weight a state gives its parent beyond the unkept counts
-KEPT_GAIN = 6.0  # log likelihood (nats) a transition must gain over its parent
-STATE_GAIN = 1.0  # log10 likelihood a state must gain over its parent
+KEPT_GAIN = 12.0  # log likelihood (nats) a transition must gain over its parent, about what naming a word costs
+STATE_GAIN = 2.0  # log10 likelihood a state must gain over its parent
 HOT_ENTRIES = 1_000_000
-FILTER_BITS = 27
-_CHUNK_BITS = 19
-SLICE_CHARS = 4_000_000
-GROUP_TOKENS = 2_000_000
+#: The filter has 16 bits a key, and 2^19 to 2^27 bits.
+_LEAST_BITS, _MOST_BITS = 19, 27
+SLICE_CHARS = 2_000_000
+GROUP_TOKENS = 1_000_000
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _END = np.uint64(0x5851F42D4C957F2D)
@@ -78,43 +78,100 @@ def states(pos: np.ndarray, w: np.ndarray, depth: int) -> list[tuple[np.ndarray,
     return out
 
 
+def _state(words: list[np.ndarray]) -> np.ndarray:
+    """State key of some words, oldest first."""
+    key = mix(words[0] * _K + np.uint64(1))
+    for w in words[1:]:
+        key = mix(key * _K + w)
+    return key
+
+
+class _Places:
+    """Finds the place of evenly spread 64-bit keys in a list, many at a time (open addressing)."""
+
+    def __init__(self, keys: np.ndarray):
+        size = 1 << max(4, (2 * len(keys)).bit_length())
+        self.mask = np.uint64(size - 1)
+        self.slot = np.full(size, -1, np.int32)
+        self.key = np.zeros(size, np.uint64)
+        at, todo = (keys & self.mask).astype(np.int64), np.arange(len(keys), dtype=np.int32)
+        while len(todo):
+            free = self.slot[at] < 0
+            self.slot[at[free]] = todo[free]
+            won = self.slot[at] == todo
+            self.key[at[won]] = keys[todo[won]]
+            at, todo = (at[~won] + 1) & int(self.mask), todo[~won]
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The place, or -1."""
+        out = np.full(len(keys), -1, np.int32)
+        at, left = (keys & self.mask).astype(np.int64), np.arange(len(keys))
+        while len(left):
+            same = self.key[at] == keys[left]
+            slot = self.slot[at]
+            out[left[same]] = slot[same]
+            go = ~same & (slot >= 0)
+            at, left = (at[go] + 1) & int(self.mask), left[go]
+        return out
+
+
+class _Codes:
+    """Words as small numbers: the place of a frequent word in a list; others (code 2^32 - 1) are written out."""
+
+    def __init__(self, words: np.ndarray):
+        self.words, self.places = words, _Places(words)
+
+    def codes(self, words: np.ndarray) -> np.ndarray:
+        return self.places.find(words).astype(np.uint32)  # -1 becomes 2^32 - 1
+
+    def read(self, codes: np.ndarray, others: np.ndarray) -> np.ndarray:
+        rare = codes == np.uint32(0xFFFFFFFF)
+        out = np.zeros(len(codes), np.uint64)
+        out[~rare] = self.words[codes[~rare]]
+        out[rare] = others
+        return out
+
+
 def _signed(x: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(x).view(np.int64)
 
 
 class _Lookup:
-    """Values of the table's hot entries, and a filter for the keys of the others."""
+    """Values of the table's hot entries, and a filter of the keys of all entries."""
 
-    def __init__(self, keys: np.ndarray, values: np.ndarray, words: np.ndarray, bits: np.ndarray):
-        order = np.argsort(keys)
-        self.keys, self.values, self.words, self.bits = keys[order], values[order], words[order], bits
+    def __init__(self, keys: np.ndarray, values: np.ndarray, bits: np.ndarray):
+        self.places, self.values, self.bits = _Places(keys), values, bits
+        self.shift = np.uint64(64 - (len(bits) * 8 - 1).bit_length())
+
+    def maybe(self, keys: np.ndarray) -> np.ndarray:
+        slot = keys >> self.shift
+        return (self.bits[(slot >> np.uint64(3)).astype(np.int64)] >> (slot & np.uint64(7)).astype(np.uint8)) & np.uint8(1) == 1
 
     def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(value or 0, is a hot entry, may be another entry)."""
-        if not len(self.keys):
-            hit = np.zeros(len(keys), bool)
-            value = np.zeros(len(keys))
-        else:
-            at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-            hit = self.keys[at] == keys
-            value = np.where(hit, self.values[at], 0.0)
-        slot = keys >> np.uint64(64 - FILTER_BITS)
-        bit = (self.bits[(slot >> np.uint64(3)).astype(np.int64)] >> (slot & np.uint64(7)).astype(np.uint8)) & np.uint8(1)
-        return value, hit, (bit == 1) & ~hit
+        value, hit = np.zeros(len(keys)), np.zeros(len(keys), bool)
+        more = self.maybe(keys)
+        at = np.flatnonzero(more)
+        place = self.places.find(keys[at])
+        at, place = at[place >= 0], place[place >= 0]
+        value[at], hit[at], more[at] = self.values[place], True, False
+        return value, hit, more
 
 
 def _filter_of(keys: DataFrame) -> np.ndarray:
-    """A bit array of 2^FILTER_BITS bits with the upper bits of every key (long) set.
+    """A bit array, a power of two long, with the upper bits of every key (long) set.
 
-    Built in pieces by range; only the fixed-size result reaches the driver.
+    Built in pieces by range; only the array, of bounded size, reaches the driver.
     """
+    width = min(_MOST_BITS, max(_LEAST_BITS, (16 * keys.count()).bit_length()))
+    shift, size = np.uint64(64 - width), 1 << (_LEAST_BITS - 3)
+
     def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros(1 << (FILTER_BITS - 3), np.uint8)
+        seen = np.zeros(1 << (width - 3), np.uint8)
         for b in batches:
-            slot = b.column(0).to_numpy(zero_copy_only=False).view(np.uint64) >> np.uint64(64 - FILTER_BITS)
+            slot = b.column(0).to_numpy(zero_copy_only=False).view(np.uint64) >> shift
             np.bitwise_or.at(seen, (slot >> np.uint64(3)).astype(np.int64),
                              np.left_shift(np.uint8(1), (slot & np.uint64(7)).astype(np.uint8)))
-        size = 1 << (_CHUNK_BITS - 3)
         used = [c for c in range(len(seen) // size) if seen[c * size:(c + 1) * size].any()]
         squeeze = zstandard.ZstdCompressor(level=1).compress
         yield pa.RecordBatch.from_arrays(
@@ -122,34 +179,43 @@ def _filter_of(keys: DataFrame) -> np.ndarray:
             names=["chunk", "bits"])
 
     def union(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
-        seen = np.zeros(1 << (_CHUNK_BITS - 3), np.uint8)
+        seen = np.zeros(size, np.uint8)
         for b in group.column("bits"):
             seen |= np.frombuffer(zstandard.ZstdDecompressor().decompress(b.as_py()), np.uint8)
         return pa.table({"chunk": pa.array([key[0].as_py()], pa.int32()), "bits": pa.array([seen.tobytes()], pa.binary())})
 
-    out = np.zeros(1 << (FILTER_BITS - 3), np.uint8)
-    size = 1 << (_CHUNK_BITS - 3)
+    out = np.zeros(1 << (width - 3), np.uint8)
     for row in (keys.mapInArrow(bits, "chunk int, bits binary").groupBy("chunk")
                 .applyInArrow(union, "chunk int, bits binary").toLocalIterator()):
         out[row["chunk"] * size:(row["chunk"] + 1) * size] = np.frombuffer(bytes(row["bits"]), np.uint8)
     return out
 
 
-def _lookup_of(table: DataFrame, hot_entries: int):
-    """Broadcast the ``hot_entries`` most frequent entries at most, and a filter of the others."""
-    level = F.floor(F.log2(F.greatest("n", F.lit(1))) * 8)
+def _most_frequent(table: DataFrame, n: str, most: int):
+    """(level column, least): rows whose level reaches least are at most ``most`` in number."""
+    level = F.floor(F.log2(F.greatest(n, F.lit(1))) * 8)
     sizes = sorted(((r["level"], r["count"]) for r in table.groupBy(level.alias("level")).count().collect()), reverse=True)
     least, total = 10**9, 0  # at most 8 * 63 levels
     for lv, count in sizes:
         total += count
-        if total > hot_entries:
+        if total > most:
             break
         least = lv
-    hot = table.where(level >= least).select("key", "value", "word").toArrow()
-    bits = _filter_of(table.where(level < least).select("key"))
+    return level, least
+
+
+def _codes_of(counts: DataFrame, most: int):
+    level, least = _most_frequent(counts, "c", most)
+    words = counts.where(level >= least).select("word").toArrow().column("word").to_numpy().view(np.uint64)
+    return counts.sparkSession.sparkContext.broadcast(_Codes(words))
+
+
+def _lookup_of(table: DataFrame, hot_entries: int):
+    """Broadcast the ``hot_entries`` most frequent entries at most, and a filter of the others."""
+    level, least = _most_frequent(table, "n", hot_entries)
+    hot = table.where(level >= least).select("key", "value").toArrow()
     return table.sparkSession.sparkContext.broadcast(_Lookup(
-        hot.column("key").to_numpy().view(np.uint64), hot.column("value").to_numpy(),
-        hot.column("word").to_numpy().astype(bool), bits))
+        hot.column("key").to_numpy().view(np.uint64), hot.column("value").to_numpy(), _filter_of(table.select("key"))))
 
 
 def _prepared(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -181,11 +247,11 @@ def _word_counts(rows: DataFrame) -> DataFrame:
             .groupBy("word").agg(F.sum("c").alias("c")))
 
 
-def _steps(rows: DataFrame, d: int, groups: int, parents) -> DataFrame:
-    """group, blob: counted (state, earlier word keys, word) of the training texts at depth ``d``.
+def _steps(rows: DataFrame, d: int, groups: int, parents, codes) -> DataFrame:
+    """group, blob: counted runs of ``d`` words and the next, of the training texts.
 
-    Groups are ranges of a hash of state and word, so that no frequent state
-    gathers in one. ``parents``: a filter of the states that may be kept.
+    Groups are ranges of a hash of the run, so that no frequent word gathers
+    in one. ``parents``: a filter of the states that may be kept.
     """
     def run(batches):
         pack = zstandard.ZstdCompressor(level=1).compress
@@ -197,31 +263,27 @@ def _steps(rows: DataFrame, d: int, groups: int, parents) -> DataFrame:
             group = (step >> np.uint64(32)) * np.uint64(groups) >> np.uint64(32)
             ends = np.searchsorted(group, np.arange(groups), side="right")
             ids, blobs, lo = [], [], 0
+            words = [c[first] for c in cols[1:]]
+            coded = [codes.value.codes(w) for w in words]
             for g, hi in enumerate(ends):
                 if hi > lo:
-                    at = first[lo:hi]
-                    order = np.argsort(cols[1][at], kind="stable")
-                    fields = [c[at][order] for c in cols[1:]] + [n[lo:hi][order].astype(np.uint32)]
-                    fields[0] = np.diff(fields[0], prepend=np.uint64(0))
+                    order = lo + np.lexsort([c[lo:hi] for c in coded[::-1]])
+                    parts = [n[order].astype(np.uint32)]
+                    for w, c in zip(words, coded):
+                        parts += [c[order], w[order][c[order] == np.uint32(0xFFFFFFFF)]]
+                    parts[1] = np.diff(parts[1], prepend=np.uint32(0))
                     ids.append(g)
-                    blobs.append(pack(np.uint64(hi - lo).tobytes() + b"".join(f.tobytes() for f in fields)))
+                    blobs.append(pack(np.array([hi - lo, *map(len, parts[2::2])], np.uint64).tobytes() + b"".join(x.tobytes() for x in parts)))
                 lo = hi
             return pa.RecordBatch.from_arrays([pa.array(ids, pa.int32()), pa.array(blobs, pa.binary())],
                                               names=["group", "blob"])
         for part in slices(batches, SLICE_CHARS, 0, 1):
             _, pos, w = tokens([p[1] for p in part])
-            all_states = states(pos, w, d)
-            at, state, step = all_states[-1]
+            at, state, step = states(pos, w, d)[-1]
             if parents is not None:
-                use = parents.value.find(state)[2]
-                at, state, step = at[use], state[use], step[use]
-            # state d words long, its last d - 1 .. 1 words' states, the word before, the word
-            inner = []
-            for j in range(d - 1):
-                k = np.zeros(len(w), np.uint64)
-                k[all_states[j][0]] = all_states[j][1]
-                inner.append(k[at])
-            held.append((step, state, *inner, w[at - 1], w[at]))
+                use = parents.value.maybe(state)
+                at, step = at[use], step[use]
+            held.append((step, *[w[at - j] for j in range(d, -1, -1)]))  # the words, oldest first
             size += len(at)
             if size > GROUP_TOKENS:
                 yield out()
@@ -232,10 +294,10 @@ def _steps(rows: DataFrame, d: int, groups: int, parents) -> DataFrame:
     return rows.where("not held").select("key", "text").mapInArrow(run, "group int, blob binary")
 
 
-def _frequent(steps: DataFrame, d: int, lookup, total: float, p0: float) -> DataFrame:
+def _frequent(steps: DataFrame, d: int, lookup, codes, p0: float) -> DataFrame:
     """Transitions counted twice or more, with what the lookup tells of their parents.
 
-    state, step, word_before, n, log_p (of the word in the parent state, as far
+    state, step, n, log_p (of the word in the parent state, as far
     as looked up), before (unigram value of the word before, depth 1 only),
     open (table keys still to be looked up), open_before.
     """
@@ -246,20 +308,28 @@ def _frequent(steps: DataFrame, d: int, lookup, total: float, p0: float) -> Data
         parts = []
         for blob in group.column("blob"):
             raw = unpack(blob.as_py())
-            m = int(np.frombuffer(raw, np.uint64, 1)[0])
-            fields = [np.frombuffer(raw, np.uint64, m, 8 + 8 * m * i) for i in range(d + 2)]
-            fields[0] = np.cumsum(fields[0], dtype=np.uint64)
-            parts.append([*fields, np.frombuffer(raw, np.uint32, m, 8 + 8 * m * (d + 2))])
-        state, *inner, before, w, n = [np.concatenate(c) for c in zip(*parts)]
-        step, first, at = np.unique(mix(state * _K + w), return_index=True, return_inverse=True)
+            m, *rare = np.frombuffer(raw, np.uint64, d + 2).astype(int).tolist()
+            at = 8 * (d + 2)
+            fields = [np.frombuffer(raw, np.uint32, m, at)]
+            at += 4 * m
+            for i in range(d + 1):
+                coded = np.frombuffer(raw, np.uint32, m, at)
+                coded = np.cumsum(coded, dtype=np.uint32) if i == 0 else coded
+                fields.append(codes.value.read(coded, np.frombuffer(raw[at + 4 * m:at + 4 * m + 8 * rare[i]], np.uint64)))
+                at += 4 * m + 8 * rare[i]
+            parts.append(fields)
+        n, *words = [np.concatenate(c) for c in zip(*parts)]
+        step, first, at = np.unique(_state(words), return_index=True, return_inverse=True)
         count = np.bincount(at, n).astype(np.int64)
         use = count >= 2
         first, step, count = first[use], step[use], count[use]
-        state, before, w = state[first], before[first], w[first]
+        *earlier, w = [c[first] for c in words]
+        state, before = _state(earlier), earlier[-1]
+        inner = [_state(earlier[-j:]) for j in range(1, d)]
         look = lookup.value
         keys = [mix(w ^ _WORD)]
         for k in inner:
-            keys += [mix(k[first] ^ _STATE), mix(mix(k[first] * _K + w) ^ _STEP)]
+            keys += [mix(k ^ _STATE), mix(mix(k * _K + w) ^ _STEP)]
         log_p, unknown = np.full(len(w), p0), []
         for k in keys:
             value, _, more = look.find(k)
@@ -320,10 +390,11 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", depth: int = D
     value = F.log10((F.col("n") + ADD) / ADD)
     table = cut(hashed(counts).select("key", value.alias("value"), "n", F.lit(True).alias("word")), "pst-unigrams")
     lookup = _lookup_of(table, hot_entries)
+    codes = _codes_of(counts, hot_entries)
     groups = max(1, -(-n_all // GROUP_TOKENS))
     parents, earlier = None, None
     for d in range(1, depth + 1):
-        found = _frequent(_steps(rows, d, groups, parents), d, lookup, n_all, p0)
+        found = _frequent(_steps(rows, d, groups, parents, codes), d, lookup, codes, p0)
         found = cut(found, "pst-frequent")
         found = _filled(found, table, ["state", "step"])
         if d == 1:
@@ -348,14 +419,16 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", depth: int = D
                 .where(F.col("won") + F.col("n") * F.col("hand_on") >= STATE_GAIN))
         good = cut(good.select("state", "hand_on", "n"), "pst-states")
         steps = steps.join(good.select("state"), "state", "left_semi")
-        entries = _entries(good.select(F.col("state").alias("k"), F.col("hand_on").alias("value"), "n", F.lit(True).alias("is_state"))
-                           .unionByName(steps.select(F.col("step").alias("k"), "value", "n", F.lit(False).alias("is_state"))))
-        table = cut(table.unionByName(entries), "pst-table")
+        entries = cut(_entries(good.select(F.col("state").alias("k"), F.col("hand_on").alias("value"), "n", F.lit(True).alias("is_state"))
+                           .unionByName(steps.select(F.col("step").alias("k"), "value", "n", F.lit(False).alias("is_state")))), "pst-table")
+        table = table.unionByName(entries)
+        lookup.destroy()  # all that used it is written
+        if parents is not None:
+            parents.destroy()
         if d < depth:
             earlier = kept.select(F.col("step").alias("state"), F.col("n").alias("seen"))
             none = np.zeros(0, np.uint64)
-            parents = docs.sparkSession.sparkContext.broadcast(_Lookup(none, none.astype(float), none.astype(bool),
-                                                                       _filter_of(earlier.select("state"))))
+            parents = docs.sparkSession.sparkContext.broadcast(_Lookup(none, none.astype(float), _filter_of(earlier.select("state"))))
         lookup = _lookup_of(table, hot_entries)
     return table, lookup, {"train_tokens": n_all, "distinct": v, "unseen": p0}
 
@@ -387,7 +460,7 @@ def score(docs: DataFrame, model, key: str = "doc_id", text: str = "text", depth
             for b in batches:
                 key_type = b.schema.field(1).type
                 yield b
-        for part in slices(seen(), SLICE_CHARS // 4, 0, 1, 2):
+        for part in slices(seen(), SLICE_CHARS // 2, 0, 1, 2):
             doc, pos, w = tokens([p[2] for p in part])
             m = len(part)
             size = np.bincount(doc, minlength=m)
