@@ -35,19 +35,33 @@ _SYMBOLS = 64
 
 def _symbols() -> np.ndarray:
     """Bytes to 64 classes: a-z, the upper bytes by their low bits, and one for all else."""
-    out = np.zeros(256, np.int64)
+    out = np.zeros(256, np.int32)
     out[97:123] = np.arange(1, 27)
     out[128:] = 27 + (np.arange(128, 256) & 31)
     return out
 
 
 _CLASS = _symbols()
+#: Characters whose trigrams are held at a time; a longer text is taken alone.
+SLICE_CHARS = 400_000
+
+
+def _slices(texts: list[str]) -> Iterator[list[str]]:
+    part, chars = [], 0
+    for t in texts:
+        if part and chars + len(t) > SLICE_CHARS:
+            yield part
+            part, chars = [], 0
+        part.append(t)
+        chars += len(t)
+    if part:
+        yield part
 
 
 def _trigrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """(text index, code) of the overlapping three symbols that end in a letter; runs of other marks count as one."""
     raw = [f" {t.lower()} ".encode() for t in texts]
-    doc = np.repeat(np.arange(len(raw)), [len(r) for r in raw])
+    doc = np.repeat(np.arange(len(raw), dtype=np.int32), [len(r) for r in raw])
     s = _CLASS[np.frombuffer(b"".join(raw), np.uint8)]
     keep = np.ones(len(s), bool)
     keep[1:] = (s[1:] > 0) | (s[:-1] > 0)
@@ -74,7 +88,8 @@ def fit_text_model(rows: DataFrame, text: str, label: str, key: str, languages:
         sums = np.zeros((len(languages), _SYMBOLS**3), np.int64)
         for part in parts:
             for lang, group in part.groupby("label"):
-                sums[languages.index(lang)] += np.bincount(_trigrams(group["text"].tolist())[1], minlength=_SYMBOLS**3)
+                for texts in _slices(group["text"].tolist()):
+                    sums[languages.index(lang)] += np.bincount(_trigrams(texts)[1], minlength=_SYMBOLS**3)
         for i, row in enumerate(sums):
             at = np.flatnonzero(row)
             yield pd.DataFrame({"lang": i, "code": at, "n": row[at]})
@@ -90,23 +105,28 @@ def fit_text_model(rows: DataFrame, text: str, label: str, key: str, languages:
     return np.log(np.concatenate([np.broadcast_to(alone, (1, _SYMBOLS**2, _SYMBOLS)), after])).reshape(-1, _SYMBOLS**3).astype(np.float32)
 
 
-def text_scores(text: Column, model, html: bool = False) -> Column:
-    """array<double>: letters; mean log likelihood per letter alone and in each language; each language's
-    probability by the text alone (zeros without letters)."""
-    tags = re.compile(r"<(script|style|nav)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>", re.S | re.I)
+_TAGS = re.compile(r"<(script|style|nav)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>", re.S | re.I)
+
 
+def _scored(texts, table: np.ndarray, html: bool) -> np.ndarray:
+    """A row for each text: letters; mean log likelihood per letter alone and in each language; each
+    language's probability by the text alone (zeros without letters)."""
+    out = [np.zeros((0, 2 * len(table)))]
+    for part in _slices([t or "" for t in texts]):
+        part = [_TAGS.sub(" ", t) for t in part] if html else part
+        doc, code = _trigrams(part)
+        n = np.bincount(doc, minlength=len(part)).astype(float)[:, None]
+        mean = np.stack([np.bincount(doc, row[code], len(part)) for row in table], 1) / np.maximum(n, 1)
+        told = np.exp(_weighted(n, mean) - _weighted(n, mean).max(1, keepdims=True, initial=-np.inf))
+        out.append(np.concatenate([n, mean, told / told.sum(1, keepdims=True) * (n > 0)], 1))
+    return np.concatenate(out)
+
+
+def text_scores(text: Column, model, html: bool = False) -> Column:
+    """array<double>: what ``_scored`` gives."""
     @F.pandas_udf("array<double>")
     def scores(texts: pd.Series) -> pd.Series:
-        table, out = model.value, []
-        texts = [t or "" for t in texts]
-        for lo in range(0, len(texts), 500):
-            part = [tags.sub(" ", t) for t in texts[lo:lo + 500]] if html else texts[lo:lo + 500]
-            doc, code = _trigrams(part)
-            n = np.bincount(doc, minlength=len(part)).astype(float)[:, None]
-            mean = np.stack([np.bincount(doc, row[code], len(part)) for row in table], 1) / np.maximum(n, 1)
-            told = np.exp(_weighted(n, mean) - _weighted(n, mean).max(1, keepdims=True, initial=-np.inf))
-            out += list(np.concatenate([n, mean, told / told.sum(1, keepdims=True) * (n > 0)], 1))
-        return pd.Series(out)
+        return pd.Series(list(_scored(texts, model.value, html)))
 
     return scores(text)
 
@@ -116,17 +136,17 @@ def _weighted(n: np.ndarray, mean: np.ndarray) -> np.ndarray:
     return np.minimum(n, TEXT_CHARS) * mean[:, 1:]
 
 
-def _fused(languages: list[str], total: list[float], n_suffixes: int):
-    """A function of the evidence (scores, sums of the row's host, domain and suffix, declared language)."""
+def _fused(model, html: bool, languages: list[str], total: list[float], n_suffixes: int):
+    """A function of the evidence (text, sums of the row's host, domain and suffix, declared language)."""
     k = len(languages)
     everything = np.array(total) + 1.0
     wrong = (1 - DECLARED_RIGHT) / max(1, k - 1)
 
     @F.pandas_udf("id string, posterior double, text string, accepted boolean")
-    def fuse(scores: pd.Series, host: pd.Series, domain: pd.Series, suffix: pd.Series, declared: pd.Series) -> pd.DataFrame:
-        if not len(scores):
+    def fuse(texts: pd.Series, host: pd.Series, domain: pd.Series, suffix: pd.Series, declared: pd.Series) -> pd.DataFrame:
+        if not len(texts):
             return pd.DataFrame({"id": [], "posterior": [], "text": [], "accepted": []})
-        scores = np.stack(scores)
+        scores = _scored(texts, model.value, html)
         n, mean, own = scores[:, :1], scores[:, 1:2 + k], scores[:, 2 + k:]
         rest = [np.maximum(np.stack(level) - own, 0.0) for level in (suffix, domain, host)]  # without the row's share
         prior = everything / everything.sum()
@@ -166,14 +186,13 @@ def identify(rows: DataFrame, model, languages: list[str], text: str, declared:
     name = F.lower(F.coalesce(host, F.lit("")))
     labels = F.split(name, r"\.")
     rows = rows.withColumns({
-        "_lang_scores": text_scores(F.col(text), model, html),
         "_lang_declared": F.lower(F.regexp_extract(F.coalesce(declared, F.lit("")), r"^\s*([A-Za-z]{2,3})", 1)),
         "_lang_host": name, "_lang_domain": F.array_join(F.slice(labels, F.greatest(F.size(labels) - 1, F.lit(1)), 2), "."),
         "_lang_suffix": F.when(F.size(labels) > 1, F.element_at(labels, -1)).otherwise("")})
 
     # soft counts of each level, from all rows
     sums = [F.sum(f"s{i}").alias(f"s{i}") for i in range(k)]
-    hosts = cut(rows.select("_lang_host", "_lang_domain", "_lang_suffix", "_lang_scores")
+    hosts = cut(rows.select("_lang_host", "_lang_domain", "_lang_suffix", text_scores(F.col(text), model, html).alias("_lang_scores"))
                 .select("_lang_host", "_lang_domain", "_lang_suffix", *[F.col("_lang_scores")[2 + k + i].alias(f"s{i}") for i in range(k)])
                 .groupBy("_lang_host", "_lang_domain", "_lang_suffix").agg(*sums), "lang-hosts")
     domains = cut(hosts.groupBy("_lang_domain").agg(*sums), "lang-domains")
@@ -189,10 +208,10 @@ def identify(rows: DataFrame, model, languages: list[str], text: str, declared:
     levels = lookup_join(levels, named(suffixes, "suffix", "_lang_suffix"), ["_lang_suffix"], n_suffixes := suffixes.count())
     levels = cut(levels.drop("_lang_domain", "_lang_suffix"), "lang-levels")
     rows = lookup_join(rows, levels, ["_lang_host"], levels.count())
-    fuse = _fused(languages, total, max(1, n_suffixes))
-    out = rows.withColumn("_lang_f", fuse("_lang_scores", "_lang_at_host", "_lang_at_domain", "_lang_at_suffix", "_lang_declared"))
+    fuse = _fused(model, html, languages, total, max(1, n_suffixes))  # one Python step a task, so one worker
+    out = rows.withColumn("_lang_f", fuse(text, "_lang_at_host", "_lang_at_domain", "_lang_at_suffix", "_lang_declared"))
     out = out.withColumns({f"_lang_{c}": F.col(f"_lang_f.{c}") for c in ("id", "posterior", "text", "accepted")})
-    return out.drop("_lang_f", "_lang_scores", "_lang_domain", "_lang_at_host", "_lang_at_domain", "_lang_at_suffix")
+    return out.drop("_lang_f", "_lang_domain", "_lang_at_host", "_lang_at_domain", "_lang_at_suffix")
 
 
 def languages_of(rows: DataFrame, label: str, most: int = 200) -> list[str]:

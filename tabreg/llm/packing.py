@@ -25,7 +25,7 @@ SEQ_LEN = 2048
 END_ID = 1
 #: Windows a task keeps open before it levels them, encoded words it remembers, full windows it gathers.
 MAX_OPEN = 4096
-CACHE_WORDS = 200_000
+CACHE_WORDS = 120_000
 CLOSED_ROWS = 2000
 
 

@@ -28,7 +28,7 @@ def unit(x: np.ndarray) -> np.ndarray:
 class WordHashes(dict):
     """64-bit hashes of words (str or bytes); the more frequent are remembered."""
 
-    def __init__(self, limit: int = 300_000):
+    def __init__(self, limit: int = 200_000):
         import xxhash
         super().__init__()
         self._hash, self._limit = xxhash.xxh3_64_intdigest, limit
