@@ -41,12 +41,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def cut(df: DataFrame, name: str) -> DataFrame:
+#: Rows of ids and numbers that one task may well write.
+ROWS_PER_TASK = 250_000
+
+
+def cut(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and read it back.
 
     The result has no lineage to recompute, and any executor can read it.
+    ``rows``: a counted bound on its rows; a small table is then written by as
+    many tasks as it needs.
     """
     spark = df.sparkSession
+    if rows is not None:
+        df = df.coalesce(max(1, -(-rows // ROWS_PER_TASK)))
     path = f"{checkpoint_root(spark)}/tabreg/{name}-{uuid.uuid4().hex[:12]}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
@@ -73,6 +81,11 @@ def range_buckets(df: DataFrame, key: str, out: str, n: int) -> DataFrame:
             .transform(df.withColumn(at, value)).withColumn(out, F.col(out).cast("int")).drop(at))
 
 
+def sized(df: DataFrame, n: int, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """``df`` of ``n`` counted rows as a join side: broadcast up to ``limit`` rows, else shuffled."""
+    return F.broadcast(df) if n <= limit else df
+
+
 def lookup_join(rows: DataFrame, small: DataFrame, keys: list[str], n_small: int, how: str = "left",
                 salt: int = 8, limit: int = BROADCAST_ROWS) -> DataFrame:
     """Join ``rows`` with a table of ``n_small`` counted rows, unique in ``keys``.

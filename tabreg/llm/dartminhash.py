@@ -18,14 +18,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tabreg.llm.common import cut
+from tabreg.llm.common import cut, sized
 from tabreg.llm.components import components
 from tabreg.llm.textnum import WordHashes, mix, salted, slices, unit
 
 SHINGLE = 5
 SIMILARITY = (4, 5)  # 0.8 as a fraction, so that the comparison is exact
 BANDS, ROWS = 26, 5
-LEADER_ROUNDS = 3
+MOST_ROUNDS = 8
+PAIRS_PER_ROW = 8
 SLICE_CHARS = 2_000_000
 #: Rank strips: [0, 2^-5), [2^-5, 2^-4) ... [1/2, 1), then of width 1.
 _LOW_STRIPS = 6
@@ -168,7 +169,7 @@ def _sketches(docs: DataFrame, key: str, text: str, shingle: int, bands: int, ro
 
 
 def _compare(pairs: DataFrame, units: DataFrame) -> DataFrame:
-    """a, b, both, either (sizes of intersection and union) for each pair of copies."""
+    """a, b, both, either (sizes of intersection and union) for each pair of nodes."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             both, either = [], []
@@ -182,30 +183,50 @@ def _compare(pairs: DataFrame, units: DataFrame) -> DataFrame:
                 names=["a", "b", "both", "either"])
 
     joined = (pairs.select("a", "b")
-              .join(units.select(F.col("copy").alias("b"), F.col("units").alias("y")), "b")
-              .join(units.select(F.col("copy").alias("a"), F.col("units").alias("x")), "a"))
-    return joined.select("a", "b", "x", "y").mapInArrow(run, "a binary, b binary, both long, either long")
+              .join(units.select(F.col("node").alias("b"), F.col("units").alias("y")), "b")
+              .join(units.select(F.col("node").alias("a"), F.col("units").alias("x")), "a"))
+    return joined.select("a", "b", "x", "y").mapInArrow(run, "a long, b long, both long, either long")
+
+
+def _beside(star: DataFrame, units: DataFrame) -> DataFrame:
+    """The rows of ``star`` with both (units shared with the leader) and extra (units the leader lacks)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            both, extra = [], []
+            for x, y in zip(batch.column("x"), batch.column("y")):
+                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
+                more = np.setdiff1d(x, y, assume_unique=True)
+                both.append(len(x) - len(more))
+                extra.append(more.view(np.int64))
+            kept = [batch.column(c) for c in names]
+            yield pa.RecordBatch.from_arrays([*kept, pa.array(both, pa.int64()), pa.array(extra, pa.list_(pa.int64()))],
+                                             names=[*names, "both", "extra"])
+
+    names = star.columns
+    joined = (star.join(units.select("node", F.col("units").alias("x")), "node")
+              .join(units.select(F.col("node").alias("l_node"), F.col("units").alias("y")), "l_node"))
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in star.schema.fields)
+    return joined.select(*names, "x", "y").mapInArrow(run, f"{fields}, both long, extra array<long>")
 
 
 def _units_of(docs: DataFrame, wanted: DataFrame, key: str, text: str, shingle: int) -> DataFrame:
-    """copy, units (sorted 64-bit numbers) of the wanted (copy, key, row)."""
+    """node, units (sorted 64-bit numbers) of the wanted (node, key, row)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, SLICE_CHARS, 0, 1):
             doc, units = elements([p[1] for p in part], shingle)
             ends = np.cumsum(np.bincount(doc, minlength=len(part)))
             packed = [np.sort(units[e0:e1]).tobytes() for e0, e1 in zip(np.append(0, ends[:-1]), ends)]
-            yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in part], pa.binary()), pa.array(packed, pa.binary())],
-                                             names=["copy", "units"])
+            yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in part], pa.int64()), pa.array(packed, pa.binary())],
+                                             names=["node", "units"])
 
     rows = docs.select(F.col(key).alias("key"), _row_id(key, text).alias("row"), F.col(text).alias("text")).alias("d")
     found = rows.join(wanted.alias("w"), F.col("d.key").eqNullSafe(F.col("w.key")) & (F.col("d.row") == F.col("w.row")))
-    return (found.select("copy", "text").mapInArrow(run, "copy binary, units binary")
-            .dropDuplicates(["copy"]))
+    return found.select("node", "text").dropDuplicates(["node"]).mapInArrow(run, "node long, units binary")
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
                     similarity: tuple[int, int] = SIMILARITY, bands: int = BANDS, rows: int = ROWS,
-                    leader_rounds: int = LEADER_ROUNDS) -> DataFrame:
+                    pairs_per_row: int = PAIRS_PER_ROW, most_rounds: int = MOST_ROUNDS) -> DataFrame:
     """One row per row of ``docs``: key, row, class_id, class_row, n_links.
 
     Texts are linked if the weighted Jaccard similarity of their shingles is
@@ -214,11 +235,15 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
     represents it. n_links counts the compared links of the row's text to
     other texts. Equal word sequences are one text and are never paired.
 
-    Candidates: in every bucket all members are compared with one leader, for
-    ``leader_rounds`` rounds with other leaders in the buckets that still hold
-    several classes; what is then left in such buckets is compared pair by
-    pair, so no candidate is given up. A bucket of similar texts is settled by
-    its leaders in linear work.
+    Candidates are the pairs of different classes in a bucket. They are
+    compared as they are if there are at most ``pairs_per_row`` for each row
+    of such buckets. Else a bucket's members are compared with its leader, the member that meets
+    most others. Two members that share no unit outside the leader share at
+    most what each has in common with it, which rules out nearly all of them
+    by three numbers; members that do share one meet in a bucket of that
+    leader and unit in the next round. After ``most_rounds`` rounds, which
+    takes leaders within leaders, what is left is compared pair by pair in any
+    case. So no candidate is given up.
 
     Null and blank texts form one class. Rows with a null key belong to
     classes; class_id is null only where all keys are. Repeated rows each get
@@ -226,61 +251,96 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
     """
     rows_all = cut(_sketches(docs, key, text, shingle, bands, rows), "dart-sketches")
     first = F.min(F.struct(F.col("key").isNull().alias("none"), F.col("key"), F.col("row")))
-    copies = cut(rows_all.groupBy("copy").agg(first.alias("first"), F.first("weight").alias("weight")), "dart-copies")
-    buckets = (rows_all.where("weight > 0").select("copy", "weight", F.explode("buckets").alias("bucket")).distinct())
-    shared = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
-    buckets = cut(buckets.join(shared, "bucket", "left_semi"), "dart-buckets")
-
-    wanted = (buckets.select("copy").distinct().join(copies, "copy")
-              .select("copy", F.col("first.key").alias("key"), F.col("first.row").alias("row")))
+    copies = cut(rows_all.groupBy("copy").agg(first.alias("first"), F.first("weight").alias("weight"), F.first("buckets").alias("buckets"))
+                 .withColumn("node", F.xxhash64("copy")), "dart-copies")
+    buckets = copies.where("weight > 0").select("node", "weight", F.explode("buckets").alias("bucket"))
+    shared = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    buckets = cut(buckets.join(shared, "bucket"), "dart-shared")
+    n_rows = buckets.count()
+    mates = buckets.groupBy("node").agg(F.sum("n").alias("mates"))
+    buckets = cut(buckets.drop("n").join(mates, "node"), "dart-buckets", n_rows)
+
+    wanted = cut(copies.select("node", "first").join(buckets.select("node").distinct(), "node", "left_semi")
+                 .select("node", F.col("first.key").alias("key"), F.col("first.row").alias("row")), "dart-wanted", n_rows)
     units = cut(_units_of(docs, wanted, key, text, shingle), "dart-units")
     num, den = similarity
     spark = docs.sparkSession
-    done = spark.createDataFrame([], "a binary, b binary, both long, either long")
-    labels = spark.createDataFrame([], "node binary, label binary")
-
-    def compared(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
-        fresh = pairs.join(done.select("a", "b"), ["a", "b"], "left_anti")
-        made = done.unionByName(cut(_compare(fresh, units), "dart-pairs"))
-        return made, components(made.where(F.col("both") * den >= F.col("either") * num).select("a", "b"))
-
-    def open_buckets() -> DataFrame:
-        """Rows of the buckets that still hold several classes, with their class."""
-        named = buckets.join(labels, buckets.copy == labels.node, "left").select(
-            "bucket", "copy", "weight", F.coalesce("label", "copy").alias("label"))
-        mixed = named.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi"))
-        return cut(named.join(mixed.where("lo != hi").select("bucket"), "bucket", "left_semi"), "dart-open")
-
-    def similar_weight(x: str, y: str):
+    done = spark.createDataFrame([], "a long, b long, both long, either long")
+    labels = spark.createDataFrame([], "node long, label long")
+    n_done, n_labels = 0, 0
+
+    def compare(pairs: DataFrame) -> None:
+        """Compare the pairs of nodes x, y that are new, and bring the classes up to date."""
+        nonlocal done, n_done, labels, n_labels
+        pairs = pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+        fresh = pairs.join(sized(done.select("a", "b"), n_done), ["a", "b"], "left_anti")
+        new = cut(_compare(fresh, units), "dart-pairs")
+        if not new.isEmpty():
+            done = done.unionByName(new)
+            n_done = done.count()
+            labels = components(done.where(F.col("both") * den >= F.col("either") * num).select("a", "b"))
+            n_labels = labels.count()
+
+    def named(table: DataFrame, node: str, label: str) -> DataFrame:
+        known = sized(labels.select(F.col("node").alias("_n"), F.col("label").alias("_l")), n_labels)
+        return table.join(known, F.col(node) == F.col("_n"), "left").withColumn(label, F.coalesce("_l", node)).drop("_n", "_l")
+
+    def may_match(x: str, y: str):
         return (F.col(x) * den >= F.col(y) * num) & (F.col(y) * den >= F.col(x) * num)
 
-    for n in range(leader_rounds + 1):
-        rest = open_buckets()
-        if rest.isEmpty():
+    for n in range(most_rounds + 1):
+        rest = named(buckets, "node", "label")
+        # pairs of different classes in each bucket
+        per = (rest.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("c")).groupBy("bucket")
+               .agg(F.sum("c").alias("n"), ((F.sum("c") * F.sum("c") - F.sum(F.col("c") * F.col("c"))) / 2).alias("pairs")).where("pairs > 0"))
+        per = cut(per, "dart-mixed", n_rows)
+        size = per.agg(F.sum("n").alias("rows"), F.sum("pairs").alias("pairs")).first()
+        if not size["rows"]:
+            break
+        rest = rest.join(per.select("bucket"), "bucket", "left_semi")
+        if n == most_rounds or size["pairs"] <= pairs_per_row * size["rows"]:
+            other = rest.select(F.col("bucket").alias("l_bucket"), *[F.col(c).alias(f"l_{c}") for c in ("node", "label", "weight")])
+            compare(rest.join(other, (F.col("bucket") == F.col("l_bucket")) & (F.col("node") < F.col("l_node")) & (F.col("label") != F.col("l_label"))
+                              & may_match("weight", "l_weight")).select(F.col("node").alias("x"), F.col("l_node").alias("y")))
+            break
+        rest = cut(rest, "dart-open", n_rows)
+        leader = F.max_by(F.struct("node", "weight"), F.struct("mates", -F.col("weight"), "node"))
+        lead = rest.groupBy("bucket").agg(leader.alias("lead"))
+        star = cut(rest.join(lead, "bucket").where("node != lead.node")
+                   .select("node", "weight", "mates", F.col("lead.node").alias("l_node"), F.col("lead.weight").alias("l_weight")).distinct(),
+                   "dart-star", n_rows)
+        compare(star.where(may_match("weight", "l_weight")).select(F.col("node").alias("x"), F.col("l_node").alias("y")))
+
+        # circles: the nodes compared with one leader; open if two of them are not of one class
+        star = named(star, "node", "label")
+        circles = star.groupBy("l_node").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo != hi").select("l_node")
+        star = cut(star.join(circles, "l_node", "left_semi"), "dart-circles", n_rows)
+        if star.isEmpty():
             break
-        if n < leader_rounds:
-            lead = rest.groupBy("bucket").agg(F.min_by(F.struct("copy", "label", "weight"), F.xxhash64("copy", F.lit(n))).alias("lead"))
-            pairs = rest.join(lead, "bucket").select("copy", "label", "weight", F.col("lead.copy").alias("l_copy"),
-                                                     F.col("lead.label").alias("l_label"), F.col("lead.weight").alias("l_weight"))
-        else:
-            other = rest.select("bucket", *[F.col(c).alias(f"l_{c}") for c in ("copy", "label", "weight")])
-            pairs = rest.join(other, (rest.bucket == other.bucket) & (F.col("copy") < F.col("l_copy"))
-                              & (F.col("label") != F.col("l_label")) & similar_weight("weight", "l_weight"))
-        pairs = pairs.where((F.col("label") != F.col("l_label")) & similar_weight("weight", "l_weight"))
-        pairs = pairs.select(F.least("copy", "l_copy").alias("a"), F.greatest("copy", "l_copy").alias("b")).distinct()
-        done, labels = compared(pairs)
+        beside = cut(_beside(star, units), "dart-beside")
+        inside = beside.drop("extra")
+        linked = F.col("both") * (num + den) >= (F.col("weight") + F.col("l_weight")) * num
+        partner = inside.where("weight < l_weight").select("l_node", *[F.col(c).alias(f"y_{c}") for c in ("node", "weight", "label", "both")])
+        least = (F.col("weight") + F.col("y_weight")) * num
+        compare(inside.where(~linked).join(partner, "l_node")
+                .where((F.col("node") != F.col("y_node")) & (F.col("label") != F.col("y_label"))
+                       & (F.col("both") * (num + den) >= least) & (F.col("y_both") * (num + den) >= least))
+                .select(F.col("node").alias("x"), F.col("y_node").alias("y")))
+        buckets = beside.select("node", "weight", "mates", "label", "l_node", F.explode("extra").alias("unit"))
+        buckets = buckets.withColumn("bucket", F.xxhash64("l_node", "unit")).drop("l_node", "unit")
+        mixed = buckets.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo != hi").select("bucket")
+        buckets = cut(buckets.drop("label").join(mixed, "bucket", "left_semi"), "dart-buckets")
+        n_rows = buckets.count()
 
     linked = done.where(F.col("both") * den >= F.col("either") * num)
-    ends = linked.select(F.col("a").alias("copy")).union(linked.select(F.col("b").alias("copy")))
-    counts = ends.groupBy("copy").agg(F.count(F.lit(1)).alias("n_links"))
-    named = copies.join(labels, copies.copy == labels.node, "left").select(
-        "copy", "first", F.coalesce("label", "copy").alias("label"))
-    heads = named.groupBy("label").agg(F.min("first").alias("head"))
-    classes = named.join(heads, "label").join(counts, "copy", "left").select(
-        "copy", F.col("head.key").alias("class_id"), F.col("head.row").alias("class_row"),
-        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+    counts = (linked.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("n_links")))
+    grouped = copies.select("node", "first").join(sized(labels, n_labels), "node").join(counts, "node")
+    heads = grouped.groupBy("label").agg(F.min("first").alias("head"))
+    grouped = cut(grouped.join(heads, "label").select("node", "head", "n_links"), "dart-classes", n_labels)
+    classes = copies.select("copy", "node", "first").join(sized(grouped, n_labels), "node", "left").select(
+        "copy", F.coalesce("head", "first").alias("head"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
     return rows_all.select("copy", "key", "row").join(classes, "copy").select(
-        F.col("key").alias(key), "row", "class_id", "class_row", "n_links")
+        F.col("key").alias(key), "row", F.col("head.key").alias("class_id"), F.col("head.row").alias("class_row"), "n_links")
 
 
 def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", **how) -> DataFrame:
