@@ -1,7 +1,8 @@
 """Language-model scores from a probabilistic suffix tree over words.
 
-States are contexts of one to ``depth`` words. A transition is kept if its
-count is far above what the parent state predicts, a state if its kept
+Candidate states are all contexts of one to ``depth`` words (of two or more
+words: seen twice or more, as a kept transition is), however likely their own words are.
+A transition is kept if its count is far above what the parent state predicts, a state if its kept
 transitions make the training text more likely than its parent does (a
 divergence test in log10 units). A state gives what it has seen beyond its
 kept transitions, and a little more, to its parent's distribution, so every
@@ -251,7 +252,7 @@ def _steps(rows: DataFrame, d: int, groups: int, parents, codes) -> DataFrame:
     """group, blob: counted runs of ``d`` words and the next, of the training texts.
 
     Groups are ranges of a hash of the run, so that no frequent word gathers
-    in one. ``parents``: a filter of the states that may be kept.
+    in one. ``parents``: a filter of the runs of ``d`` words seen twice or more.
     """
     def run(batches):
         pack = zstandard.ZstdCompressor(level=1).compress
@@ -294,14 +295,16 @@ def _steps(rows: DataFrame, d: int, groups: int, parents, codes) -> DataFrame:
     return rows.where("not held").select("key", "text").mapInArrow(run, "group int, blob binary")
 
 
-def _frequent(steps: DataFrame, d: int, lookup, codes, p0: float) -> DataFrame:
+def _frequent(steps: DataFrame, d: int, lookup, codes, p0: float, last: bool) -> DataFrame:
     """Transitions counted twice or more, with what the lookup tells of their parents.
 
+    Those that are surely no more than chance are dropped at the last depth; before, they
+    are marked, for they are contexts of the next depth all the same.
     state, step, n, log_p (of the word in the parent state, as far
     as looked up), before (unigram value of the word before, depth 1 only),
-    open (table keys still to be looked up), open_before.
+    open (table keys still to be looked up), open_before, chance.
     """
-    schema = "state long, step long, n long, log_p double, before double, open array<long>, open_before long"
+    schema = "state long, step long, n long, log_p double, before double, open array<long>, open_before long, chance boolean"
 
     def merged(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
         unpack = zstandard.ZstdDecompressor().decompress
@@ -337,18 +340,18 @@ def _frequent(steps: DataFrame, d: int, lookup, codes, p0: float) -> DataFrame:
             unknown.append(np.where(more, k, np.uint64(0)))
         prior, _, more_before = look.find(mix(before ^ _WORD))
         unknown = np.stack(unknown, 1)
-        if d == 1:  # what is surely no more than chance goes at once
+        chance = np.zeros(len(w), bool)
+        if d == 1:
             seen = 0.1 * 10.0**prior - 0.1
             sure = ~more_before & (unknown == 0).all(axis=1)
-            keep = ~sure | (_gain(count, seen * 10.0**log_p) >= KEPT_GAIN)
-        else:
-            keep = np.ones(len(w), bool)
+            chance = sure & (_gain(count, seen * 10.0**log_p) < KEPT_GAIN)
+        keep = ~chance if last else np.ones(len(w), bool)
         open_keys = [_signed(r[r != 0]) if r.any() else np.zeros(0, np.int64) for r in unknown[keep]]
         return pa.table([
             pa.array(_signed(state[keep])), pa.array(_signed(step[keep])), pa.array(count[keep]),
             pa.array(log_p[keep]), pa.array(prior[keep]), pa.array(open_keys, pa.list_(pa.int64())),
-            pa.array(_signed(np.where(more_before, mix(before ^ _WORD), np.uint64(0))[keep]))],
-            names=["state", "step", "n", "log_p", "before", "open", "open_before"])
+            pa.array(_signed(np.where(more_before, mix(before ^ _WORD), np.uint64(0))[keep])), pa.array(chance[keep])],
+            names=["state", "step", "n", "log_p", "before", "open", "open_before", "chance"])
 
     return steps.groupBy("group").applyInArrow(merged, schema)
 
@@ -394,9 +397,9 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", depth: int = D
     groups = max(1, -(-n_all // GROUP_TOKENS))
     parents, earlier = None, None
     for d in range(1, depth + 1):
-        found = _frequent(_steps(rows, d, groups, parents, codes), d, lookup, codes, p0)
-        found = cut(found, "pst-frequent")
-        found = _filled(found, table, ["state", "step"])
+        found = _frequent(_steps(rows, d, groups, parents, codes), d, lookup, codes, p0, d == depth)
+        counted = cut(found, "pst-frequent")
+        found = _filled(counted.where("not chance").drop("chance"), table, ["state", "step"])
         if d == 1:
             prior = table.where("word").select(F.col("key").alias("open_before"), F.col("value").alias("_b"))
             found = found.join(prior, "open_before", "left").withColumn("before", F.coalesce("_b", "before")).drop("_b")
@@ -426,7 +429,7 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", depth: int = D
         if parents is not None:
             parents.destroy()
         if d < depth:
-            earlier = kept.select(F.col("step").alias("state"), F.col("n").alias("seen"))
+            earlier = counted.select(F.col("step").alias("state"), F.col("n").alias("seen"))
             none = np.zeros(0, np.uint64)
             parents = docs.sparkSession.sparkContext.broadcast(_Lookup(none, none.astype(float), _filter_of(earlier.select("state"))))
         lookup = _lookup_of(table, hot_entries)
