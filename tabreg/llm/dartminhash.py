@@ -227,13 +227,13 @@ def _units_of(docs: DataFrame, wanted: DataFrame, key: str, text: str, shingle:
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
                     similarity: tuple[int, int] = SIMILARITY, bands: int = BANDS, rows: int = ROWS,
                     pairs_per_row: int = PAIRS_PER_ROW, most_rounds: int = MOST_ROUNDS) -> DataFrame:
-    """One row per row of ``docs``: key, row, class_id, class_row, n_links.
+    """One row per row of ``docs``: key, row, class_id, class_row.
 
     Texts are linked if the weighted Jaccard similarity of their shingles is
     ``similarity`` or more; a class is what links connect. class_id is the
     smallest key of the class and (class_id, class_row) names the row that
-    represents it. n_links counts the compared links of the row's text to
-    other texts. Equal word sequences are one text and are never paired.
+    represents it. Equal word sequences are one text and are never paired.
+    Links are not counted: pairs already in one class are not compared.
 
     Candidates are the pairs of different classes in a bucket. They are
     compared as they are if there are at most ``pairs_per_row`` for each row
@@ -332,15 +332,13 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
         buckets = cut(buckets.drop("label").join(mixed, "bucket", "left_semi"), "dart-buckets")
         n_rows = buckets.count()
 
-    linked = done.where(F.col("both") * den >= F.col("either") * num)
-    counts = (linked.select(F.explode(F.array("a", "b")).alias("node")).groupBy("node").agg(F.count(F.lit(1)).alias("n_links")))
-    grouped = copies.select("node", "first").join(sized(labels, n_labels), "node").join(counts, "node")
+    grouped = copies.select("node", "first").join(sized(labels, n_labels), "node")
     heads = grouped.groupBy("label").agg(F.min("first").alias("head"))
-    grouped = cut(grouped.join(heads, "label").select("node", "head", "n_links"), "dart-classes", n_labels)
+    grouped = cut(grouped.join(heads, "label").select("node", "head"), "dart-classes", n_labels)
     classes = copies.select("copy", "node", "first").join(sized(grouped, n_labels), "node", "left").select(
-        "copy", F.coalesce("head", "first").alias("head"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
+        "copy", F.coalesce("head", "first").alias("head"))
     return rows_all.select("copy", "key", "row").join(classes, "copy").select(
-        F.col("key").alias(key), "row", F.col("head.key").alias("class_id"), F.col("head.row").alias("class_row"), "n_links")
+        F.col("key").alias(key), "row", F.col("head.key").alias("class_id"), F.col("head.row").alias("class_row"))
 
 
 def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", **how) -> DataFrame:

@@ -88,7 +88,7 @@ def op8_suffix_tree_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op9_dartminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per document with its near-duplicate class (smallest doc_id of the class)."""
-    return dartminhash.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links")
+    return dartminhash.near_duplicates(table(spark, sf_dir, "documents")).select("doc_id", "class_id")
 
 
 @_query
