@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from tabreg.llm.common import cut, lookup_join
 
-#: Bound on the labelled rows the character model is fitted on.
+#: Bound on the labelled rows of a language that the character model is fitted on, in expectation.
 FIT_ROWS = 20_000
 #: Share of declared languages taken to be right; the rest falls on the others evenly.
 DECLARED_RIGHT = 0.9
@@ -74,15 +74,19 @@ def fit_text_model(rows: DataFrame, text: str, label: str, key: str, languages:
                    fit_rows: int = FIT_ROWS) -> np.ndarray:
     """Log probabilities (1 + languages, 64^3) of a symbol after two others; row 0: of the symbol alone.
 
-    Fitted on rows whose hash of ``key`` falls into a share that holds
-    ``fit_rows`` rows in expectation; all rows if there are fewer. Null texts
-    and rows of other labels are left out. The counts are one fixed-size array
-    per language.
+    A language of at most ``fit_rows`` rows is fitted on all of them, one of
+    more on those whose hash of ``key`` and text falls into a share that holds
+    ``fit_rows`` rows in expectation. So how many rows the others have does not
+    matter. Null texts and rows of other labels are left out. The counts are
+    one fixed-size array per language.
     """
     rows = rows.where(F.col(label).isin(languages) & F.col(text).isNotNull())
-    n = rows.count()
-    if n > fit_rows:
-        rows = rows.where(F.pmod(F.xxhash64(F.col(key), F.lit("fit")), F.lit(n)) < fit_rows)
+    many = {r[label]: r["count"] for r in rows.groupBy(label).count().collect() if r["count"] > fit_rows}
+    draw = F.xxhash64(F.col(key), F.col(text), F.lit("fit"))
+    skip = F.lit(False)
+    for name, n in sorted(many.items()):
+        skip = skip | ((F.col(label) == name) & (F.pmod(draw, F.lit(n)) >= fit_rows))
+    rows = rows.where(~skip)
 
     def counts(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sums = np.zeros((len(languages), _SYMBOLS**3), np.int64)
@@ -169,6 +173,11 @@ def _fused(model, html: bool, languages: list[str], total: list[float], n_suffix
     return fuse
 
 
+def _code(declared: Column) -> Column:
+    """The language code of a declaration: two or three letters, or empty."""
+    return F.lower(F.regexp_extract(F.coalesce(declared, F.lit("")), r"^\s*([A-Za-z]{2,3})", 1))
+
+
 def identify(rows: DataFrame, model, languages: list[str], text: str, declared: Column, host: Column,
              html: bool = False) -> DataFrame:
     """All rows and columns of ``rows`` plus _lang_id, _lang_posterior, _lang_text, _lang_accepted,
@@ -186,7 +195,7 @@ def identify(rows: DataFrame, model, languages: list[str], text: str, declared:
     name = F.lower(F.coalesce(host, F.lit("")))
     labels = F.split(name, r"\.")
     rows = rows.withColumns({
-        "_lang_declared": F.lower(F.regexp_extract(F.coalesce(declared, F.lit("")), r"^\s*([A-Za-z]{2,3})", 1)),
+        "_lang_declared": _code(declared),
         "_lang_host": name, "_lang_domain": F.array_join(F.slice(labels, F.greatest(F.size(labels) - 1, F.lit(1)), 2), "."),
         "_lang_suffix": F.when(F.size(labels) > 1, F.element_at(labels, -1)).otherwise("")})
 
@@ -220,26 +229,45 @@ def languages_of(rows: DataFrame, label: str, most: int = 200) -> list[str]:
     return sorted(r[label] for r in found)
 
 
+def fitted_languages(model: np.ndarray, languages: list[str]) -> list[str]:
+    """The languages that had a letter to fit; the row of another equals the row of the symbol alone."""
+    return [name for name, row in zip(languages, model[1:]) if not np.array_equal(row, model[0])]
+
+
 def identify_pages(pages: DataFrame, labelled: DataFrame, fit_rows: int = FIT_ROWS) -> DataFrame:
-    """page_id, language, posterior, text_language, declared, host, suffix, accepted for every page."""
+    """page_id, language, posterior, text_language, declared, host, suffix, accepted for every page.
+
+    A page with letters that declares a language which occurs among the labels
+    but has no model is accepted: nothing speaks against what it declares.
+    """
     languages = languages_of(labelled, "lang")
-    model = pages.sparkSession.sparkContext.broadcast(fit_text_model(labelled, "text", "lang", "doc_id", languages, fit_rows))
+    fit = fit_text_model(labelled, "text", "lang", "doc_id", languages, fit_rows)
+    model = pages.sparkSession.sparkContext.broadcast(fit)
+    fitted = fitted_languages(fit, languages)
+    others = labelled.where(F.col("lang").isNotNull() & ~F.col("lang").isin(fitted)).select(_code(F.col("lang")).alias("code")).distinct()
+    unfitted = [r["code"] for r in others.where("code != ''").collect() if r["code"] not in fitted]  # of 26^2 + 26^3 codes
     declared = F.regexp_extract(F.coalesce(F.col("html"), F.lit("")), r"(?is)<html\b[^>]*?\blang\s*=\s*[\"']?\s*([A-Za-z_-]+)", 1)
     host = F.lower(F.regexp_extract(F.coalesce(F.col("url"), F.lit("")), r"^[^:/?#]*://([^/?#:]*)", 1))
     rows = pages.select("page_id", "html", declared.alias("declared"), host.alias("host"))
     out = identify(rows, model, languages, "html", F.col("declared"), F.col("host"), html=True)
+    accepted = F.col("_lang_accepted") | (F.col("_lang_text").isNotNull() & F.col("_lang_declared").isin(unfitted))
     return out.select("page_id", F.col("_lang_id").alias("language"), F.col("_lang_posterior").alias("posterior"),
                       F.col("_lang_text").alias("text_language"), F.col("_lang_declared").alias("declared"),
-                      F.col("_lang_host").alias("host"), F.col("_lang_suffix").alias("suffix"), F.col("_lang_accepted").alias("accepted"))
+                      F.col("_lang_host").alias("host"), F.col("_lang_suffix").alias("suffix"), accepted.alias("accepted"))
 
 
 def keep_identified(docs: DataFrame, fit_rows: int = FIT_ROWS) -> DataFrame:
     """The accepted rows of documents with their columns; ``lang`` is taken as declared, ``source`` as the host.
 
-    Without any label no language is known and every row is kept.
+    A row with letters whose ``lang`` has no model (beyond the most frequent
+    ones, or never with letters) is kept: its text can't be held against its
+    own language. Without any label no language is known and every row is kept.
     """
     languages = languages_of(docs, "lang")
     if not languages:
         return docs
-    model = docs.sparkSession.sparkContext.broadcast(fit_text_model(docs, "text", "lang", "doc_id", languages, fit_rows))
-    return identify(docs, model, languages, "text", F.col("lang"), F.col("source")).where("_lang_accepted").select(*docs.columns)
+    fit = fit_text_model(docs, "text", "lang", "doc_id", languages, fit_rows)
+    model = docs.sparkSession.sparkContext.broadcast(fit)
+    out = identify(docs, model, languages, "text", F.col("lang"), F.col("source"))
+    unfitted = F.col("lang").isNotNull() & ~F.col("lang").isin(fitted_languages(fit, languages))
+    return out.where(F.col("_lang_accepted") | (unfitted & F.col("_lang_text").isNotNull())).select(*docs.columns)
