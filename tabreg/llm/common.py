@@ -4,14 +4,13 @@ from __future__ import annotations
 
 import os
 import tempfile
-import uuid
 import zipfile
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tabreg.session import checkpoint_root
+from tabreg.sources import scratch
 
 #: Rows up to which a counted lookup table is broadcast; larger ones take the shuffled join.
 BROADCAST_ROWS = 200_000
@@ -48,16 +47,13 @@ ROWS_PER_TASK = 250_000
 def cut(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
     """Write ``df`` to the shared checkpoint folder and read it back.
 
-    The result has no lineage to recompute, and any executor can read it.
-    ``rows``: a counted bound on its rows; a small table is then written by as
-    many tasks as it needs.
+    The result has no lineage to recompute, and any executor can read it. The
+    enclosing ``scratch.Scratch`` owns the table. ``rows``: a counted bound on
+    its rows; a small table is then written by as many tasks as it needs.
     """
-    spark = df.sparkSession
     if rows is not None:
         df = df.coalesce(max(1, -(-rows // ROWS_PER_TASK)))
-    path = f"{checkpoint_root(spark)}/tabreg/{name}-{uuid.uuid4().hex[:12]}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return scratch.cut(df, name)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:
@@ -81,6 +77,34 @@ def range_buckets(df: DataFrame, key: str, out: str, n: int) -> DataFrame:
             .transform(df.withColumn(at, value)).withColumn(out, F.col(out).cast("int")).drop(at))
 
 
+def numbered(rows: DataFrame, order: list[str], out: str, part: list[str] | None = None) -> DataFrame:
+    """Add ``out``: each row's number from 0 in the rising order of ``order`` within its ``part``, nulls first.
+
+    Rows are dealt by ranges of ``part``, ``order`` and a row number, so that
+    no part, and no value that many rows share, gathers in one task; a range's
+    first number comes from the counts of the ranges before. ``rows`` must give
+    the same rows each time it is run (a written table does). The result is a
+    written table.
+    """
+    part = part or []
+    names = {f"_{out}_{x}": x for x in ("row", "at", "task", "first", "before")}
+    row, at, task, first, before = names
+    n = max(shuffle_partitions(rows.sparkSession), 1)
+    ranged = (rows.withColumn(row, F.monotonically_increasing_id())
+              .repartitionByRange(n, *part, *order, row).sortWithinPartitions(*part, *order, row)
+              .withColumn(at, F.monotonically_increasing_id()).drop(row))
+    ranged = cut(ranged, "numbered")
+    ranged_task = ranged.withColumn(task, F.shiftright(at, 33))
+    ends = ranged_task.groupBy(*part, task).agg(F.min(at).alias(first), F.count(F.lit(1)).alias(before))
+    # a row for each range, and one more for each part
+    earlier = Window.partitionBy(*part).orderBy(task).rowsBetween(Window.unboundedPreceding, -1)
+    ends = cut(ends.withColumn(before, F.coalesce(F.sum(before).over(earlier), F.lit(0))), "numbered-ends")
+    done = cut(lookup_join(ranged_task, ends, [*part, task], ends.count())
+               .withColumn(out, F.col(before) + F.col(at) - F.col(first)).select(*rows.columns, out), "numbered-rows")
+    scratch.drop(ranged, ends)
+    return done
+
+
 def sized(df: DataFrame, n: int, limit: int = BROADCAST_ROWS) -> DataFrame:
     """``df`` of ``n`` counted rows as a join side: broadcast up to ``limit`` rows, else shuffled."""
     return F.broadcast(df) if n <= limit else df

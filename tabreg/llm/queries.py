@@ -9,7 +9,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tabreg.llm import dartminhash, fingerprints, hnsw, language_id, mixing, packing, sharding, suffix_tree_lm, token_counts, url_filter
+from tabreg.llm import (dartminhash, decontamination, fingerprints, hnsw, language_id, merkle, mixing, packing, periodic_runs,
+                        sharding, suffix_tree_lm, token_counts, url_filter)
 from tabreg.llm.common import ship_package, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -97,3 +98,27 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_by_bytes(table(spark, sf_dir, "documents"), 24).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"))
+
+
+@_query
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's leaf, its proof up to the root, and whether the proof holds."""
+    return merkle.verified(table(spark, sf_dir, "documents"))
+
+
+ORACLE["op11_merkle_manifest"] = merkle.oracle_sql()
+
+
+@_query
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's periodic runs of words and its text without their repetitions."""
+    return periodic_runs.run_report(table(spark, sf_dir, "documents"))
+
+
+@_query
+def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's words and items of the benchmark."""
+    return decontamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLE["op13_decontamination"] = decontamination.oracle_sql()

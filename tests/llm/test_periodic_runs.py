@@ -1,0 +1,111 @@
+import hashlib
+import random
+import re
+import zlib
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from tabreg.llm import periodic_runs as pr
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def brute(w, least):
+    """All maximal stretches of each period, smallest period of each stretch only."""
+    found, n = {}, len(w)
+    for q in range(1, n // 2 + 1):
+        i = 0
+        while i + q < n:
+            if w[i] != w[i + q]:
+                i += 1
+                continue
+            j = i
+            while j + q < n and w[j] == w[j + q]:
+                j += 1
+            if j + q - i >= max(least, 2 * q):
+                found.setdefault((i, j + q), q)
+            i = j + 1
+    return sorted((s, e - s, q) for (s, e), q in found.items()
+                  if not any(all(w[x] == w[x + p] for x in range(s, e - p)) for p in range(1, q)))
+
+
+def report(doc_id, text):
+    w = WORD.findall(text or "")
+    n = len(w)
+    h = zlib.crc32(str(doc_id).encode()) if doc_id is not None else 1
+    if h % 10 == 0 and n:
+        g = h // 10
+        a = g % n
+        p = 1 + (n - a) // (3 + g % 8)
+        w = [w[i] if i < a else w[a + (i - a) % p] for i in range(n)]
+    runs = brute(w, 12)
+    dropped = {i for s, m, q in runs for i in range(s + q, s + m)}
+    best = min(runs, key=lambda r: (-r[1], r[0], r[2]), default=None)
+
+    def sha(x):
+        return hashlib.sha256(x.encode()).hexdigest()
+    return (doc_id, len(runs), *((best[0], best[1], best[2], 1000 * best[1] // best[2]) if best else (None,) * 4),
+            sha("".join(f"{s},{m},{q}\n" for s, m, q in runs)), sha(" ".join(x for i, x in enumerate(w) if i not in dropped)))
+
+
+def key(row):
+    return tuple((v is not None, v or 0) if not isinstance(v, str) else (True, v) for v in row)
+
+
+def check(docs):
+    got = [tuple(r) for r in pr.run_report(docs).collect()]
+    want = [report(r.doc_id, r.text) for r in docs.collect()]
+    assert sorted(got, key=key) == sorted(want, key=key)
+    return got
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.lists(st.integers(0, 2), max_size=60), st.integers(2, 12))
+def test_runs_equal_brute_force(seq, least):
+    assert pr.runs_of(seq, least) == brute(seq, least)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.lists(st.integers(0, 3), max_size=50), max_size=6), st.integers(2, 12))
+def test_stretches_lose_no_run(seqs, least):
+    import numpy as np
+    doc = np.repeat(np.arange(len(seqs)), [len(s) for s in seqs])
+    codes = np.array([c for s in seqs for c in s], np.int64)
+    got = {(lo + s, m, q) for lo, hi in pr.stretches(doc, codes, least) for s, m, q in pr.runs_of(codes[lo:hi].tolist(), least)}
+    at, want = 0, set()
+    for s in seqs:
+        want |= {(at + r[0], r[1], r[2]) for r in brute(s, least)}
+        at += len(s)
+    assert got == want
+
+
+def test_nested_and_overlapping_runs():
+    rng = random.Random(3)
+    for _ in range(60):
+        w = []
+        while len(w) < 150:
+            u = [rng.randrange(4) for _ in range(rng.randint(1, 9))]
+            w += u * rng.randint(1, 5)
+        assert pr.runs_of(w, 12) == brute(w, 12)
+
+
+def test_query_equals_brute_force(spark, sf_docs):
+    got = check(sf_docs.repartition(3))
+    assert sum(r[1] > 0 for r in got) > len(got) / 20
+
+
+def test_odd_rows(spark, odd_docs):
+    got = check(odd_docs)
+    assert len(got) == odd_docs.count()
+    assert pr.run_report(odd_docs.where("false")).count() == 0
+    texts = [" ".join(["la"] * 12), " ".join(["la"] * 11), "a b c d e f " * 2, "x " * 3 + "a b " * 6 + "y", "é ü é ü " * 8, "　"]
+    check(spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string"))
+
+
+def test_long_text_and_text_keys(spark):
+    long = " ".join(str(i % 1500) for i in range(30000))
+    docs = spark.createDataFrame([("a", long), (None, "b " * 20)], "name string, body string")
+    got = {r.name: r for r in pr.find_runs(docs, "name", "body").collect()}
+    assert [tuple(x) for x in got["a"].runs] == [(0, 30000, 1500)] and len(got["a"].collapsed.split()) == 1500
+    assert [tuple(x) for x in got[None].runs] == [(0, 20, 1)] and got[None].collapsed == "b"
