@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import os
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -25,10 +26,13 @@ SEQ_LEN = 2048
 END_ID = 1
 #: Windows a task keeps open before it levels them, encoded words it remembers, full windows it gathers.
 MAX_OPEN = 4096
-CACHE_WORDS = 200_000
+CACHE_WORDS = 300_000
 CLOSED_ROWS = 2000
 
 
+_MARKS = ".,;:!?"
+
+
 class _Words(dict):
     """Ids of words by `tokenizers`, remembered; ``lead`` is the space before a word, or nothing."""
 
@@ -36,17 +40,17 @@ class _Words(dict):
         super().__init__()
         self._tok, self._model, self._lead, self._limit, self._old = tok, tok.model, lead, limit, {}
         self._mark = "\u0120" if lead else ""  # how the vocabulary writes a space
+        self._marks = {m: self._encode(m) for m in _MARKS}
 
     def __missing__(self, word: str) -> bytes:
         if not word or word[0].isspace():
             raise _Loose  # white space that belongs to what stands before it
+        if word[-1] in _MARKS and word[:-1].isalpha():  # letters and what is no letter are apart for the tokenizer
+            return self[word[:-1]] + self._marks[word[-1]]  # not remembered: the word itself is
         out = self._old.get(word)
         if out is None:
-            body, mark = (word[:-1], word[-1]) if word[-1] in ".,;:!?" else (word, "")
-            if mark and body.isalpha():  # letters and what is no letter are apart for the tokenizer
-                out = self[body] + self._encode(mark)
-            elif body.isalpha():
-                piece = body if body.isascii() else "".join(map(_BYTE_CHARS.__getitem__, body.encode()))
+            if word.isalpha():
+                piece = word if word.isascii() else "".join(map(_BYTE_CHARS.__getitem__, word.encode()))
                 out = _packed([t.id for t in self._model.tokenize(self._mark + piece)])
             else:
                 out = self._encode(self._lead + word)
@@ -65,8 +69,8 @@ class _Loose(Exception):
     pass
 
 
-def _packed(ids) -> bytes:
-    return np.array(ids, "<u4").tobytes()
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 def _byte_chars() -> list[str]:
