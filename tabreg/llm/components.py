@@ -6,8 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabreg.llm.common import BROADCAST_ROWS, cut, sized
+from tabreg.sources.scratch import drop, keep, scoped
 
 
+@scoped
 def components(links: DataFrame, a: str = "a", b: str = "b", limit: int = BROADCAST_ROWS) -> DataFrame:
     """node, label for every node of ``links``; label is the smallest node it reaches.
 
@@ -24,12 +26,14 @@ def components(links: DataFrame, a: str = "a", b: str = "b", limit: int = BROADC
     labels = cut(both.groupBy("x").agg(F.min("y").alias("y"))
                  .select(F.col("x").alias("node"), F.least("x", "y").alias("label")), "labels", n)
     while True:
-        known = sized(labels, n, limit)
+        known = sized(labels.select("node", "label"), n, limit)
         near = both.join(known.withColumnsRenamed({"node": "y"}), "y").groupBy("x").agg(F.min("label").alias("near"))
-        step = (near.join(known, near.x == labels.node)
+        step = (near.join(known, near.x == known.node)
                 .select("node", F.col("label").alias("old"), F.least("label", "near").alias("label")))
         far = known.select(F.col("node").alias("label"), F.col("label").alias("far"))
         step = cut(step.join(far, "label").select("node", "old", F.least("label", "far").alias("label")), "labels", n)
+        drop(labels)
+        labels = step
         if step.where("label != old").isEmpty():
-            return step.select("node", "label")
-        labels = step.select("node", "label")
+            keep(labels)
+            return labels.select("node", "label")

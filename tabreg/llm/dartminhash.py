@@ -20,14 +20,16 @@ from pyspark.sql import functions as F
 
 from tabreg.llm.common import cut, sized
 from tabreg.llm.components import components
+from tabreg.sources.scratch import drop, keep, scoped
 from tabreg.llm.textnum import WordHashes, mix, salted, slices, unit
 
 SHINGLE = 5
 SIMILARITY = (4, 5)  # 0.8 as a fraction, so that the comparison is exact
 BANDS, ROWS = 26, 5
 MOST_ROUNDS = 8
-PAIRS_PER_ROW = 8
-SLICE_CHARS = 2_000_000
+#: A bucket with so many pairs for each row, or fewer, is paired; others take leaders.
+PAIRS_PER_ROW = 2
+SLICE_CHARS = 1_000_000
 #: Rank strips: [0, 2^-5), [2^-5, 2^-4) ... [1/2, 1), then of width 1.
 _LOW_STRIPS = 6
 _HASHES = WordHashes()
@@ -168,62 +170,42 @@ def _sketches(docs: DataFrame, key: str, text: str, shingle: int, bands: int, ro
     return rows_in.mapInArrow(run, f"key {kind}, row long, copy binary, weight long, buckets array<long>")
 
 
-def _compare(pairs: DataFrame, units: DataFrame) -> DataFrame:
-    """a, b, both, either (sizes of intersection and union) for each pair of nodes."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            both, either = [], []
-            for x, y in zip(batch.column(2), batch.column(3)):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                n = len(np.intersect1d(x, y, assume_unique=True))
-                both.append(n)
-                either.append(len(x) + len(y) - n)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(both, pa.int64()), pa.array(either, pa.int64())],
-                names=["a", "b", "both", "either"])
-
-    joined = (pairs.select("a", "b")
-              .join(units.select(F.col("node").alias("b"), F.col("units").alias("y")), "b")
-              .join(units.select(F.col("node").alias("a"), F.col("units").alias("x")), "a"))
-    return joined.select("a", "b", "x", "y").mapInArrow(run, "a long, b long, both long, either long")
+def _compare(pairs: DataFrame, units: DataFrame, similarity: tuple[int, int]) -> DataFrame:
+    """a, b, linked for each pair of nodes."""
+    num, den = similarity
+    both = F.size(F.array_intersect("x", "y"))
+    return (pairs.select("a", "b")
+            .join(units.select(F.col("node").alias("b"), F.col("units").alias("y")), "b")
+            .join(units.select(F.col("node").alias("a"), F.col("units").alias("x")), "a")
+            .select("a", "b", both.alias("both"), (F.size("x") + F.size("y")).alias("all"))
+            .select("a", "b", (F.col("both") * (num + den) >= F.col("all") * num).alias("linked")))
 
 
 def _beside(star: DataFrame, units: DataFrame) -> DataFrame:
     """The rows of ``star`` with both (units shared with the leader) and extra (units the leader lacks)."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            both, extra = [], []
-            for x, y in zip(batch.column("x"), batch.column("y")):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                more = np.setdiff1d(x, y, assume_unique=True)
-                both.append(len(x) - len(more))
-                extra.append(more.view(np.int64))
-            kept = [batch.column(c) for c in names]
-            yield pa.RecordBatch.from_arrays([*kept, pa.array(both, pa.int64()), pa.array(extra, pa.list_(pa.int64()))],
-                                             names=[*names, "both", "extra"])
-
-    names = star.columns
     joined = (star.join(units.select("node", F.col("units").alias("x")), "node")
               .join(units.select(F.col("node").alias("l_node"), F.col("units").alias("y")), "l_node"))
-    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in star.schema.fields)
-    return joined.select(*names, "x", "y").mapInArrow(run, f"{fields}, both long, extra array<long>")
+    return (joined.select(*star.columns, F.size("x").alias("n"), F.array_except("x", "y").alias("extra"))
+            .select(*star.columns, (F.col("n") - F.size("extra")).cast("long").alias("both"), "extra"))
 
 
 def _units_of(docs: DataFrame, wanted: DataFrame, key: str, text: str, shingle: int) -> DataFrame:
-    """node, units (sorted 64-bit numbers) of the wanted (node, key, row)."""
+    """node, units (64-bit numbers) of the wanted (node, key, row)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, SLICE_CHARS, 0, 1):
             doc, units = elements([p[1] for p in part], shingle)
             ends = np.cumsum(np.bincount(doc, minlength=len(part)))
-            packed = [np.sort(units[e0:e1]).tobytes() for e0, e1 in zip(np.append(0, ends[:-1]), ends)]
-            yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in part], pa.int64()), pa.array(packed, pa.binary())],
-                                             names=["node", "units"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([p[0] for p in part], pa.int64()),
+                 pa.ListArray.from_arrays(pa.array(np.append(0, ends), pa.int32()), pa.array(units.view(np.int64)))],
+                names=["node", "units"])
 
     rows = docs.select(F.col(key).alias("key"), _row_id(key, text).alias("row"), F.col(text).alias("text")).alias("d")
     found = rows.join(wanted.alias("w"), F.col("d.key").eqNullSafe(F.col("w.key")) & (F.col("d.row") == F.col("w.row")))
-    return found.select("node", "text").dropDuplicates(["node"]).mapInArrow(run, "node long, units binary")
+    return found.select("node", "text").dropDuplicates(["node"]).mapInArrow(run, "node long, units array<long>")
 
 
+@scoped
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE,
                     similarity: tuple[int, int] = SIMILARITY, bands: int = BANDS, rows: int = ROWS,
                     pairs_per_row: int = PAIRS_PER_ROW, most_rounds: int = MOST_ROUNDS) -> DataFrame:
@@ -235,15 +217,19 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
     represents it. Equal word sequences are one text and are never paired.
     Links are not counted: pairs already in one class are not compared.
 
-    Candidates are the pairs of different classes in a bucket. They are
-    compared as they are if there are at most ``pairs_per_row`` for each row
-    of such buckets. Else a bucket's members are compared with its leader, the member that meets
-    most others. Two members that share no unit outside the leader share at
-    most what each has in common with it, which rules out nearly all of them
-    by three numbers; members that do share one meet in a bucket of that
-    leader and unit in the next round. After ``most_rounds`` rounds, which
-    takes leaders within leaders, what is left is compared pair by pair in any
-    case. So no candidate is given up.
+    Candidates are the pairs of different classes in a bucket. Every bucket
+    has a leader, the member that meets most others. At first each text is
+    compared with one leader only, the greatest of its buckets', which settles
+    most classes with one comparison a text. Then, bucket by bucket: with at
+    most ``pairs_per_row`` pairs for each row, they are compared as they are;
+    else the members are compared with the bucket's leader. Two members that
+    share no unit outside the leader share at most what each has in common
+    with it, which rules out nearly all of them by three numbers; members that
+    do share one meet in a bucket of that leader and unit in the next round.
+    After ``most_rounds`` rounds, which takes leaders within leaders, what is
+    left is compared pair by pair in any case. So no candidate is given up.
+    New links join the classes they connect, so a step's links are pairs of
+    classes, not of texts.
 
     Null and blank texts form one class. Rows with a null key belong to
     classes; class_id is null only where all keys are. Repeated rows each get
@@ -255,69 +241,98 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
                  .withColumn("node", F.xxhash64("copy")), "dart-copies")
     buckets = copies.where("weight > 0").select("node", "weight", F.explode("buckets").alias("bucket"))
     shared = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    buckets = cut(buckets.join(shared, "bucket"), "dart-shared")
-    n_rows = buckets.count()
-    mates = buckets.groupBy("node").agg(F.sum("n").alias("mates"))
-    buckets = cut(buckets.drop("n").join(mates, "node"), "dart-buckets", n_rows)
+    met = cut(buckets.join(shared, "bucket"), "dart-shared")
+    n_rows = met.count()
+    mates = met.groupBy("node").agg(F.sum("n").alias("mates"))
+    buckets = cut(met.drop("n").join(mates, "node"), "dart-buckets", n_rows)
+    drop(met)
 
     wanted = cut(copies.select("node", "first").join(buckets.select("node").distinct(), "node", "left_semi")
                  .select("node", F.col("first.key").alias("key"), F.col("first.row").alias("row")), "dart-wanted", n_rows)
     units = cut(_units_of(docs, wanted, key, text, shingle), "dart-units")
+    drop(wanted)
     num, den = similarity
     spark = docs.sparkSession
-    done = spark.createDataFrame([], "a long, b long, both long, either long")
+    done = spark.createDataFrame([], "a long, b long")
     labels = spark.createDataFrame([], "node long, label long")
     n_done, n_labels = 0, 0
 
+    def named(table: DataFrame, node: str, label: str) -> DataFrame:
+        known = sized(labels.select(F.col("node").alias("_n"), F.col("label").alias("_l")), n_labels)
+        return table.join(known, F.col(node) == F.col("_n"), "left").withColumn(label, F.coalesce("_l", node)).drop("_n", "_l")
+
     def compare(pairs: DataFrame) -> None:
         """Compare the pairs of nodes x, y that are new, and bring the classes up to date."""
         nonlocal done, n_done, labels, n_labels
         pairs = pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-        fresh = pairs.join(sized(done.select("a", "b"), n_done), ["a", "b"], "left_anti")
-        new = cut(_compare(fresh, units), "dart-pairs")
-        if not new.isEmpty():
-            done = done.unionByName(new)
-            n_done = done.count()
-            labels = components(done.where(F.col("both") * den >= F.col("either") * num).select("a", "b"))
-            n_labels = labels.count()
-
-    def named(table: DataFrame, node: str, label: str) -> DataFrame:
-        known = sized(labels.select(F.col("node").alias("_n"), F.col("label").alias("_l")), n_labels)
-        return table.join(known, F.col(node) == F.col("_n"), "left").withColumn(label, F.coalesce("_l", node)).drop("_n", "_l")
+        fresh = pairs.join(sized(done, n_done), ["a", "b"], "left_anti")
+        new = cut(_compare(fresh, units, similarity), "dart-pairs")
+        n_new = new.count()
+        if not n_new:
+            return
+        done, n_done = done.unionByName(new.select("a", "b")), n_done + n_new
+        links = named(named(new.where("linked"), "a", "x"), "b", "y")
+        links = cut(links.where("x != y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "dart-links", n_new)
+        joined = components(links)  # class to class
+        n_joined = joined.count()
+        if n_joined:
+            to = sized(joined.select(F.col("node").alias("label"), F.col("label").alias("to")), n_joined)
+            moved = labels.join(to, "label", "left").select("node", F.coalesce("to", "label").alias("label"))
+            known = cut(moved.unionByName(joined.join(sized(labels, n_labels), "node", "left_anti")), "dart-labels", n_labels + n_joined)
+            drop(labels)
+            labels, n_labels = known, known.count()
+        drop(links, joined)
 
     def may_match(x: str, y: str):
         return (F.col(x) * den >= F.col(y) * num) & (F.col(y) * den >= F.col(x) * num)
 
-    for n in range(most_rounds + 1):
-        rest = named(buckets, "node", "label")
-        # pairs of different classes in each bucket
+    def still_open(table: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """(rows of buckets with several classes, with their label; bucket, n, pairs of those)."""
+        rest = named(table, "node", "label")
         per = (rest.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("c")).groupBy("bucket")
                .agg(F.sum("c").alias("n"), ((F.sum("c") * F.sum("c") - F.sum(F.col("c") * F.col("c"))) / 2).alias("pairs")).where("pairs > 0"))
         per = cut(per, "dart-mixed", n_rows)
-        size = per.agg(F.sum("n").alias("rows"), F.sum("pairs").alias("pairs")).first()
-        if not size["rows"]:
-            break
-        rest = rest.join(per.select("bucket"), "bucket", "left_semi")
-        if n == most_rounds or size["pairs"] <= pairs_per_row * size["rows"]:
-            other = rest.select(F.col("bucket").alias("l_bucket"), *[F.col(c).alias(f"l_{c}") for c in ("node", "label", "weight")])
-            compare(rest.join(other, (F.col("bucket") == F.col("l_bucket")) & (F.col("node") < F.col("l_node")) & (F.col("label") != F.col("l_label"))
-                              & may_match("weight", "l_weight")).select(F.col("node").alias("x"), F.col("l_node").alias("y")))
-            break
-        rest = cut(rest, "dart-open", n_rows)
-        leader = F.max_by(F.struct("node", "weight"), F.struct("mates", -F.col("weight"), "node"))
+        return cut(rest.join(per.select("bucket"), "bucket", "left_semi"), "dart-open", n_rows), per
+
+    def stars(rest: DataFrame) -> DataFrame:
+        """The rows of ``rest`` that don't lead their bucket, with its leader."""
+        leader = F.max_by(F.struct("node", "weight", "mates"), F.struct("mates", -F.col("weight"), "node"))
         lead = rest.groupBy("bucket").agg(leader.alias("lead"))
-        star = cut(rest.join(lead, "bucket").where("node != lead.node")
-                   .select("node", "weight", "mates", F.col("lead.node").alias("l_node"), F.col("lead.weight").alias("l_weight")).distinct(),
-                   "dart-star", n_rows)
-        compare(star.where(may_match("weight", "l_weight")).select(F.col("node").alias("x"), F.col("l_node").alias("y")))
+        return rest.join(lead, "bucket").where("node != lead.node").select("node", "weight", "mates", F.col("lead.node").alias("l_node"),
+                                                                         F.col("lead.weight").alias("l_weight"), F.col("lead.mates").alias("l_mates"))
+
+    for n in range(most_rounds + 1):
+        rest, per = still_open(buckets)
+        if n == 0 and most_rounds:
+            best = (stars(rest).where(may_match("weight", "l_weight")).groupBy("node")
+                    .agg(F.max(F.struct("l_mates", "l_node")).alias("best")))
+            compare(best.select(F.col("node").alias("x"), F.col("best.l_node").alias("y")))
+            drop(rest, per)
+            rest, per = still_open(buckets)
+        drop(buckets)
+        few = F.col("pairs") <= pairs_per_row * F.col("n") if n < most_rounds else F.lit(True)
+        small = rest.join(per.where(few).select("bucket"), "bucket", "left_semi")
+        other = small.select(F.col("bucket").alias("l_bucket"), *[F.col(c).alias(f"l_{c}") for c in ("node", "label", "weight")])
+        pairs = (small.join(other, (F.col("bucket") == F.col("l_bucket")) & (F.col("node") < F.col("l_node")) & (F.col("label") != F.col("l_label"))
+                            & may_match("weight", "l_weight")).select(F.col("node").alias("x"), F.col("l_node").alias("y")))
+        if n == most_rounds:
+            compare(pairs)
+            drop(rest, per)
+            break
+        star = cut(stars(rest.join(per.where(~few).select("bucket"), "bucket", "left_semi")).drop("l_mates").distinct(), "dart-star", n_rows)
+        compare(pairs.unionByName(star.where(may_match("weight", "l_weight")).select(F.col("node").alias("x"), F.col("l_node").alias("y"))))
+        drop(rest, per)
 
         # circles: the nodes compared with one leader; open if two of them are not of one class
-        star = named(star, "node", "label")
-        circles = star.groupBy("l_node").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo != hi").select("l_node")
-        star = cut(star.join(circles, "l_node", "left_semi"), "dart-circles", n_rows)
-        if star.isEmpty():
+        by_class = named(star, "node", "label")
+        circles = by_class.groupBy("l_node").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo != hi").select("l_node")
+        inner = cut(by_class.join(circles, "l_node", "left_semi"), "dart-circles", n_rows)
+        drop(star)
+        if inner.isEmpty():
+            drop(inner)
             break
-        beside = cut(_beside(star, units), "dart-beside")
+        beside = cut(_beside(inner, units), "dart-beside")
+        drop(inner)
         inside = beside.drop("extra")
         linked = F.col("both") * (num + den) >= (F.col("weight") + F.col("l_weight")) * num
         partner = inside.where("weight < l_weight").select("l_node", *[F.col(c).alias(f"y_{c}") for c in ("node", "weight", "label", "both")])
@@ -326,10 +341,11 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
                 .where((F.col("node") != F.col("y_node")) & (F.col("label") != F.col("y_label"))
                        & (F.col("both") * (num + den) >= least) & (F.col("y_both") * (num + den) >= least))
                 .select(F.col("node").alias("x"), F.col("y_node").alias("y")))
-        buckets = beside.select("node", "weight", "mates", "label", "l_node", F.explode("extra").alias("unit"))
-        buckets = buckets.withColumn("bucket", F.xxhash64("l_node", "unit")).drop("l_node", "unit")
-        mixed = buckets.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo != hi").select("bucket")
-        buckets = cut(buckets.drop("label").join(mixed, "bucket", "left_semi"), "dart-buckets")
+        again = beside.select("node", "weight", "mates", "label", "l_node", F.explode("extra").alias("unit"))
+        again = again.withColumn("bucket", F.xxhash64("l_node", "unit")).drop("l_node", "unit")
+        mixed = again.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo != hi").select("bucket")
+        buckets = cut(again.drop("label").join(mixed, "bucket", "left_semi"), "dart-buckets")
+        drop(beside)
         n_rows = buckets.count()
 
     grouped = copies.select("node", "first").join(sized(labels, n_labels), "node")
@@ -337,21 +353,27 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
     grouped = cut(grouped.join(heads, "label").select("node", "head"), "dart-classes", n_labels)
     classes = copies.select("copy", "node", "first").join(sized(grouped, n_labels), "node", "left").select(
         "copy", F.coalesce("head", "first").alias("head"))
-    return rows_all.select("copy", "key", "row").join(classes, "copy").select(
-        F.col("key").alias(key), "row", F.col("head.key").alias("class_id"), F.col("head.row").alias("class_row"))
+    out = cut(rows_all.select("copy", "key", "row").join(classes, "copy").select(
+        F.col("key").alias(key), "row", F.col("head.key").alias("class_id"), F.col("head.row").alias("class_row")), "dart-result")
+    keep(out)
+    return out
 
 
+@scoped
 def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", **how) -> DataFrame:
     """The rows of ``docs`` that represent their class, with all their columns.
 
     Of rows equal in ``key`` and ``text`` one stays.
     """
     classes = near_duplicates(docs, key, text, **how)
-    heads = classes.select(F.col("class_id").alias("_k"), F.col("class_row").alias("_r")).distinct()
-    rows = docs.withColumn("_row", _row_id(key, text))
-    kept = rows.join(heads, F.col(key).eqNullSafe(F.col("_k")) & (F.col("_row") == F.col("_r")), "left_semi")
-    repeated = docs.select(F.col(key).alias("_k"), _row_id(key, text).alias("_r")).groupBy("_k", "_r").count().where("count > 1")
+    heads = cut(classes.select(F.col("class_id").alias("head"), F.col("class_row").alias("head_row")).distinct(), "dart-heads")
+    keep(heads)
+    # the row itself is one column, so that its columns may have any names
+    rows = docs.select(F.struct("*").alias("doc"), F.col(key).alias("key"), _row_id(key, text).alias("row"))
+    kept = rows.join(heads, F.col("key").eqNullSafe(F.col("head")) & (F.col("row") == F.col("head_row")), "left_semi")
+    repeated = classes.groupBy(key, "row").count().where("count > 1")
     if not repeated.isEmpty():
-        one = Window.partitionBy(key, "_row").orderBy(*[F.col(c) for c in docs.columns if c not in (key, text)] or [F.col(key)])
-        kept = kept.withColumn("_n", F.row_number().over(one)).where("_n = 1").drop("_n")
-    return kept.drop("_row")
+        rest = [F.col(f"doc.`{c}`") for c in docs.columns if c not in (key, text)]
+        one = Window.partitionBy("key", "row").orderBy(*rest or [F.col("key")])
+        kept = kept.withColumn("nth", F.row_number().over(one)).where("nth = 1")
+    return kept.select("doc.*")
