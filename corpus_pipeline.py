@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tabreg.llm import dartminhash, language_id, mixing, packing
 from tabreg.llm.common import cut, ship_package, table
 from tabreg.llm.queries import tokenizer_path
+from tabreg.sources.scratch import Scratch
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -28,7 +29,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the documents drawn for the target shares of source, language and topic."""
     ship_package(spark)
-    return mixing.mix(docs, mixing.document_dims()).where("_mix_sampled").select(*docs.columns)
+    return mixing.keep_sampled(docs)
 
 
 def pack_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -45,7 +46,15 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        docs = cut(stage(spark, docs, sf_dir), f"stage-{name}")
-    return STAGES[-1][1](spark, docs, sf_dir)
+    """All stages; each stage's table, and what its own tables were, goes once the next one is written."""
+    with Scratch(spark, "pipeline") as run:
+        docs, before = table(spark, sf_dir, "documents"), None
+        for name, stage in STAGES[:-1]:
+            with Scratch(spark, name) as own:
+                written = cut(stage(spark, docs, sf_dir), f"stage-{name}")
+                own.keep(written)
+            if before is not None:
+                run.drop(before)
+            docs = before = written
+        run.keep(docs)
+        return STAGES[-1][1](spark, docs, sf_dir)

@@ -56,6 +56,11 @@ def cut(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
     return scratch.cut(df, name)
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    """``docs`` as one struct column ``_doc``, so that no column of theirs can clash; ``_doc.*`` gives them back."""
+    return docs.select(F.struct("*").alias("_doc"))
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

@@ -18,7 +18,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tabreg.llm.common import cut, lookup_join
+from tabreg.llm.common import cut, lookup_join, packed
+from tabreg.sources.scratch import drop, keep, scoped
 
 #: Bound on the labelled rows of a language that the character model is fitted on, in expectation.
 FIT_ROWS = 20_000
@@ -178,9 +179,10 @@ def _code(declared: Column) -> Column:
     return F.lower(F.regexp_extract(F.coalesce(declared, F.lit("")), r"^\s*([A-Za-z]{2,3})", 1))
 
 
+@scoped
 def identify(rows: DataFrame, model, languages: list[str], text: str, declared: Column, host: Column,
              html: bool = False) -> DataFrame:
-    """All rows and columns of ``rows`` plus _lang_id, _lang_posterior, _lang_text, _lang_accepted,
+    """All rows and columns of ``rows`` (none of theirs may begin with _lang_) plus _lang_id, _lang_posterior, _lang_text, _lang_accepted,
     _lang_declared, _lang_host and _lang_suffix.
 
     ``declared`` is a language code (regions after - or _ are ignored; unknown
@@ -216,6 +218,8 @@ def identify(rows: DataFrame, model, languages: list[str], text: str, declared:
                          named(domains, "domain", "_lang_domain"), ["_lang_domain"], domains.count())
     levels = lookup_join(levels, named(suffixes, "suffix", "_lang_suffix"), ["_lang_suffix"], n_suffixes := suffixes.count())
     levels = cut(levels.drop("_lang_domain", "_lang_suffix"), "lang-levels")
+    drop(hosts, domains, suffixes)
+    keep(levels)
     rows = lookup_join(rows, levels, ["_lang_host"], levels.count())
     fuse = _fused(model, html, languages, total, max(1, n_suffixes))  # one Python step a task, so one worker
     out = rows.withColumn("_lang_f", fuse(text, "_lang_at_host", "_lang_at_domain", "_lang_at_suffix", "_lang_declared"))
@@ -268,6 +272,7 @@ def keep_identified(docs: DataFrame, fit_rows: int = FIT_ROWS) -> DataFrame:
         return docs
     fit = fit_text_model(docs, "text", "lang", "doc_id", languages, fit_rows)
     model = docs.sparkSession.sparkContext.broadcast(fit)
-    out = identify(docs, model, languages, "text", F.col("lang"), F.col("source"))
-    unfitted = F.col("lang").isNotNull() & ~F.col("lang").isin(fitted_languages(fit, languages))
-    return out.where(F.col("_lang_accepted") | (unfitted & F.col("_lang_text").isNotNull())).select(*docs.columns)
+    lang = F.col("_doc.lang")
+    out = identify(packed(docs), model, languages, "_doc.text", lang, F.col("_doc.source"))
+    unfitted = lang.isNotNull() & ~lang.isin(fitted_languages(fit, languages))
+    return out.where(F.col("_lang_accepted") | (unfitted & F.col("_lang_text").isNotNull())).select("_doc.*")

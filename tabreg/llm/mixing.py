@@ -13,9 +13,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabreg.functions.hashing import hash_unit
-from tabreg.llm.common import cut, lookup_join
+from tabreg.llm.common import cut, lookup_join, packed
+from tabreg.sources.scratch import drop, keep, scoped
 
-SWEEPS = 10
+#: Sweeps end when no margin is off its target by more than this share of it, or after so many.
+TOLERANCE = 1e-4
+MOST_SWEEPS = 500
 KEEP_SHARE = 0.5
 #: Target shares of a margin are its observed shares to this power, rescaled: 1 keeps them, 0 makes them equal.
 POWERS = {"source": 0.5, "lang": 0.7, "topic": 0.5}
@@ -49,24 +52,40 @@ def _shares(cells: DataFrame, dim: str, power: float, fixed: dict | None) -> Dat
     return margin.select(dim, (F.col("raw") / total).alias("share"))
 
 
-def raked_cells(cells: DataFrame, dims: list[str], powers: dict, fixed: dict, sweeps: int) -> DataFrame:
-    """dims, tokens, weight (raked share over observed share; null tokens and empty cells: 0)."""
+def raked_cells(cells: DataFrame, dims: list[str], powers: dict, fixed: dict, most_sweeps: int = MOST_SWEEPS) -> tuple[DataFrame, float]:
+    """(dims, tokens, weight (raked share over observed share; null tokens and empty cells: 0); the error left).
+
+    Sweeps go on until no margin was off by more than ``TOLERANCE`` of its
+    target. Targets that no weights can meet together (a source of one
+    language, say) never get there: if ten sweeps have not made the error a
+    tenth smaller, or after ``most_sweeps``, it ends with the error that is left.
+    """
     total = float(cells.agg(F.sum("tokens")).first()[0] or 1)
     targets = {}
     for d in dims:
         t = cut(_shares(cells, d, powers.get(d, 1.0), fixed.get(d)), "mix-target")
         targets[d] = (t, t.count())
     fitted = cut(cells.select(*dims, "tokens", (F.col("tokens") / F.lit(total)).alias("w")), "mix-cells")
-    for _ in range(sweeps):
+    errors = []
+    while len(errors) < most_sweeps:
+        swept = fitted.select(*dims, "tokens", "w", F.lit(0.0).alias("off"))
         for d in dims:
             target, n = targets[d]
-            margin = fitted.groupBy(d).agg(F.sum("w").alias("m"))
+            margin = swept.groupBy(d).agg(F.sum("w").alias("m"))
             factor = lookup_join(margin, target, [d], n).select(
-                d, F.when(F.col("m") > 0, F.col("share") / F.col("m")).otherwise(0.0).alias("factor"))
-            fitted = lookup_join(fitted, factor, [d], n).select(*dims, "tokens", (F.col("w") * F.col("factor")).alias("w"))
-        fitted = cut(fitted, "mix-cells")
+                d, F.when(F.col("m") > 0, F.col("share") / F.col("m")).otherwise(0.0).alias("factor"),
+                F.when((F.col("m") > 0) & (F.col("share") > 0), F.abs(F.col("m") / F.col("share") - 1)).otherwise(0.0).alias("error"))
+            swept = lookup_join(swept, factor, [d], n).select(*dims, "tokens", (F.col("w") * F.col("factor")).alias("w"),
+                                                             F.greatest("off", "error").alias("off"))
+        swept = cut(swept, "mix-cells")
+        drop(fitted)
+        fitted = swept
+        errors.append(fitted.agg(F.max("off")).first()[0] or 0.0)
+        if errors[-1] <= TOLERANCE or (len(errors) > 10 and errors[-1] > 0.9 * errors[-11]):
+            break
     seen = F.col("tokens") / F.lit(total)
-    return fitted.select(*dims, "tokens", F.when(F.col("tokens") > 0, F.col("w") / seen).otherwise(0.0).alias("weight"))
+    out = fitted.select(*dims, "tokens", F.when(F.col("tokens") > 0, F.col("w") / seen).otherwise(0.0).alias("weight"))
+    return out, errors[-1] if errors else 0.0
 
 
 def _scale(cells: DataFrame, budget: float) -> float:
@@ -84,10 +103,12 @@ def _scale(cells: DataFrame, budget: float) -> float:
         scale = new
 
 
+@scoped
 def mix(docs: DataFrame, dims: dict[str, Column], key: str = "doc_id", text: str = "text",
         powers: dict[str, float] | None = None, targets: dict[str, dict] | None = None,
-        keep_share: float = KEEP_SHARE, sweeps: int = SWEEPS, seed: str = "mix") -> DataFrame:
-    """All rows of ``docs`` with their columns and _mix_<dim>, _mix_tokens, _mix_weight, _mix_probability, _mix_sampled.
+        keep_share: float = KEEP_SHARE, most_sweeps: int = MOST_SWEEPS, seed: str = "mix") -> DataFrame:
+    """All rows of ``docs`` with their columns (none of theirs may begin with _mix_) and _mix_<dim>, _mix_tokens,
+    _mix_weight, _mix_probability, _mix_sampled, _mix_error.
 
     ``dims``: {margin: Column}. A margin's target is ``targets[margin]``
     ({value: share}; values not named get none) or its observed token shares to
@@ -96,29 +117,39 @@ def mix(docs: DataFrame, dims: dict[str, Column], key: str = "doc_id", text: str
     all tokens is expected. Rows with equal keys are sampled alike; nulls are
     a value of their own in a margin; a null key is hashed as the empty text.
     A row without tokens has the weight of its cell (0 if the whole cell has
-    none). An empty table gives no rows. Columns of other names stay as they are.
+    none). _mix_error is the largest share of its target by which a margin was
+    still off in the last sweep. An empty table gives no rows. Columns of other
+    names stay as they are.
     """
     names = [f"_mix_{d}" for d in dims]
     rows = docs.withColumns({**{f"_mix_{d}": c for d, c in dims.items()}, "_mix_tokens": token_count(F.col(text))})
     cells = cut(rows.groupBy(*names).agg(F.sum("_mix_tokens").alias("tokens")), "mix-counts")
     powers = {f"_mix_{d}": p for d, p in (POWERS if powers is None else powers).items()}
     fixed = {f"_mix_{d}": t for d, t in (targets or {}).items()}
-    weights = cut(raked_cells(cells, names, powers, fixed, sweeps), "mix-weights")
+    raked, error = raked_cells(cells, names, powers, fixed, most_sweeps)
+    weights = cut(raked, "mix-weights")
+    keep(weights)
     total = float(cells.agg(F.sum("tokens")).first()[0] or 0)
     scale = _scale(weights, keep_share * total)
     small = weights.select(*names, F.col("weight").alias("_mix_weight"),
                            F.least(F.lit(1.0), F.col("weight") * F.lit(scale)).alias("_mix_probability"))
     out = lookup_join(rows, small, names, weights.count())
     draw = hash_unit(key, salt=seed)
-    return out.withColumn("_mix_sampled", draw < F.col("_mix_probability"))
+    return out.withColumn("_mix_sampled", draw < F.col("_mix_probability")).withColumn("_mix_error", F.lit(error))
+
+
+def keep_sampled(docs: DataFrame) -> DataFrame:
+    """The sampled rows of documents, with their columns."""
+    rows = mix(packed(docs), document_dims("_doc.source", "_doc.lang", "_doc.text"), "_doc.doc_id", "_doc.text")
+    return rows.where("_mix_sampled").select("_doc.*")
 
 
 def document_dims(source: str = "source", lang: str = "lang", text: str = "text") -> dict[str, Column]:
     return {"source": F.col(source), "lang": F.col(lang), "topic": topic_of(F.col(text))}
 
 
-def oracle_sql(keep_share: float = KEEP_SHARE, sweeps: int = SWEEPS, steps: int = 12) -> str:
-    """DuckDB SQL for ``mix`` over documents with the default powers."""
+def oracle_sql(keep_share: float = KEEP_SHARE, sweeps: int = 40, steps: int = 12) -> str:
+    """DuckDB SQL for ``mix`` over documents with the default powers, for tables on which it ends within ``sweeps`` sweeps."""
     topic = """case when contains(low, 'license') or contains(low, 'copyright') then 'legal' when contains(low, '@') then 'contact'
  when contains(low, '|') then 'table' when length(low) < 400 then 'short' else 'prose' end"""
     ctes = [f"""base as (select doc_id, source, lang, {topic} as topic, len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+'))::bigint as tokens
@@ -129,14 +160,21 @@ def oracle_sql(keep_share: float = KEEP_SHARE, sweeps: int = SWEEPS, steps: int
     for d, p in POWERS.items():
         ctes.append(f"t_{d} as materialized (select {d}, raw / sum(raw) over () as share from "
                     f"(select {d}, case when sum(tokens) > 0 then pow(sum(tokens), {p}) else 0 end as raw from c0 group by {d}))")
-    n = 0
-    for _ in range(sweeps):
+    n, errors, ends = 0, [], []
+    for k in range(sweeps):
+        off = []
         for d in POWERS:
-            ctes.append(f"f{n + 1} as materialized (select f.source, f.lang, f.topic, f.tokens, f.w * case when m.m > 0 then t.share / m.m else 0 end as w "
-                        f"from f{n} f join (select {d}, sum(w) as m from f{n} group by {d}) m on f.{d} is not distinct from m.{d} "
-                        f"join t_{d} t on f.{d} is not distinct from t.{d})")
+            ctes.append(f"m{n} as materialized (select m.{d}, m.m, t.share from (select {d}, sum(w) as m from f{n} group by {d}) m "
+                        f"join t_{d} t on m.{d} is not distinct from t.{d})")
+            off.append(f"(select coalesce(max(abs(m / share - 1)), 0) from m{n} where m > 0 and share > 0)")
+            ctes.append(f"f{n + 1} as materialized (select f.source, f.lang, f.topic, f.tokens, f.w * case when m.m > 0 then m.share / m.m else 0 end as w "
+                        f"from f{n} f join m{n} m on f.{d} is not distinct from m.{d})")
             n += 1
-    ctes.append(f"wt as materialized (select source, lang, topic, tokens, case when tokens > 0 then w / (tokens / total) else 0 end as weight from f{n}, tot)")
+        errors.append(f"select {k} as k, greatest({', '.join(off)}) as off")
+        ends.append(f"select {k} as k, * from f{n}")
+    ctes.append(f"stop as materialized (select min(k) as k from ({' union all '.join(errors)}) where off <= {TOLERANCE})")
+    ctes.append(f"wt as materialized (select source, lang, topic, tokens, case when tokens > 0 then w / (tokens / total) else 0 end as weight "
+                f"from ({' union all '.join(ends)}) join stop using (k), tot)")
     ctes.append("s0 as materialized (select 0.0::double as scale)")
     for i in range(steps):
         ctes.append(f"s{i + 1} as materialized (select coalesce(greatest(any_value(scale), greatest(0, {keep_share} * any_value(total) - "

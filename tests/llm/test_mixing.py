@@ -17,7 +17,8 @@ def margins(rows, dim, weight):
 
 def test_margins_meet_their_targets(spark, sf_docs):
     targets = {"lang": {"en": 0.25, "de": 0.25, "fr": 0.25, "es": 0.25}, "source": {f"src{i}": 0.05 for i in range(20)}}
-    rows = mixing.mix(sf_docs, mixing.document_dims(), powers={"topic": 0.8}, targets=targets, sweeps=60).collect()
+    rows = mixing.mix(sf_docs, mixing.document_dims(), powers={"topic": 0.8}, targets=targets).collect()
+    assert rows[0]["_mix_error"] <= mixing.TOLERANCE
     lang = margins(rows, "_mix_lang", lambda r: r["_mix_weight"])
     source = margins(rows, "_mix_source", lambda r: r["_mix_weight"])
     topic, plain = margins(rows, "_mix_topic", lambda r: r["_mix_weight"]), margins(rows, "_mix_topic", lambda r: 1.0)
@@ -63,3 +64,14 @@ def test_odd_rows(spark, odd_docs):
 def test_plan_is_native(spark, sf_docs):
     plan = mixing.mix(sf_docs, mixing.document_dims())._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_targets_that_cannot_meet_end_with_their_error(spark):
+    """Sources of one language each, with targets that no weights reach: the error is told."""
+    rows = [(i, "w " * (1 + i % 7), ["en", "de"][i % 2], f"s{i % 40}", 1) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    dims = {"source": F.col("source"), "lang": F.col("lang")}
+    got = mixing.mix(docs, dims, targets={"source": {f"s{i}": 1 / 40 for i in range(40)}, "lang": {"en": 0.9, "de": 0.1}}).collect()
+    assert len(got) == 400 and got[0]["_mix_error"] > 0.1
+    fits = mixing.mix(docs, dims, targets={"source": {f"s{i}": 1 / 40 for i in range(40)}, "lang": {"en": 0.5, "de": 0.5}}).collect()
+    assert fits[0]["_mix_error"] <= mixing.TOLERANCE
