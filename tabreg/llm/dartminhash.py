@@ -28,7 +28,7 @@ SIMILARITY = (4, 5)  # 0.8 as a fraction, so that the comparison is exact
 BANDS, ROWS = 26, 5
 MOST_ROUNDS = 8
 #: A bucket with so many pairs for each row, or fewer, is paired; others take leaders.
-PAIRS_PER_ROW = 2
+PAIRS_PER_ROW = 8
 SLICE_CHARS = 1_000_000
 #: Rank strips: [0, 2^-5), [2^-5, 2^-4) ... [1/2, 1), then of width 1.
 _LOW_STRIPS = 6
