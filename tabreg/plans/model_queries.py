@@ -15,7 +15,7 @@ from pyspark.ml import Pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import clean, estimators, features, metrics, sampling, selection
+from ..operators import clean, estimators, features, indexing, metrics, sampling, selection
 from ..session import shared_dir
 from ..sources import model_store
 from ..spec import FeatureSpec
@@ -108,6 +108,28 @@ def q_encoder_reuse(spark, sf_dir):
     return _index_output(model_store.load_pipeline(path), li)
 
 
+_KEY_INDEX_SQL = (
+    f"with k as (select {_K}, case when l_partkey % 11 = 0 then null else 'P' || cast(l_partkey as varchar) end as part, "
+    f"{hash32_sql(KEYS)} % 100 < 80 as is_train from lineitem), "
+    "lab as (select part, cast(row_number() over (order by count(*) desc, part) - 1 as double) as idx "
+    "from k where is_train and part is not null group by part) "
+    f"select {', '.join('k.' + k for k in KEYS)}, coalesce(lab.idx, (select cast(count(*) as double) from lab)) as partIndex "
+    "from k left join lab on k.part = lab.part")
+
+
+def _keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = F.when(F.col("l_partkey") % 11 != 0, F.concat(F.lit("P"), F.col("l_partkey").cast("string")))
+    return table(spark, sf_dir, "lineitem").select(*KEYS, part.alias("part"),
+                                                   (sampling.split_column(KEYS, 80) == F.lit("train")).alias("is_train"))
+
+
+@register("string_index_keys", _KEY_INDEX_SQL)
+def q_string_index_keys(spark, sf_dir):
+    """Frequency-rank index of a column whose categories grow with the table, as a table and a join."""
+    rows = _keyed(spark, sf_dir)
+    return indexing.fit_string_index(rows.where("is_train"), "part").transform(rows).select(*KEYS, "partIndex")
+
+
 # ------------------------------------------------------------ E2, E3, E4
 _VEC = list(_DOUBLES)  # DepDelay, Distance, TaxiOut, ArrDelay as cast doubles
 
