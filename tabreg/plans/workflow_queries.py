@@ -5,15 +5,19 @@ not normalised: a tree of depth 6 or a forest without bootstrap predicts the
 training mean of each value, a tree of depth 0 the overall one, and a linear
 model the ridge line. So SQL gives each fold's rmse, the chosen depth and the
 held-out metrics. The path is the library's own; ``entry()`` runs it with the
-original's 16 features and grid.
+original's 16 features and grid. The comparison uses one clock feature instead:
+its minutes and its day parts group the rows differently, so the modes differ.
 """
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from ..operators.estimators import FOLDS
 from ..spec import FeatureSpec
 from .catalog import hash32_sql, register, round_doubles
 from .fixtures import FLIGHTS_SQL, KEYS, flights
+from .prep_queries import _day_part_sql, _hhmm_sql
 from .workflow import compare_models, train_evaluate
 
 SPEC = FeatureSpec(categorical=(), continuous=("TaxiOut",), clock=())
@@ -23,12 +27,17 @@ PARAMS = {"lr": {}, "dt": {"maxBins": 64},
           "rf": {"maxBins": 64, "maxDepth": 6, "numTrees": 3, "bootstrap": False, "featureSubsetStrategy": "all"}}
 
 
-def _run_ctes(tag: str, model: str, label: str) -> tuple[str, str]:
+#: The comparison's clock column by line number: few times, day parts of different sizes; every second of the last line's is missing.
+CLOCK_SPEC = FeatureSpec(categorical=(), continuous=(), clock=("DepTime",))
+CLOCK_TIMES = {1: "630", 2: "1015", 3: "1100", 4: "1300", 5: "1640", 6: "2115", 7: "2330"}
+
+
+def _run_ctes(tag: str, model: str, label: str, x: str = "x") -> tuple[str, str]:
     """CTEs of one run and the SELECT of its row; y is the label, x the feature or null."""
     y = "orig" if label == "ArrDelay" else "cbrt"
     k = FOLDS[model]
     t = f"r_{tag}"
-    ctes = [f"{t} as materialized (select x, orig, {y} as y, is_train, cast({hash32_sql(KEYS, 'fold')} % {k} as integer) as fold from fx2)",
+    ctes = [f"{t} as materialized (select {x} as x, orig, {y} as y, is_train, cast({hash32_sql(KEYS, 'fold')} % {k} as integer) as fold from fx2)",
             f"{t}_f as (select unnest(range({k})) as f)"]
 
     def fitted(name: str, where: str, f: str, join: str) -> None:
@@ -70,24 +79,37 @@ def _run_ctes(tag: str, model: str, label: str) -> tuple[str, str]:
                              f"round((select cv from {t}_b), 6) as cv_rmse, count(*) as n_test, {four('', 'y', 'p')}, {orig} from {t}_p")
 
 
-def _sql(runs: list[tuple[str, str, str]]) -> str:
-    """One row for each (time mode, label, model)."""
-    base = (f"fx as ({FLIGHTS_SQL}), fx1 as (select {', '.join(KEYS)}, try_cast(ArrDelay as double) as orig, try_cast(TaxiOut as double) as x from fx), "
-            f"fx2 as materialized (select {', '.join(KEYS)}, x, orig, sign(orig) * pow(abs(orig), 1.0 / 3) as cbrt, "
+def _base(features: str, clock: str = "DepTime") -> str:
+    return (f"fx as ({FLIGHTS_SQL}), fx0 as (select * replace ({clock} as DepTime) from fx), "
+            f"fx1 as (select {', '.join(KEYS)}, try_cast(ArrDelay as double) as orig, {features} from fx0), "
+            f"fx2 as materialized (select *, sign(orig) * pow(abs(orig), 1.0 / 3) as cbrt, "
             f"{hash32_sql(KEYS)} % 100 < 80 as is_train from fx1 where orig is not null)")
-    done, selects = {}, []
-    for mode, label, model in runs:
-        if (label, model) not in done:
-            done[label, model] = _run_ctes(f"{model}_{len(done)}", model, label)
-        selects.append(f"select '{mode}' as time_mode, * from ({done[label, model][1]})")
-    return f"with {base}, {', '.join(c for c, _ in done.values())} " + " union all ".join(selects)
 
 
-_ONE = [("numeric", "ArrDelay", "dt")]
+def _one_sql() -> str:
+    ctes, select = _run_ctes("one", "dt", "ArrDelay")
+    return f"with {_base('try_cast(TaxiOut as double) as x')}, {ctes} select 'numeric' as time_mode, * from ({select})"
+
+
+def _comparison_sql() -> str:
+    """One row for each (time mode, label, model); a line takes the day part's rank among the training rows."""
+    times = ("case when l_linenumber = 7 and l_partkey % 2 = 0 then 'NA' "
+             + " ".join(f"when l_linenumber = {k} then '{v}'" for k, v in CLOCK_TIMES.items()) + " end")
+    base = _base(f"{_hhmm_sql('DepTime')} as minutes, coalesce({_day_part_sql('DepTime')}, 'No_DepTimeDisc') as part", times)
+    ranks = "ranks as (select part as v, row_number() over (order by count(*) desc, part) - 1 as r from fx2 where is_train group by part)"
+    ctes, selects = [base, ranks], []
+    for mode, label, model in _ALL:
+        x = "minutes" if mode == "numeric" else "part" if model != "lr" else "cast((select r from ranks where v = part) as double)"
+        run, select = _run_ctes(f"{mode}_{model}_{len(selects)}", model, label, x)
+        ctes.append(run)
+        selects.append(f"select '{mode}' as time_mode, * from ({select})")
+    return f"with {', '.join(ctes)} " + " union all ".join(selects)
+
+
 _ALL = [(mode, label, model) for mode in ("numeric", "categorical") for label in ("ArrDelay", "ArrDelayCubeRoot") for model in ("lr", "dt", "rf")]
 
 
-@register("train_evaluate", _sql(_ONE))
+@register("train_evaluate", _one_sql())
 def q_train_evaluate(spark, sf_dir):
     """Split, clean, 5-fold search of a tree's depth, refit, score all held-out rows."""
     ev = train_evaluate(flights(spark, sf_dir), SPEC, model="dt", keys=KEYS, max_rows=None, normalize=False,
@@ -98,8 +120,12 @@ def q_train_evaluate(spark, sf_dir):
     return round_doubles(spark.createDataFrame([row], schema).drop("model_params", "loaded"))
 
 
-@register("model_comparison", _sql(_ALL))
+@register("model_comparison", _comparison_sql())
 def q_model_comparison(spark, sf_dir):
     """lr / dt / rf x numeric / categorical time x ArrDelay / cube root, each with its folds."""
-    out = compare_models(flights(spark, sf_dir), keys=KEYS, base=SPEC, max_rows=None, normalize=False, grid=GRIDS, estimator_params=PARAMS)
+    time = F.lit("NA")
+    for line, text in CLOCK_TIMES.items():
+        time = F.when((F.col("l_linenumber") == line) & ((F.col("l_partkey") % 2 != 0) | (line < 7)), text).otherwise(time)
+    raw = flights(spark, sf_dir).withColumn("DepTime", time)
+    out = compare_models(raw, keys=KEYS, base=CLOCK_SPEC, max_rows=None, normalize=False, grid=GRIDS, estimator_params=PARAMS)
     return round_doubles(out.drop("model_params", "loaded"))
