@@ -93,6 +93,22 @@ def q_read_or_build(spark, sf_dir):
     return io.read_or_build(spark, path, _must_not_rebuild)
 
 
+@register("input_manifest", f"with {_FX} select * from fx")
+def q_input_manifest(spark, sf_dir):
+    """A table built from a folder, read again while the folder stays, built anew when it gets another file."""
+    source, path = shared_dir(spark, "manifest-input"), shared_dir(spark, "manifest-table")
+    rows = fx(spark, sf_dir)
+    io.write_table(rows.where("l_linenumber <= 3"), source)
+
+    def build():
+        return io.read_table(spark, source)
+    io.read_or_build(spark, path, build, [source])
+    io.read_or_build(spark, path, _must_not_rebuild, [source])
+    io.write_table(rows.where("l_linenumber > 3"), source, mode="append")
+    io.read_or_build(spark, path, build, [source])
+    return io.read_or_build(spark, path, _must_not_rebuild, [source])
+
+
 def _must_not_rebuild():
     raise AssertionError("read_or_build rebuilt a table that was already written")
 

@@ -151,7 +151,8 @@ def materialized_inputs(spark, csv_path: str, root: str, spec: FeatureSpec = Fea
     ``<root>/merged_dataset-...`` (cleaning chain, means over all rows); else
     build that from the raw CSV (bounded Bernoulli sample, seed 1234). The
     names hold the source, cap and seed, and the cleaned table's also the
-    spec, so another choice never finds this one's table. Each level is
+    spec, so another choice never finds this one's table; a stamp of the CSV
+    files makes new or changed files rebuild both. Each level is
     written once and read back. Unlike the original, the cleaned table is
     written too, so a rerun skips cleaning.
     """
@@ -160,6 +161,8 @@ def materialized_inputs(spark, csv_path: str, root: str, spec: FeatureSpec = Fea
 
     sample = f"{short(csv_path)}-{'all' if max_rows is None else max_rows}-{seed}"
 
+    inputs = [csv_path]
+
     def merged():
         raw = io.read_raw(spark, csv_path)
         if max_rows is None:
@@ -167,9 +170,9 @@ def materialized_inputs(spark, csv_path: str, root: str, spec: FeatureSpec = Fea
         return sampling.bounded_sample(raw, max_rows=max_rows, seed=seed)
 
     def processed():
-        return clean.preprocess(io.read_or_build(spark, f"{root}/merged_dataset-{sample}", merged), spec)
+        return clean.preprocess(io.read_or_build(spark, f"{root}/merged_dataset-{sample}", merged, inputs), spec)
 
-    return io.read_or_build(spark, f"{root}/merged_processed_dataset-{sample}-{spec.tag}-{short(spec)}", processed)
+    return io.read_or_build(spark, f"{root}/merged_processed_dataset-{sample}-{spec.tag}-{short(spec)}", processed, inputs)
 
 
 def _for_model(choice, model: str):

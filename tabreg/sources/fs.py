@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Sequence
+
 from pyspark.sql import SparkSession
 
 
@@ -34,3 +37,30 @@ def publish(spark: SparkSession, built: str, path: str) -> bool:
 def remove(spark: SparkSession, path: str) -> None:
     fs, p, _ = _store(spark, path)
     fs.delete(p, True)
+
+
+def stamp(spark: SparkSession, paths: Sequence[str]) -> str:
+    """A digest of the input's files: their paths, lengths and times of change.
+
+    Lists folders, reads no file. Hidden files (``_`` or ``.`` first) are not
+    input; a path that is missing raises.
+    """
+    lines = []
+    for path in paths:
+        fs, p, _ = _store(spark, path)
+        if fs.getFileStatus(p).isFile():
+            status = fs.getFileStatus(p)
+            lines.append(f"{status.getPath()} {status.getLen()} {status.getModificationTime()}")
+            continue
+        files = fs.listFiles(p, True)
+        while files.hasNext():
+            status = files.next()
+            if not status.getPath().getName().startswith(("_", ".")):
+                lines.append(f"{status.getPath()} {status.getLen()} {status.getModificationTime()}")
+    return hashlib.md5("\n".join(sorted(lines)).encode()).hexdigest()
+
+
+def children(spark: SparkSession, path: str) -> list[str]:
+    """Names inside a folder; none if it is missing."""
+    fs, p, _ = _store(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(p)] if fs.exists(p) else []

@@ -56,9 +56,16 @@ def read_table(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_or_build(spark: SparkSession, path: str,
-                  builder: Callable[[], DataFrame]) -> DataFrame:
+                  builder: Callable[[], DataFrame], inputs: Sequence[str] | None = None) -> DataFrame:
     """Read the Parquet table at ``path``; if it is missing, build, write, read.
 
+    With ``inputs`` (files or folders the builder reads) the table belongs to
+    their present content: it lies under ``path`` in a folder named by a stamp
+    of their files (names, lengths, times of change). New, changed or removed
+    files give another stamp, so the table is built anew, and tables of earlier
+    stamps are removed once the new one is complete. Files that change while
+    the builder runs leave no table under either stamp: that raises.
+
     The result is always the table read back from storage, so later stages
     start from Parquet (typed, prunable, pushdown-able) instead of
     re-running the builder's lineage, and a lost executor recomputes from
@@ -67,10 +74,20 @@ def read_or_build(spark: SparkSession, path: str,
     builders the first to finish wins. A folder without Spark's success marker
     is not a table of this function and raises.
     """
-    path = path.rstrip("/")
+    root = path = path.rstrip("/")
+    if inputs is not None:
+        stamp = fs.stamp(spark, inputs)
+        path = f"{root}/inputs-{stamp}"
     if not fs.exists(spark, path):
         built = write_table(builder(), f"{path}.building-{uuid.uuid4().hex[:12]}")
+        if inputs is not None and fs.stamp(spark, inputs) != stamp:
+            fs.remove(spark, built)
+            raise ValueError(f"the input of {root} changed while it was read")
         fs.publish(spark, built, path)
+        if inputs is not None:
+            for name in fs.children(spark, root):
+                if name.startswith("inputs-") and ".building-" not in name and name != f"inputs-{stamp}":
+                    fs.remove(spark, f"{root}/{name}")
     if not fs.is_complete(spark, path):
         raise ValueError(f"{path} has no _SUCCESS marker: an unfinished or foreign folder; remove it to build the table")
     return read_table(spark, path)

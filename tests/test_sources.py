@@ -1,5 +1,7 @@
 """Sources and sinks: CSV folder union, Parquet sink refusal, read-through."""
 
+import os
+
 import pytest
 from pyspark.errors import AnalysisException
 
@@ -94,3 +96,37 @@ def test_preview(spark):
     assert [r.id for r in keyed.collect()] == [r.id for r in again.collect()]
     from test_plans import plan
     assert "TakeOrderedAndProject" in plan(keyed)  # per-partition top-n, no full sort
+
+
+def test_read_or_build_notices_its_input(spark, tmp_path):
+    source, path = str(tmp_path / "in"), str(tmp_path / "out")
+    spark.range(5).write.parquet(source)
+    calls = []
+
+    def build():
+        calls.append(1)
+        return spark.read.parquet(source)
+
+    def read():
+        return io.read_or_build(spark, path, build, [source]).count()
+    assert (read(), read(), len(calls)) == (5, 5, 1)
+    spark.range(3).write.mode("append").parquet(source)
+    assert (read(), read(), len(calls)) == (8, 8, 2)
+    assert len([n for n in os.listdir(path) if n.startswith("inputs-")]) == 1  # the older table is gone
+    os.remove(next(os.path.join(source, n) for n in sorted(os.listdir(source)) if n.endswith(".parquet")))
+    read()
+    assert len(calls) == 3
+    with pytest.raises(Exception):
+        io.read_or_build(spark, path, build, [str(tmp_path / "none")])
+
+
+def test_read_or_build_refuses_input_that_changes_meanwhile(spark, tmp_path):
+    source, path = str(tmp_path / "in"), str(tmp_path / "out")
+    spark.range(5).write.parquet(source)
+
+    def build():
+        spark.range(2).write.mode("append").parquet(source)
+        return spark.range(1)
+    with pytest.raises(ValueError, match="changed while"):
+        io.read_or_build(spark, path, build, [source])
+    assert not os.path.exists(path) or not os.listdir(path)
