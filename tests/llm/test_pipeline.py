@@ -82,6 +82,6 @@ def test_entry_without_these_modules():
     """The other queries stay when this subpackage and the pipeline are gone."""
     code = ("import sys, importlib.util as u; find = u.find_spec; "
             "u.find_spec = lambda n, *a: None if n.startswith(('tabreg.llm', 'corpus_pipeline')) else find(n, *a); "
-            f"sys.path.insert(0, {ROOT!r}); import __spark_entry__ as e; assert len(e.queries()) == 38, len(e.queries()); "
+            f"sys.path.insert(0, {ROOT!r}); import __spark_entry__ as e; assert len(e.queries()) == len(e.oracle_sql()) >= 40, len(e.queries()); "
             "assert not any(m.startswith('tabreg.llm') for m in sys.modules)")
     subprocess.run([sys.executable, "-c", code], check=True, timeout=120)
