@@ -226,8 +226,9 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
     share no unit outside the leader share at most what each has in common
     with it, which rules out nearly all of them by three numbers; members that
     do share one meet in a bucket of that leader and unit in the next round.
-    After ``most_rounds`` rounds, which takes leaders within leaders, what is
-    left is compared pair by pair in any case. So no candidate is given up.
+    As soon as all pairs left are at most ``pairs_per_row`` for each row of the
+    first buckets, or after ``most_rounds`` rounds, which takes leaders within
+    leaders, they are compared as they are. So no candidate is given up.
     New links join the classes they connect, so a step's links are pairs of
     classes, not of texts.
 
@@ -242,7 +243,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
     buckets = copies.where("weight > 0").select("node", "weight", F.explode("buckets").alias("bucket"))
     shared = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     met = cut(buckets.join(shared, "bucket"), "dart-shared")
-    n_rows = met.count()
+    n_first = n_rows = met.count()
     mates = met.groupBy("node").agg(F.sum("n").alias("mates"))
     buckets = cut(met.drop("n").join(mates, "node"), "dart-buckets", n_rows)
     drop(met)
@@ -310,12 +311,17 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
             drop(rest, per)
             rest, per = still_open(buckets)
         drop(buckets)
-        few = F.col("pairs") <= pairs_per_row * F.col("n") if n < most_rounds else F.lit(True)
+        left = per.agg(F.sum("pairs")).first()[0]
+        if not left:
+            drop(rest, per)
+            break
+        last = n == most_rounds or left <= pairs_per_row * n_first
+        few = F.lit(True) if last else F.col("pairs") <= pairs_per_row * F.col("n")
         small = rest.join(per.where(few).select("bucket"), "bucket", "left_semi")
         other = small.select(F.col("bucket").alias("l_bucket"), *[F.col(c).alias(f"l_{c}") for c in ("node", "label", "weight")])
         pairs = (small.join(other, (F.col("bucket") == F.col("l_bucket")) & (F.col("node") < F.col("l_node")) & (F.col("label") != F.col("l_label"))
                             & may_match("weight", "l_weight")).select(F.col("node").alias("x"), F.col("l_node").alias("y")))
-        if n == most_rounds:
+        if last:
             compare(pairs)
             drop(rest, per)
             break
