@@ -6,9 +6,9 @@ only ever transformed, never fitted on.
 
 Scale notes: one multi-column ``StringIndexer`` counts all categorical
 columns in a single pass (partial counts per partition, merged once) instead
-of one job per column. The label lists it keeps are bounded by the number
-of distinct categories, not by rows; at 10^4-10^5 categories per column this
-is small, and nothing grows with the table.
+of one job per column. The label lists it keeps on the driver grow with the number
+of distinct categories: fine at 10^4-10^5 of them. For key-like columns use
+``indexing.fit_string_index``, which keeps the index as a table.
 """
 
 from __future__ import annotations
