@@ -1,7 +1,10 @@
 """Registered queries for encoding, models, metrics and model selection.
 
 Model oracles use shapes with a closed form (see the survey's recipes):
-  * linear model with one feature: ridge slope regr_slope / (1 + lambda / sd_pop(y))
+  * linear model with two features: the normal equations of the standardised
+    columns, (R + lambda / sd_pop(y) I) b = r, solved for a 2 x 2 matrix
+  * tree of few levels on features of many values: the best split of each
+    node by running sums over the sorted values
   * tree deep enough to isolate every value of a low-cardinality feature,
     with enough bins: the group mean of the label
   * forest of such trees without bootstrap and with every feature: the same
@@ -15,7 +18,7 @@ from pyspark.ml import Pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import clean, estimators, features, indexing, metrics, sampling, selection
+from ..operators import clean, estimators, features, indexing, metrics, sampling, selection, trees
 from ..session import shared_dir
 from ..sources import model_store
 from ..spec import FeatureSpec
@@ -23,6 +26,7 @@ from .catalog import hash32_sql, register, round_doubles
 from .fixtures import FLIGHTS_SQL, KEYS, flights, table
 from . import workflow
 from .prep_queries import _CAST, _DOUBLES, _hhmm_sql
+from .tail_sql import t_tail_cte
 
 _FX = f"fx as ({FLIGHTS_SQL})"
 _K = ", ".join(KEYS)
@@ -32,7 +36,7 @@ _KQ = ", ".join(f"li.{k}" for k in KEYS)
 # label / feature of the model oracles
 Y = "y"
 _LI_SQL = (f"li as (select {_K}, cast(l_quantity as double) as qx, cast(l_linenumber as double) as lx, "
-           f"l_extendedprice / 1000.0 as {Y}, l_returnflag, l_linestatus, "
+           f"cast(dayofyear(l_shipdate) as double) as dx, l_extendedprice / 1000.0 as {Y}, l_returnflag, l_linestatus, "
            f"cast(year(l_shipdate) as varchar) as ship_year, cast(l_linenumber as varchar) as line_text, "
            f"case when l_suppkey % 10 = 0 then null when l_suppkey % 7 = 0 and {hash32_sql(KEYS)} % 100 >= 80 then 'held out only' "
            f"else 'S' || cast(l_suppkey % 40 as varchar) end as supp_group, "
@@ -198,38 +202,45 @@ def q_feature_encoding(spark, sf_dir):
 LR_LAMBDA = 0.1
 
 
+LR_FEATURES = ["qx", "lx"]
+
+
 def _lr_fit(spark, sf_dir, reg_param: float, solver: str = "auto"):
     li = _lineitem(spark, sf_dir)
-    data = features.vector_assembler(["qx"]).transform(li)
+    data = features.vector_assembler(LR_FEATURES).transform(li)
     lr = estimators.linear_regression(Y, features.FEATURES, regParam=reg_param, solver=solver)
     model = lr.fit(data.where("is_train"))
     return model, data
 
 
 def _lr_sql(lam: float, body: str) -> str:
-    return (f"with {_LI_SQL}, fit as (select regr_slope({Y}, qx) / (1 + {lam} / stddev_pop({Y})) as slope, "
-            f"avg({Y}) as my, avg(qx) as mx from li where is_train), "
-            f"coef as (select slope, my - slope * mx as intercept from fit), "
-            f"scored as (select li.*, coef.intercept + coef.slope * qx as prediction from li, coef) {body}")
+    return (f"with recursive {_LI_SQL}, fit as (select count(*) as n, avg({Y}) as my, stddev_pop({Y}) as sy, "
+            f"avg(qx) as m1, stddev_pop(qx) as s1, avg(lx) as m2, stddev_pop(lx) as s2, corr({Y}, qx) as r1, "
+            f"corr({Y}, lx) as r2, corr(qx, lx) as r12, 1 + {lam} / stddev_pop({Y}) as k from li where is_train), "
+            f"slopes as (select (k * r1 - r12 * r2) / (k * k - r12 * r12) * sy / s1 as b1, "
+            f"(k * r2 - r12 * r1) / (k * k - r12 * r12) * sy / s2 as b2, my, m1, m2 from fit), "
+            f"coef as (select b1, b2, my - b1 * m1 - b2 * m2 as intercept from slopes), "
+            f"scored as (select li.*, coef.intercept + b1 * qx + b2 * lx as prediction from li, coef) {body}")
 
 
 @register("linear_regression",
-          _lr_sql(LR_LAMBDA, f"select {_r('intercept')} as intercept, {_r('slope')} as coef_qx from coef"))
+          _lr_sql(LR_LAMBDA, f"select {_r('intercept')} as intercept, {_r('b1')} as coef_qx, {_r('b2')} as coef_lx from coef"))
 def q_linear_regression(spark, sf_dir):
-    """Ridge (regParam 0.1, standardised) of price/1000 on quantity; fitted equation."""
+    """Ridge (regParam 0.1, standardised) of price/1000 on quantity and line number; fitted equation."""
     model, _ = _lr_fit(spark, sf_dir, LR_LAMBDA)
-    coefs = estimators.coefficients(model, ["qx"])
+    coefs = estimators.coefficients(model, LR_FEATURES)
     return round_doubles(coefs.groupBy().agg(
         F.max(F.when(F.col("term") == "(intercept)", F.col("coefficient"))).alias("intercept"),
-        F.max(F.when(F.col("term") == "qx", F.col("coefficient"))).alias("coef_qx")))
+        *[F.max(F.when(F.col("term") == c, F.col("coefficient"))).alias(f"coef_{c}") for c in LR_FEATURES]))
 
 
 @register("coefficients",
-          _lr_sql(LR_LAMBDA, f"select 'qx' as term, {_r('slope')} as coefficient from coef "
+          _lr_sql(LR_LAMBDA, f"select 'qx' as term, {_r('b1')} as coefficient from coef "
+                             f"union all select 'lx', {_r('b2')} from coef "
                              f"union all select '(intercept)', {_r('intercept')} from coef"))
 def q_coefficients(spark, sf_dir):
     model, _ = _lr_fit(spark, sf_dir, LR_LAMBDA)
-    return round_doubles(estimators.coefficients(model, ["qx"]))
+    return round_doubles(estimators.coefficients(model, LR_FEATURES))
 
 
 @register("batch_score", _lr_sql(LR_LAMBDA, f"select {_K}, {_r('prediction', 4)} as prediction from scored"))
@@ -267,47 +278,49 @@ def _summary_sql() -> str:
     inner = (f"select count(*) as n, avg({e} * {e}) as mse, avg(abs({e})) as mae, "
              f"1 - avg({e} * {e}) / var_pop({Y}) as r2, avg((prediction - my) * (prediction - my)) as ev, "
              f"min({e}) as mn, max({e}) as mx from scored, fit where is_train")
-    outer = (f"select n as num_instances, {_r('r2')} as r2, {_r('1 - (1 - r2) * (n - 1) / (n - 2)')} as r2adj, "
+    outer = (f"select n as num_instances, {_r('r2')} as r2, {_r('1 - (1 - r2) * (n - 1) / (n - 3)')} as r2adj, "
              f"{_r('sqrt(mse)')} as rmse, {_r('mse')} as mse, {_r('mae')} as mae, "
-             f"{_r('ev')} as explained_variance, n - 2 as degrees_of_freedom, "
-             f"{_r('mn')} as min_residual, {_r('mx')} as max_residual from ({inner})")
+             f"{_r('ev')} as explained_variance, n - 3 as degrees_of_freedom, "
+             f"{_r('mn')} as min_residual, {_r('mx')} as max_residual, cast(0.0 as double) as reg_param, "
+             f"cast(0.0 as double) as elastic_net_param, 100 as max_iter, '{Y}' as label_col, "
+             f"0 as total_iterations, '0.0' as objective_history from ({inner})")
     return _lr_sql(0.0, outer)
 
 
-_SUMMARY_COLS = ["num_instances", "r2", "r2adj", "rmse", "mse", "mae", "explained_variance",
-                 "degrees_of_freedom", "min_residual", "max_residual"]
-
-
 @register("fit_summary", _summary_sql())
 def q_fit_summary(spark, sf_dir):
-    """Training summary of an unregularised fit (one aggregate over training rows)."""
+    """Training summary of an unregularised fit (one aggregate over training rows) and its parameters.
+
+    The normal-equation solver doesn't iterate: no iterations, one objective of 0.
+    """
     model, data = _lr_fit(spark, sf_dir, 0.0, solver="normal")
     train = estimators.score(model, data.where("is_train"))
-    return round_doubles(metrics.fit_summary(model, train, Y).select(*_SUMMARY_COLS))
+    out = round_doubles(metrics.fit_summary(model, train, Y))
+    return out.withColumn("objective_history", F.concat_ws(",", F.col("objective_history").cast("array<string>")))
 
 
 def _coef_stats_sql() -> str:
     e = f"({Y} - prediction)"
-    inner = (f"select count(*) as n, sum({e} * {e}) as sse, avg(qx) as mqx, var_pop(qx) as vx "
-             f"from scored where is_train")
-    s2 = "(s.sse / (s.n - 2))"
-    se_slope = f"sqrt({s2} / (s.n * s.vx))"
-    se_icpt = f"sqrt({s2} * (1.0 / s.n + s.mqx * s.mqx / (s.n * s.vx)))"
-    body = (f", s as ({inner}) "
-            f"select 'qx' as term, {_r('coef.slope')} as coefficient, {_r(se_slope)} as std_error, "
-            f"{_r(f'coef.slope / {se_slope}', 4)} as t_value from coef, s "
-            f"union all select '(intercept)', {_r('coef.intercept')}, {_r(se_icpt)}, "
-            f"{_r(f'coef.intercept / {se_icpt}', 4)} from coef, s")
+    det = "(1 - fit.r12 * fit.r12)"
+    z1, z2 = "(fit.m1 / fit.s1)", "(fit.m2 / fit.s2)"
+    body = (f", s as (select sum({e} * {e}) / (count(*) - 3) as v from scored where is_train), "
+            f"terms as (select 'qx' as term, coef.b1 as c, sqrt(s.v / (fit.n * {det})) / fit.s1 as se from coef, s, fit "
+            f"union all select 'lx', coef.b2, sqrt(s.v / (fit.n * {det})) / fit.s2 from coef, s, fit "
+            f"union all select '(intercept)', coef.intercept, sqrt(s.v / fit.n * (1 + "
+            f"({z1} * {z1} + {z2} * {z2} - 2 * fit.r12 * {z1} * {z2}) / {det})) from coef, s, fit), "
+            f"tv as (select term as k, c / se as t, cast(fit.n - 3 as double) as dof from terms, fit), {t_tail_cte('tv')} "
+            f"select term, {_r('c')} as coefficient, {_r('se')} as std_error, {_r('c / se', 4)} as t_value, "
+            f"{_r('p')} as p_value from terms join t_tail on terms.term = t_tail.k")
     return _lr_sql(0.0, body)
 
 
 @register("coefficient_stats", _coef_stats_sql())
 def q_coefficient_stats(spark, sf_dir):
-    """Standard error and t value per term, intercept last (p value: see tests)."""
+    """Standard error, t value and two-sided p value per term, intercept last."""
     model, _ = _lr_fit(spark, sf_dir, 0.0, solver="normal")
-    stats = metrics.coefficient_stats(model, ["qx"]).drop("p_value")
+    stats = metrics.coefficient_stats(model, LR_FEATURES)
     return round_doubles(round_doubles(stats, 4, only=["t_value"]), 6,
-                         only=["coefficient", "std_error"])
+                         only=["coefficient", "std_error", "p_value"])
 
 
 # ----------------------------------------------------------- M2, M3, S6, S7
@@ -346,6 +359,73 @@ def q_random_forest(spark, sf_dir):
     return round_doubles(estimators.score(model, data).select(*KEYS, "prediction"))
 
 
+SPLIT_FEATURES = ["qx", "lx", "dx"]
+SPLIT_DEPTH = 2
+
+
+def _split_level(level: int) -> str:
+    """CTEs of one level: every node's best split by running sums over the sorted values of each feature."""
+    long = " union all ".join(f"select path, '{f}' as f, {f} as v, {Y} from at{level}" for f in SPLIT_FEATURES)
+    whole = "rows between unbounded preceding and unbounded following"
+    return (
+        f"val{level} as (select path, f, v, count(*) as n, sum({Y}) as s, sum({Y} * {Y}) as q from ({long}) group by 1, 2, 3), "
+        f"run{level} as (select path, f, v, lead(v) over o as next, sum(n) over o as ln, sum(s) over o as ls, sum(q) over o as lq, "
+        f"sum(n) over w as n, sum(s) over w as s, sum(q) over w as q from val{level} "
+        f"window o as (partition by path, f order by v), w as (partition by path, f order by v {whole})), "
+        f"cand{level} as (select *, q / n - (s / n) * (s / n) - (lq - ls * ls / ln) / n "
+        f"- ((q - lq) - (s - ls) * (s - ls) / (n - ln)) / n as gain from run{level} where next is not null), "
+        f"best{level} as (select path, f, (v + next) / 2 as threshold, gain from cand{level} where gain > 0 "
+        f"qualify row_number() over (partition by path order by gain desc, f, v) = 1), "
+        f"at{level + 1} as (select a.* exclude (path), a.path || case when "
+        f"case b.f {' '.join(f'when {chr(39)}{f}{chr(39)} then {f}' for f in SPLIT_FEATURES)} end <= b.threshold "
+        f"then 'L' else 'R' end as path from at{level} a join best{level} b on a.path = b.path)")
+
+
+def _splits_sql() -> str:
+    levels = ", ".join(_split_level(i) for i in range(SPLIT_DEPTH))
+    nodes = " union all ".join(f"select path, count(*) as n, avg({Y}) as p from at{i} group by path" for i in range(SPLIT_DEPTH + 1))
+    best = " union all ".join(f"select * from best{i}" for i in range(SPLIT_DEPTH))
+    dflt = estimators.DT_DEFAULTS["maxBins"]
+    return (f"with {_LI_SQL}, at0 as (select '' as path, qx, lx, dx, {Y} from li where is_train), {levels} "
+            f"select nodes.path, best.f as feature, best.threshold, nodes.n as n_rows, {_r('nodes.p')} as prediction, "
+            f"{_r('best.gain')} as gain, {SPLIT_DEPTH} as max_depth, {dflt} as max_bins "
+            f"from ({nodes}) nodes left join ({best}) best on nodes.path = best.path")
+
+
+def _split_data(spark, sf_dir):
+    li = table(spark, sf_dir, "lineitem")
+    rows = li.select(F.col("l_quantity").cast("double").alias("qx"), F.col("l_linenumber").cast("double").alias("lx"),
+                     F.dayofyear("l_shipdate").cast("double").alias("dx"), (F.col("l_extendedprice") / F.lit(1000.0)).alias(Y),
+                     (sampling.split_column(KEYS, 80) == F.lit("train")).alias("is_train"))
+    return features.vector_assembler(SPLIT_FEATURES).transform(rows)
+
+
+@register("tree_splits", _splits_sql())
+def q_tree_splits(spark, sf_dir):
+    """Nodes of a depth-2 tree with the default 7500 bins on three features of up to 366 values, as rows."""
+    est = estimators.decision_tree(Y, features.FEATURES, spark=spark, maxDepth=SPLIT_DEPTH)
+    model = est.fit(_split_data(spark, sf_dir).where("is_train"))
+    chosen = estimators.chosen_params(model)
+    nodes = trees.tree_nodes(spark, model_store.save_model(model, shared_dir(spark, "split-tree")), SPLIT_FEATURES)
+    return round_doubles(nodes.select("path", "feature", "threshold", "n_rows", "prediction", "gain",
+                                      F.lit(chosen["maxDepth"]).alias("max_depth"), F.lit(chosen["maxBins"]).alias("max_bins")),
+                         only=["prediction", "gain"])
+
+
+@register("forest_leaves")
+def q_forest_leaves(spark, sf_dir):
+    """Every leaf of the default forest (20 trees, depth 5, row and feature draws): what it predicts, and the training rows in it.
+
+    n_draws counts the draws a tree was grown on; n_train and mean_train the
+    training rows that reach the leaf, once each.
+    """
+    train = _split_data(spark, sf_dir).where("is_train")
+    model = estimators.random_forest(Y, features.FEATURES, spark=spark).fit(train)
+    nodes = trees.tree_nodes(spark, model_store.save_model(model, shared_dir(spark, "forest")), SPLIT_FEATURES)
+    out = trees.leaf_means(model, train, nodes, Y).withColumn("num_trees", F.lit(estimators.chosen_params(model)["numTrees"]))
+    return round_doubles(out, only=["prediction", "mean_train"])
+
+
 @register("model_reuse", _GROUP_MEAN_SQL)
 def q_model_reuse(spark, sf_dir):
     """load_or_train twice on one path: trains and saves, then loads and scores."""
