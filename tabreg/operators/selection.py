@@ -13,7 +13,10 @@ land in the same fold on every run and after any executor loss.
 
 from __future__ import annotations
 
+import hashlib
+import json
 import math
+import uuid
 from collections.abc import Callable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -134,6 +137,49 @@ def depth_predictions(model, depths: Sequence[int]) -> dict[int, list[float]]:
     return out
 
 
+def _params_json(pm: dict) -> str:
+    return json.dumps({p.name: v.item() if hasattr(v, "item") else v for p, v in pm.items()}, sort_keys=True, default=str)
+
+
+class Progress:
+    """Metrics of a search's finished fits, as small Parquet tables in one folder.
+
+    A fit's rows (fold, params, value) are written beside their name and
+    renamed, so a table that is there is whole. They count only for the same
+    search: the folder below ``root`` is named by a digest of the table's rows
+    (one aggregate over all columns, whatever their layout), the feature
+    stages, the estimator's settings, label, folds and metric. Candidates may
+    be added to the grid later.
+    """
+
+    _SCHEMA = "fold int, params string, value double"
+
+    def __init__(self, df: DataFrame, root: str, feature_stages: Callable[[], list], estimator, label: str,
+                 fold_col: str, num_folds: int, metric: str):
+        self.spark = df.sparkSession
+        rows = df.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64(*df.columns)),
+                      F.sum(F.xxhash64(F.lit("sum"), *df.columns).cast("decimal(38,0)"))).first()
+        stages = [*feature_stages(), estimator]
+        # settings other than the grid's, with the stages' random ids taken out of derived column names
+        settings = [(type(s).__name__, sorted((p.name, str(v).replace(s.uid, "")) for p, v in s.extractParamMap().items())) for s in stages]
+        what = repr((sorted(df.dtypes), [str(x) for x in rows], settings, label, fold_col, num_folds, metric))
+        self.path = f"{root.rstrip('/')}/{hashlib.md5(what.encode()).hexdigest()}"
+
+    def read(self) -> dict[tuple[int, str], float | None]:
+        """{(fold, params): value}: a row a fold and candidate at most."""
+        tables = [f"{self.path}/{n}" for n in fs.children(self.spark, self.path) if n.startswith("fit-")]
+        if not tables:
+            return {}
+        return {(r["fold"], r["params"]): r["value"] for r in self.spark.read.schema(self._SCHEMA).parquet(*tables).collect()}
+
+    def write(self, fold: int, found: dict[str, float | None]) -> None:
+        rows = [(fold, params, value) for params, value in found.items()]
+        name = hashlib.md5(repr(sorted(r[:2] for r in rows)).encode()).hexdigest()[:16]
+        built = f"{self.path}/writing-{uuid.uuid4().hex[:12]}"
+        self.spark.createDataFrame(rows, self._SCHEMA).coalesce(1).write.parquet(built)
+        fs.publish(self.spark, built, f"{self.path}/fit-{name}")
+
+
 def _nested(estimator, maps: list[dict]) -> list[tuple[dict, list[int]]]:
     """(params to fit, candidates it serves): trees that differ in depth only share the deepest fit."""
     depth = estimator.maxDepth if isinstance(estimator, DecisionTreeRegressor) else None
@@ -147,7 +193,7 @@ def _nested(estimator, maps: list[dict]) -> list[tuple[dict, list[int]]]:
 def cross_validate(df: DataFrame, feature_stages: Callable[[], list], estimator,
                    grid: dict[str, Sequence], label: str, fold_col: str,
                    num_folds: int, metric: str = "rmse", parallelism: int | None = None,
-                   persist: bool = True, n_rows: int | None = None) -> CVResult:
+                   persist: bool = True, n_rows: int | None = None, progress: str | None = None) -> CVResult:
     """k-fold CV; rows with ``fold_col == f`` validate fold f.
 
     feature_stages  factory returning fresh, unfitted feature stages
@@ -156,6 +202,9 @@ def cross_validate(df: DataFrame, feature_stages: Callable[[], list], estimator,
                     with ``fit_layout``. Driver threads only submit jobs;
                     executors do the work.
     n_rows          the table's rows, if known
+    progress        folder that keeps the metric of each finished fit (see
+                    ``Progress``); a search that broke off goes on from there.
+                    Whoever gives the folder removes it
 
     Each fold's feature stages are fitted once on its training rows and the
     transformed rows are kept (memory and disk) for all its candidates, then
@@ -166,7 +215,20 @@ def cross_validate(df: DataFrame, feature_stages: Callable[[], list], estimator,
     """
     maps = param_grid(estimator, grid)
     fits = _nested(estimator, maps)
-    n_fits = num_folds * len(fits)
+    values: list[list[float | None]] = [[None] * num_folds for _ in maps]
+    log = None
+    done: set[tuple[int, int]] = set()  # (fold, first candidate served)
+    if progress:
+        log = Progress(df, progress, feature_stages, estimator, label, fold_col, num_folds, metric)
+        kept = log.read()
+        names = [_params_json(pm) for pm in maps]
+        for f in range(num_folds):
+            for _, served in fits:
+                if all((f, names[i]) in kept for i in served):
+                    done.add((f, served[0]))
+                    for i in served:
+                        values[i][f] = kept[f, names[i]]
+    n_fits = max(1, num_folds * len(fits) - len(done))
     if parallelism is None:
         n_rows = df.count() if n_rows is None else n_rows
         par, per_fit = fit_layout(n_rows * (num_folds - 1) // max(1, num_folds), df.rdd.getNumPartitions(),
@@ -175,7 +237,6 @@ def cross_validate(df: DataFrame, feature_stages: Callable[[], list], estimator,
         par, per_fit = parallelism, None
     par = max(1, min(par, n_fits))
     keep = persist and len(fits) > 1
-    values: list[list[float | None]] = [[None] * num_folds for _ in maps]
 
     def fold_data(f):
         train_f = df.where(F.col(fold_col) != F.lit(f))
@@ -206,14 +267,19 @@ def cross_validate(df: DataFrame, feature_stages: Callable[[], list], estimator,
             found = _metric_values(scored, {f"d{d}_": (label, f"__p{d}") for d in depths}, metric)
         for i, value in zip(served, found):
             values[i][f] = value
+        if log:
+            log.write(f, {names[i]: value for i, value in zip(served, found)})
 
     room = Semaphore(min(num_folds, par + 1))  # folds held at a time
 
     def run_fold(f, pool):
+        todo = [(pm, served) for pm, served in fits if (f, served[0]) not in done]
+        if not todo:
+            return
         with room:
             tr, va = fold_data(f)
             try:
-                for job in [pool.submit(fit_eval, f, tr, va, pm, served) for pm, served in fits]:
+                for job in [pool.submit(fit_eval, f, tr, va, pm, served) for pm, served in todo]:
                     job.result()
             finally:
                 if keep:

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from ..operators import clean, estimators, features, metrics, sampling, selection
 from ..operators.selection import CVResult
 from ..session import checkpoint_root
-from ..sources import io, model_store
+from ..sources import fs, io, model_store
 from ..spec import LABEL, LABEL_CUBE_ROOT, SAMPLE_CAP, SAMPLE_SEED, FeatureSpec
 
 FOLD = "__fold"
@@ -190,7 +190,8 @@ def evaluate(train: DataFrame, n_train: int, test: DataFrame, spec: FeatureSpec,
 
     With ``model_dir`` a model saved there for this model, label and mode is
     loaded and only scored (``loaded`` is true, ``cv_rmse`` NaN); else the
-    fitted one is saved there.
+    fitted one is saved there. Until it is, the metrics of finished fits lie
+    beside it (``<model>.search``), and a run that broke off goes on from them.
     """
     spark, label = train.sparkSession, spec.label
     grid = _for_model(grid, model)
@@ -205,12 +206,14 @@ def evaluate(train: DataFrame, n_train: int, test: DataFrame, spec: FeatureSpec,
 
     def search():
         nonlocal cv
-        cv = selection.cross_validate(train, stages, est, grid, label, FOLD, k, parallelism=parallelism, n_rows=n_train)
+        cv = selection.cross_validate(train, stages, est, grid, label, FOLD, k, parallelism=parallelism, n_rows=n_train,
+                                      progress=f"{path}.search" if model_dir else None)
         return selection.fit_best(train.drop(FOLD), stages, est, cv.best_params)
 
     if model_dir:
         path = model_store.model_path(model_dir, model, label, spec.time_mode)
         fitted, loaded = model_store.load_or_train(path, PipelineModel, search)
+        fs.remove(spark, f"{path}.search")
     else:
         fitted, loaded = search(), False
 
