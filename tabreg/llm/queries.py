@@ -94,8 +94,8 @@ def op9_dartminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """24 contiguous shards by doc_id, near equal in bytes."""
-    return sharding.shard_by_bytes(table(spark, sf_dir, "documents"), 24).select(
+    """24 contiguous shards by text hash and doc_id, near equal in bytes, equal texts together."""
+    return sharding.shard_texts_by_bytes(table(spark, sf_dir, "documents"), 24).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"))
 
