@@ -19,13 +19,14 @@ sys.path.insert(0, os.path.join(ROOT, "tools"))
 from check_oracles import TABLES, frame_hash  # noqa: E402
 
 SLOW = {"train_evaluate", "model_comparison"}
+NO_SQL = {"forest_leaves"}  # random draws; tests/test_trees.py routes the rows by hand
 
 
 def test_keys_consistent():
     q, o = E.queries(), E.oracle_sql()
     assert set(o) <= set(q)
     own = set(catalog.QUERIES)
-    assert own <= set(o)
+    assert own - NO_SQL <= set(o)
     for name in own:
         assert "pipeline" not in name and not name.startswith("op")
     assert all(name == "pipeline" or name.startswith("op") for name in set(q) - own)

@@ -114,3 +114,13 @@ def test_leaf_without_rows_and_stump(spark, train):
     assert list(by[0]) == [""] and by[0][""].leaf == 0 and by[0][""].gain is None
     r = trees.leaf_means(model, train.where("y < 0"), nodes, "y").collect()
     assert [(x.n_train, x.mean_train) for x in r] == [(0, None)]
+
+
+def test_forest_query(spark, train, rows):
+    got = MQ.q_forest_leaves(spark, SF0001).collect()
+    assert {r.num_trees for r in got} == {20} and {r.tree for r in got} == set(range(20))
+    total = sum(r["y"] for r in rows)
+    for t in range(20):
+        mine = [r for r in got if r.tree == t]
+        assert sum(r.n_train for r in mine) == len(rows) and len({r.path for r in mine}) == len(mine) <= 32
+        assert sum(r.n_train * r.mean_train for r in mine if r.n_train) == pytest.approx(total, rel=1e-6)
