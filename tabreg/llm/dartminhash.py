@@ -5,12 +5,15 @@ Darts are thrown by hashing into the regions (element, unit of weight, strip
 of rank); a text keeps the darts that fall below its weights, and for each
 signature coordinate the dart of lowest rank. Two texts agree in a coordinate
 with the probability of their weighted Jaccard similarity. Bands of
-coordinates give buckets; candidates from buckets are compared exactly.
+coordinates give buckets. Candidates from buckets whose signatures agree as
+often as similar texts' do are compared exactly.
 """
 
 from __future__ import annotations
 
+import functools
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,6 +32,10 @@ BANDS, ROWS = 26, 5
 MOST_ROUNDS = 8
 #: A bucket with so many pairs for each row, or fewer, is paired; others take leaders.
 PAIRS_PER_ROW = 8
+#: Most pairs of one bucket that are gone through at the end, when all buckets are paired.
+MOST_PAIRS = 4_000_000
+#: Bits of each signature coordinate in a sketch, and the probability that a pair at the threshold fails by its sketch.
+SKETCH_BITS, SKETCH_MISS = 4, 1e-9
 SLICE_CHARS = 1_000_000
 #: Rank strips: [0, 2^-5), [2^-5, 2^-4) ... [1/2, 1), then of width 1.
 _LOW_STRIPS = 6
@@ -140,12 +147,44 @@ def band_keys(sig: np.ndarray, bands: int, rows: int) -> np.ndarray:
     return key.view(np.int64)
 
 
+def sketches(sig: np.ndarray) -> np.ndarray:
+    """(n_docs, words) of 64 bits: bit b of each coordinate side by side, then bit b + 1."""
+    low = salted(sig, 11)
+    words = -(-sig.shape[1] // 64)
+    out = np.zeros((len(sig), SKETCH_BITS * words * 8), np.uint8)
+    for b in range(SKETCH_BITS):
+        bits = np.packbits(((low >> np.uint64(b)) & np.uint64(1)).astype(np.uint8), axis=1)
+        out[:, b * words * 8:b * words * 8 + bits.shape[1]] = bits
+    return out.view(np.int64)
+
+
+def least_agreement(k: int, similarity: tuple[int, int], miss: float = SKETCH_MISS) -> int:
+    """The most coordinates of ``k`` that a pair at the threshold agrees in but for a probability of ``miss``."""
+    s, below = similarity[0] / similarity[1], 0.0
+    for n in range(k + 1):
+        below += math.comb(k, n) * s**n * (1 - s)**(k - n)
+        if below > miss:
+            return n
+    return k
+
+
+def _agreeing(x: str, y: str, k: int):
+    """The number of the ``k`` coordinates in which the sketches ``x`` and ``y`` agree."""
+    words, apart = -(-k // 64), F.lit(0)
+    for w in range(words):
+        planes = [F.col(x)[b * words + w].bitwiseXOR(F.col(y)[b * words + w]) for b in range(SKETCH_BITS)]
+        apart = apart + F.bit_count(functools.reduce(lambda p, q: p.bitwiseOR(q), planes))
+    return F.lit(k) - apart
+
+
 def _row_id(key: str, text: str):
     return F.xxhash64(F.col(key), F.col(text))
 
 
 def _sketches(docs: DataFrame, key: str, text: str, shingle: int, bands: int, rows: int) -> DataFrame:
-    """key, row, copy (hash of the word sequence), weight, buckets for every row."""
+    """key, row, copy (hash of the word sequence), weight, buckets, sketch for every row."""
+    longs = pa.list_(pa.field("element", pa.int64(), False))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = None
 
@@ -157,17 +196,18 @@ def _sketches(docs: DataFrame, key: str, text: str, shingle: int, bands: int, ro
         for part in slices(seen(), SLICE_CHARS, 0, 1, 2):
             texts = [p[2] for p in part]
             doc, units = elements(texts, shingle)
-            keys = band_keys(signatures(doc, units, len(texts), bands * rows), bands, rows)
+            sig = signatures(doc, units, len(texts), bands * rows)
+            keys = band_keys(sig, bands, rows)
             copies = [hashlib.blake2b(" ".join(t.lower().split()).encode(), digest_size=16).digest() for t in texts]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([p[0] for p in part], kind), pa.array([p[1] for p in part], pa.int64()),
                  pa.array(copies, pa.binary()), pa.array(np.bincount(doc, minlength=len(texts)), pa.int64()),
-                 pa.array(list(keys), pa.list_(pa.field("element", pa.int64(), False)))],
-                names=["key", "row", "copy", "weight", "buckets"])
+                 pa.array(list(keys), longs), pa.array(list(sketches(sig)), longs)],
+                names=["key", "row", "copy", "weight", "buckets", "sketch"])
 
     rows_in = docs.select(F.col(key).alias("key"), _row_id(key, text).alias("row"), F.col(text).alias("text"))
     kind = docs.schema[key].dataType.simpleString()
-    return rows_in.mapInArrow(run, f"key {kind}, row long, copy binary, weight long, buckets array<long>")
+    return rows_in.mapInArrow(run, f"key {kind}, row long, copy binary, weight long, buckets array<long>, sketch array<long>")
 
 
 def _compare(pairs: DataFrame, units: DataFrame, similarity: tuple[int, int]) -> DataFrame:
@@ -217,8 +257,11 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
     represents it. Equal word sequences are one text and are never paired.
     Links are not counted: pairs already in one class are not compared.
 
-    Candidates are the pairs of different classes in a bucket. Every bucket
-    has a leader, the member that meets most others. At first each text is
+    Candidates are the pairs of different classes in a bucket. They are first
+    told apart by sketches, a few bits of each signature coordinate: a pair at
+    the threshold fails there with a probability of ``SKETCH_MISS``, far less
+    than that of sharing no bucket. The others are compared exactly. Every
+    bucket has a leader, the member that meets most others. At first each text is
     compared with one leader only, the greatest of its buckets', which settles
     most classes with one comparison a text. Then, bucket by bucket: with at
     most ``pairs_per_row`` pairs for each row, they are compared as they are;
@@ -227,7 +270,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
     with it, which rules out nearly all of them by three numbers; members that
     do share one meet in a bucket of that leader and unit in the next round.
     As soon as all pairs left are at most ``pairs_per_row`` for each row of the
-    first buckets, or after ``most_rounds`` rounds, which takes leaders within
+    first buckets, and at most ``MOST_PAIRS`` in any one, or after ``most_rounds`` rounds, which takes leaders within
     leaders, they are compared as they are. So no candidate is given up.
     New links join the classes they connect, so a step's links are pairs of
     classes, not of texts.
@@ -238,7 +281,7 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
     """
     rows_all = cut(_sketches(docs, key, text, shingle, bands, rows), "dart-sketches")
     first = F.min(F.struct(F.col("key").isNull().alias("none"), F.col("key"), F.col("row")))
-    copies = cut(rows_all.groupBy("copy").agg(first.alias("first"), F.first("weight").alias("weight"), F.first("buckets").alias("buckets"))
+    copies = cut(rows_all.groupBy("copy").agg(first.alias("first"), F.first("weight").alias("weight"), F.first("buckets").alias("buckets"), F.first("sketch").alias("sketch"))
                  .withColumn("node", F.xxhash64("copy")), "dart-copies")
     buckets = copies.where("weight > 0").select("node", "weight", F.explode("buckets").alias("bucket"))
     shared = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
@@ -251,7 +294,9 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
     wanted = cut(copies.select("node", "first").join(buckets.select("node").distinct(), "node", "left_semi")
                  .select("node", F.col("first.key").alias("key"), F.col("first.row").alias("row")), "dart-wanted", n_rows)
     units = cut(_units_of(docs, wanted, key, text, shingle), "dart-units")
+    sketch = cut(copies.select("node", "sketch").join(wanted.select("node"), "node", "left_semi"), "dart-node-sketches", n_rows)
     drop(wanted)
+    least_agreeing = least_agreement(bands * rows, similarity)
     num, den = similarity
     spark = docs.sparkSession
     done = spark.createDataFrame([], "a long, b long")
@@ -262,6 +307,12 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
         known = sized(labels.select(F.col("node").alias("_n"), F.col("label").alias("_l")), n_labels)
         return table.join(known, F.col(node) == F.col("_n"), "left").withColumn(label, F.coalesce("_l", node)).drop("_n", "_l")
 
+    def likely(pairs: DataFrame) -> DataFrame:
+        """The pairs of nodes x, y whose sketches agree as a similar pair's do."""
+        return (pairs.join(sketch.select(F.col("node").alias("x"), F.col("sketch").alias("sx")), "x")
+                .join(sketch.select(F.col("node").alias("y"), F.col("sketch").alias("sy")), "y")
+                .where(_agreeing("sx", "sy", bands * rows) >= least_agreeing).select("x", "y"))
+
     def compare(pairs: DataFrame) -> None:
         """Compare the pairs of nodes x, y that are new, and bring the classes up to date."""
         nonlocal done, n_done, labels, n_labels
@@ -307,26 +358,27 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
         if n == 0 and most_rounds:
             best = (stars(rest).where(may_match("weight", "l_weight")).groupBy("node")
                     .agg(F.max(F.struct("l_mates", "l_node")).alias("best")))
-            compare(best.select(F.col("node").alias("x"), F.col("best.l_node").alias("y")))
+            compare(likely(best.select(F.col("node").alias("x"), F.col("best.l_node").alias("y"))))
             drop(rest, per)
             rest, per = still_open(buckets)
         drop(buckets)
-        left = per.agg(F.sum("pairs")).first()[0]
+        left, largest = per.agg(F.sum("pairs"), F.max("pairs")).first()
         if not left:
             drop(rest, per)
             break
-        last = n == most_rounds or left <= pairs_per_row * n_first
+        last = n == most_rounds or (left <= pairs_per_row * n_first and largest <= MOST_PAIRS)
         few = F.lit(True) if last else F.col("pairs") <= pairs_per_row * F.col("n")
-        small = rest.join(per.where(few).select("bucket"), "bucket", "left_semi")
-        other = small.select(F.col("bucket").alias("l_bucket"), *[F.col(c).alias(f"l_{c}") for c in ("node", "label", "weight")])
+        small = rest.join(per.where(few).select("bucket"), "bucket", "left_semi").join(sketch, "node")
+        other = small.select(F.col("bucket").alias("l_bucket"), *[F.col(c).alias(f"l_{c}") for c in ("node", "label", "weight", "sketch")])
         pairs = (small.join(other, (F.col("bucket") == F.col("l_bucket")) & (F.col("node") < F.col("l_node")) & (F.col("label") != F.col("l_label"))
-                            & may_match("weight", "l_weight")).select(F.col("node").alias("x"), F.col("l_node").alias("y")))
+                            & may_match("weight", "l_weight") & (_agreeing("sketch", "l_sketch", bands * rows) >= least_agreeing))
+                 .select(F.col("node").alias("x"), F.col("l_node").alias("y")))
         if last:
             compare(pairs)
             drop(rest, per)
             break
         star = cut(stars(rest.join(per.where(~few).select("bucket"), "bucket", "left_semi")).drop("l_mates").distinct(), "dart-star", n_rows)
-        compare(pairs.unionByName(star.where(may_match("weight", "l_weight")).select(F.col("node").alias("x"), F.col("l_node").alias("y"))))
+        compare(pairs.unionByName(likely(star.where(may_match("weight", "l_weight")).select(F.col("node").alias("x"), F.col("l_node").alias("y")))))
         drop(rest, per)
 
         # circles: the nodes compared with one leader; open if two of them are not of one class
@@ -343,10 +395,11 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
         linked = F.col("both") * (num + den) >= (F.col("weight") + F.col("l_weight")) * num
         partner = inside.where("weight < l_weight").select("l_node", *[F.col(c).alias(f"y_{c}") for c in ("node", "weight", "label", "both")])
         least = (F.col("weight") + F.col("y_weight")) * num
-        compare(inside.where(~linked).join(partner, "l_node")
+        near = (inside.where(~linked).join(partner, "l_node")
                 .where((F.col("node") != F.col("y_node")) & (F.col("label") != F.col("y_label"))
                        & (F.col("both") * (num + den) >= least) & (F.col("y_both") * (num + den) >= least))
                 .select(F.col("node").alias("x"), F.col("y_node").alias("y")))
+        compare(likely(near))
         again = beside.select("node", "weight", "mates", "label", "l_node", F.explode("extra").alias("unit"))
         again = again.withColumn("bucket", F.xxhash64("l_node", "unit")).drop("l_node", "unit")
         mixed = again.groupBy("bucket").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo != hi").select("bucket")

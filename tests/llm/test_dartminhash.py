@@ -117,3 +117,20 @@ def test_components(spark):
 def test_bands_find_pairs_at_the_threshold():
     s, miss = 0.8, (1 - 0.8**dm.ROWS) ** dm.BANDS
     assert miss < 1e-4 and np.isclose(s, dm.SIMILARITY[0] / dm.SIMILARITY[1])
+
+
+def test_sketches_fail_pairs_at_the_threshold_as_seldom_as_stated(spark):
+    k = dm.BANDS * dm.ROWS
+    rng = np.random.default_rng(5)
+    sig = rng.integers(0, 2**63, (40, k)).astype(np.uint64)
+    same = rng.random((40, k)) < np.linspace(0, 1, 40)[:, None]
+    other = np.where(same, sig, rng.integers(0, 2**63, (40, k)).astype(np.uint64))
+    rows = spark.createDataFrame([(i, a.tolist(), b.tolist()) for i, (a, b) in enumerate(zip(dm.sketches(sig), dm.sketches(other)))],
+                                 "i int, a array<long>, b array<long>")
+    got = {r.i: r.n for r in rows.select("i", dm._agreeing("a", "b", k).alias("n")).collect()}
+    low = [dm.salted(s, 11) & np.uint64(2**dm.SKETCH_BITS - 1) for s in (sig, other)]
+    assert [got[i] for i in range(40)] == (low[0] == low[1]).sum(axis=1).tolist()
+    # a similar pair fails with at most the stated probability; the bound is the best one
+    least = dm.least_agreement(k, dm.SIMILARITY)
+    chance = np.cumsum([dm.math.comb(k, n) * 0.8**n * 0.2**(k - n) for n in range(k + 1)])
+    assert chance[least - 1] <= dm.SKETCH_MISS < chance[least] and dm.SKETCH_MISS < (1 - 0.8**dm.ROWS) ** dm.BANDS / 1000
