@@ -32,9 +32,10 @@ class StringIndex:
     def transform(self, df: DataFrame, output: str | None = None, limit: int = BROADCAST_ROWS) -> DataFrame:
         """``df`` with ``output``; null and values not seen at fit time get the index ``size``.
 
-        Beyond ``limit`` rows the join is shuffled: the rows of a value go to
-        ``SALT`` tasks. Null values and those of hot categories thus never
-        gather in one task.
+        Beyond ``limit`` rows the join is shuffled, whatever size the planner
+        takes the table for: the files are small, but their rows are copied
+        for each salt. The rows of a value go to ``SALT`` tasks, so null values
+        and those of hot categories never gather in one task.
         """
         output = output or f"{self.column}Index"
         value = F.col(f"`{self.column}`").cast("string")
@@ -48,7 +49,7 @@ class StringIndex:
             # nulls match nothing: they are spread over values that no category has
             rows = rows.withColumn("_salt", F.when(F.col("_value").isNull(), -1 - F.pmod(F.hash(F.monotonically_increasing_id()), F.lit(4096)))
                                    .otherwise(F.col("_salt")))
-            known = known.withColumn("_copy", F.explode(F.array(*[F.lit(i) for i in range(SALT)])))
+            known = known.withColumn("_copy", F.explode(F.array(*[F.lit(i) for i in range(SALT)]))).hint("merge")
             on = on & (F.col("_salt") == F.col("_copy"))
         index = F.coalesce("_index", F.lit(float(self.size))).alias(output)
         keep = [F.col(f"_row.`{c}`") for c in df.columns if c != output]

@@ -45,3 +45,11 @@ def test_empty_saved_and_loaded(spark, tmp_path):
     assert {r.id: r.cIndex for r in again.transform(df).collect()} == want(df.collect())
     numbers = df.select("id", (F.col("id") % 3).alias("c"))
     assert indexing.fit_string_index(numbers, "c").size == 3
+
+
+def test_large_table_is_joined_by_shuffle(spark):
+    # the small file of an index is no reason to broadcast its copies: 8 for each category
+    df = table(spark)
+    index = indexing.fit_string_index(df, "c")
+    plan = index.transform(df, limit=0)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
