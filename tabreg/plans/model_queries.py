@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from ..operators import clean, estimators, features, indexing, metrics, sampling, selection, trees
 from ..session import shared_dir
-from ..sources import model_store
+from ..sources import model_store, scratch
 from ..spec import FeatureSpec
 from .catalog import hash32_sql, register, round_doubles
 from .fixtures import FLIGHTS_SQL, KEYS, flights, table
@@ -193,6 +193,8 @@ def _encoding_sql() -> str:
 def q_feature_encoding(spark, sf_dir):
     """Impute + index + assemble + L1-normalise, all 16 features: fitted on the training rows, applied to all."""
     prep = workflow.prepare(flights(spark, sf_dir), _SPEC).withColumn("is_train", sampling.split_column(KEYS, 80) == F.lit("train"))
+    # written once: every stage's fit and the transform read it
+    prep = scratch.cut(prep.select(*KEYS, *_SPEC.index_inputs, *_SPEC.numeric_inputs, "is_train"), "prepared")
     model = features.fit_features(prep.where("is_train"), _SPEC)
     out = model.transform(prep)
     return round_doubles(features.vector_columns(out, features.NORM_FEATURES, _SPEC.feature_names, prefix="n_", keep=KEYS))
