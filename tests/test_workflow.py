@@ -157,3 +157,18 @@ def test_unnormalised_features_give_categorical_splits(spark, fx):
     assert ev.model.stages[-1].getFeaturesCol() == "features"
     assert " in {" in tree.toDebugString  # a split on a set of categories
     assert ev.metrics.first().r2 > 0
+
+
+def test_comparison_cleans_the_raw_table_once_a_fold_number(spark, fx):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+    raw = fx.where("l_linenumber <= 2")
+    n = raw.count()
+    spec = FeatureSpec(categorical=(), continuous=("TaxiOut",), clock=())
+    out = workflow.compare_models(raw.mapInArrow(count, raw.schema), models=("lr",), time_modes=("numeric",), keys=KEYS, base=spec,
+                                  normalize=False)
+    assert out.count() == 2 and seen.value == n
