@@ -22,3 +22,15 @@ def spark():
 def fx(spark):
     from tabreg.plans.fixtures import flights
     return flights(spark, SF0001)
+
+
+@pytest.fixture(scope="module", autouse=True)
+def release_tables():
+    """Tables that a module's frames read go with the module, so that none meets another's count of folders."""
+    yield
+    from pyspark.sql import SparkSession
+
+    from tabreg.sources import scratch
+    spark = SparkSession.getActiveSession()
+    if spark is not None:
+        scratch.release(spark)
