@@ -30,12 +30,16 @@ SHINGLE = 5
 SIMILARITY = (4, 5)  # 0.8 as a fraction, so that the comparison is exact
 BANDS, ROWS = 26, 5
 MOST_ROUNDS = 8
-#: A bucket with so many pairs for each row, or fewer, is paired; others take leaders.
-PAIRS_PER_ROW = 8
+#: A bucket with so many pairs for each row, or fewer, is paired; others take leaders. Sketches and marks alone tell nearly all of them apart.
+PAIRS_PER_ROW = 100
 #: Most pairs of one bucket that are gone through at the end, when all buckets are paired.
 MOST_PAIRS = 4_000_000
 #: Bits of each signature coordinate in a sketch, and the probability that a pair at the threshold fails by its sketch.
 SKETCH_BITS, SKETCH_MISS = 4, 1e-9
+#: Marks of a text: so many bits for each unit, rounded up to a power of two, from 64 to so many.
+MARK_BITS, MOST_MARKS = 8, 1 << 14
+#: Rows of marks up to which they are broadcast.
+MARK_ROWS = 20_000
 SLICE_CHARS = 1_000_000
 #: Rank strips: [0, 2^-5), [2^-5, 2^-4) ... [1/2, 1), then of width 1.
 _LOW_STRIPS = 6
@@ -177,6 +181,33 @@ def _agreeing(x: str, y: str, k: int):
     return F.lit(k) - apart
 
 
+def marks(units: np.ndarray) -> np.ndarray:
+    """64-bit words whose bit ``unit`` modulo their number of bits is set for each unit."""
+    size = min(max(64, 1 << (MARK_BITS * len(units) - 1).bit_length()), MOST_MARKS)
+    out = np.zeros(size, np.uint8)
+    out[(units & np.uint64(size - 1)).astype(np.int64)] = 1
+    return np.packbits(out, bitorder="little").view(np.int64)
+
+
+def _may_link(similarity: tuple[int, int], mx: str, my: str, nx: str, ny: str):
+    """Whether the marks of texts with nx, ny units leave room for as many shared units as a link needs.
+
+    A bit set in one only stands for one unit or more that the other lacks,
+    so no link fails here. Marks twice as long are folded to the others' length.
+    """
+    num, den = similarity
+
+    def folded(x: str, y: str):
+        half = (F.size(x) / 2).cast("int")
+        return F.when(F.size(x) == 2 * F.size(y), F.zip_with(F.slice(x, F.lit(1), half), F.slice(x, half + 1, half), lambda p, q: p.bitwiseOR(q))).otherwise(F.col(x))
+
+    def lacking(p, q):
+        return F.aggregate(F.zip_with(p, q, lambda b, c: F.bit_count(b.bitwiseAND(F.bitwise_not(c)))), F.lit(0), lambda n, b: n + b)
+    x, y = folded(mx, my), folded(my, mx)
+    shared = F.least(F.col(nx) - lacking(x, y), F.col(ny) - lacking(y, x))
+    return (F.size(x) != F.size(y)) | (shared * (num + den) >= (F.col(nx) + F.col(ny)) * num)
+
+
 def _row_id(key: str, text: str):
     return F.xxhash64(F.col(key), F.col(text))
 
@@ -210,13 +241,13 @@ def _sketches(docs: DataFrame, key: str, text: str, shingle: int, bands: int, ro
     return rows_in.mapInArrow(run, f"key {kind}, row long, copy binary, weight long, buckets array<long>, sketch array<long>")
 
 
-def _compare(pairs: DataFrame, units: DataFrame, similarity: tuple[int, int]) -> DataFrame:
-    """a, b, linked for each pair of nodes."""
+def _compare(pairs: DataFrame, n: int, units: DataFrame, similarity: tuple[int, int]) -> DataFrame:
+    """a, b, linked for each of the ``n`` counted pairs of nodes."""
     num, den = similarity
     both = F.size(F.array_intersect("x", "y"))
-    return (pairs.select("a", "b")
-            .join(units.select(F.col("node").alias("b"), F.col("units").alias("y")), "b")
-            .join(units.select(F.col("node").alias("a"), F.col("units").alias("x")), "a")
+    pairs = sized(pairs.select("a", "b"), n)
+    return (pairs.join(units.select(F.col("node").alias("b"), F.col("units").alias("y")), "b")
+            .join(units.select(F.col("node").alias("a"), F.col("units").alias("x")).join(pairs.select("a"), "a", "left_semi"), "a")
             .select("a", "b", both.alias("both"), (F.size("x") + F.size("y")).alias("all"))
             .select("a", "b", (F.col("both") * (num + den) >= F.col("all") * num).alias("linked")))
 
@@ -230,19 +261,20 @@ def _beside(star: DataFrame, units: DataFrame) -> DataFrame:
 
 
 def _units_of(docs: DataFrame, wanted: DataFrame, key: str, text: str, shingle: int) -> DataFrame:
-    """node, units (64-bit numbers) of the wanted (node, key, row)."""
+    """node, units (64-bit numbers), marks of the wanted (node, key, row)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, SLICE_CHARS, 0, 1):
             doc, units = elements([p[1] for p in part], shingle)
             ends = np.cumsum(np.bincount(doc, minlength=len(part)))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([p[0] for p in part], pa.int64()),
-                 pa.ListArray.from_arrays(pa.array(np.append(0, ends), pa.int32()), pa.array(units.view(np.int64)))],
-                names=["node", "units"])
+                 pa.ListArray.from_arrays(pa.array(np.append(0, ends), pa.int32()), pa.array(units.view(np.int64))),
+                 pa.array([marks(u) for u in np.split(units, ends[:-1])], pa.list_(pa.int64()))],
+                names=["node", "units", "marks"])
 
     rows = docs.select(F.col(key).alias("key"), _row_id(key, text).alias("row"), F.col(text).alias("text")).alias("d")
     found = rows.join(wanted.alias("w"), F.col("d.key").eqNullSafe(F.col("w.key")) & (F.col("d.row") == F.col("w.row")))
-    return found.select("node", "text").dropDuplicates(["node"]).mapInArrow(run, "node long, units array<long>")
+    return found.select("node", "text").dropDuplicates(["node"]).mapInArrow(run, "node long, units array<long>, marks array<long>")
 
 
 @scoped
@@ -260,7 +292,9 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
     Candidates are the pairs of different classes in a bucket. They are first
     told apart by sketches, a few bits of each signature coordinate: a pair at
     the threshold fails there with a probability of ``SKETCH_MISS``, far less
-    than that of sharing no bucket. The others are compared exactly. Every
+    than that of sharing no bucket; then by marks, a few bits for each unit,
+    which bound the shared units from above, so that no link fails. Only
+    the others have their units read and are compared exactly. Every
     bucket has a leader, the member that meets most others. At first each text is
     compared with one leader only, the greatest of its buckets', which settles
     most classes with one comparison a text. Then, bucket by bucket: with at
@@ -283,6 +317,8 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
     first = F.min(F.struct(F.col("key").isNull().alias("none"), F.col("key"), F.col("row")))
     copies = cut(rows_all.groupBy("copy").agg(first.alias("first"), F.first("weight").alias("weight"), F.first("buckets").alias("buckets"), F.first("sketch").alias("sketch"))
                  .withColumn("node", F.xxhash64("copy")), "dart-copies")
+    ids = cut(rows_all.select("copy", "key", "row"), "dart-ids")
+    drop(rows_all)
     buckets = copies.where("weight > 0").select("node", "weight", F.explode("buckets").alias("bucket"))
     shared = buckets.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     met = cut(buckets.join(shared, "bucket"), "dart-shared")
@@ -293,9 +329,13 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
 
     wanted = cut(copies.select("node", "first").join(buckets.select("node").distinct(), "node", "left_semi")
                  .select("node", F.col("first.key").alias("key"), F.col("first.row").alias("row")), "dart-wanted", n_rows)
-    units = cut(_units_of(docs, wanted, key, text, shingle), "dart-units")
-    sketch = cut(copies.select("node", "sketch").join(wanted.select("node"), "node", "left_semi"), "dart-node-sketches", n_rows)
-    drop(wanted)
+    n_nodes = wanted.count()
+    units = cut(_units_of(docs, sized(wanted, n_nodes), key, text, shingle), "dart-units")
+    # a row for each text that shares a bucket: what tells pairs apart
+    sketch = cut(copies.select("node", F.col("weight").alias("n"), "sketch").join(units.select("node", "marks"), "node"), "dart-node-sketches")
+    units = units.select("node", "units")
+    texts = cut(copies.select("copy", "node", "first"), "dart-texts")
+    drop(wanted, copies)
     least_agreeing = least_agreement(bands * rows, similarity)
     num, den = similarity
     spark = docs.sparkSession
@@ -307,79 +347,89 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
         known = sized(labels.select(F.col("node").alias("_n"), F.col("label").alias("_l")), n_labels)
         return table.join(known, F.col(node) == F.col("_n"), "left").withColumn(label, F.coalesce("_l", node)).drop("_n", "_l")
 
+    def may_agree(x: str, y: str):
+        """Whether sketches and marks of the columns named from x and y agree as a similar pair's do."""
+        return (_agreeing(f"{x}sketch", f"{y}sketch", bands * rows) >= least_agreeing) & _may_link(similarity, f"{x}marks", f"{y}marks", f"{x}n", f"{y}n")
+
+    def known(node: str, prefix: str) -> DataFrame:
+        return sized(sketch.select(F.col("node").alias(node), *[F.col(c).alias(prefix + c) for c in ("n", "sketch", "marks")]), n_nodes, MARK_ROWS)
+
     def likely(pairs: DataFrame) -> DataFrame:
-        """The pairs of nodes x, y whose sketches agree as a similar pair's do."""
-        return (pairs.join(sketch.select(F.col("node").alias("x"), F.col("sketch").alias("sx")), "x")
-                .join(sketch.select(F.col("node").alias("y"), F.col("sketch").alias("sy")), "y")
-                .where(_agreeing("sx", "sy", bands * rows) >= least_agreeing).select("x", "y"))
+        """The pairs of nodes x, y that may be similar."""
+        return pairs.join(known("x", "x_"), "x").join(known("y", "y_"), "y").where(may_agree("x_", "y_")).select("x", "y")
 
     def compare(pairs: DataFrame) -> None:
         """Compare the pairs of nodes x, y that are new, and bring the classes up to date."""
         nonlocal done, n_done, labels, n_labels
         pairs = pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
-        fresh = pairs.join(sized(done, n_done), ["a", "b"], "left_anti")
-        new = cut(_compare(fresh, units, similarity), "dart-pairs")
-        n_new = new.count()
+        fresh = cut(pairs.join(sized(done, n_done), ["a", "b"], "left_anti"), "dart-fresh")
+        n_new = fresh.count()
         if not n_new:
+            drop(fresh)
             return
-        done, n_done = done.unionByName(new.select("a", "b")), n_done + n_new
-        links = named(named(new.where("linked"), "a", "x"), "b", "y")
+        done, n_done = done.unionByName(fresh), n_done + n_new
+        new = cut(_compare(fresh, n_new, units, similarity).where("linked"), "dart-pairs")
+        links = named(named(new, "a", "x"), "b", "y")
         links = cut(links.where("x != y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct(), "dart-links", n_new)
         joined = components(links)  # class to class
         n_joined = joined.count()
         if n_joined:
             to = sized(joined.select(F.col("node").alias("label"), F.col("label").alias("to")), n_joined)
             moved = labels.join(to, "label", "left").select("node", F.coalesce("to", "label").alias("label"))
-            known = cut(moved.unionByName(joined.join(sized(labels, n_labels), "node", "left_anti")), "dart-labels", n_labels + n_joined)
+            now = cut(moved.unionByName(joined.join(sized(labels, n_labels), "node", "left_anti")), "dart-labels", n_labels + n_joined)
             drop(labels)
-            labels, n_labels = known, known.count()
-        drop(links, joined)
+            labels, n_labels = now, now.count()
+        drop(new, links, joined)
 
     def may_match(x: str, y: str):
         return (F.col(x) * den >= F.col(y) * num) & (F.col(y) * den >= F.col(x) * num)
 
-    def still_open(table: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """(rows of buckets with several classes, with their label; bucket, n, pairs of those)."""
+    def still_open(table: DataFrame) -> tuple[DataFrame, int, int]:
+        """Rows of buckets with several classes, with label and their bucket's n, pairs and lead; all pairs, most of one bucket."""
         rest = named(table, "node", "label")
-        per = (rest.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("c")).groupBy("bucket")
-               .agg(F.sum("c").alias("n"), ((F.sum("c") * F.sum("c") - F.sum(F.col("c") * F.col("c"))) / 2).alias("pairs")).where("pairs > 0"))
+        leader = F.max_by(F.struct("node", "weight", "mates"), F.struct("mates", -F.col("weight"), "node"))
+        first_of = F.max_by("lead", F.struct("lead.mates", -F.col("lead.weight"), "lead.node"))
+        per = (rest.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("c"), leader.alias("lead")).groupBy("bucket")
+               .agg(F.sum("c").alias("n"), ((F.sum("c") * F.sum("c") - F.sum(F.col("c") * F.col("c"))) / 2).alias("pairs"), first_of.alias("lead"))
+               .where("pairs > 0"))
         per = cut(per, "dart-mixed", n_rows)
-        return cut(rest.join(per.select("bucket"), "bucket", "left_semi"), "dart-open", n_rows), per
+        n_per, left, largest = per.agg(F.count(F.lit(1)), F.sum("pairs"), F.max("pairs")).first()
+        rest = cut(rest.join(sized(per, n_per), "bucket"), "dart-open", n_rows)
+        drop(per)
+        return rest, left or 0, largest or 0
 
     def stars(rest: DataFrame) -> DataFrame:
         """The rows of ``rest`` that don't lead their bucket, with its leader."""
-        leader = F.max_by(F.struct("node", "weight", "mates"), F.struct("mates", -F.col("weight"), "node"))
-        lead = rest.groupBy("bucket").agg(leader.alias("lead"))
-        return rest.join(lead, "bucket").where("node != lead.node").select("node", "weight", "mates", F.col("lead.node").alias("l_node"),
-                                                                         F.col("lead.weight").alias("l_weight"), F.col("lead.mates").alias("l_mates"))
+        return rest.where("node != lead.node").select("node", "weight", "mates", F.col("lead.node").alias("l_node"),
+                                                      F.col("lead.weight").alias("l_weight"), F.col("lead.mates").alias("l_mates"))
 
     for n in range(most_rounds + 1):
-        rest, per = still_open(buckets)
+        rest, left, largest = still_open(buckets)
         if n == 0 and most_rounds:
             best = (stars(rest).where(may_match("weight", "l_weight")).groupBy("node")
                     .agg(F.max(F.struct("l_mates", "l_node")).alias("best")))
             compare(likely(best.select(F.col("node").alias("x"), F.col("best.l_node").alias("y"))))
-            drop(rest, per)
-            rest, per = still_open(buckets)
+            opened = rest
+            rest, left, largest = still_open(opened.select("node", "weight", "mates", "bucket"))
+            drop(opened)
         drop(buckets)
-        left, largest = per.agg(F.sum("pairs"), F.max("pairs")).first()
         if not left:
-            drop(rest, per)
+            drop(rest)
             break
         last = n == most_rounds or (left <= pairs_per_row * n_first and largest <= MOST_PAIRS)
         few = F.lit(True) if last else F.col("pairs") <= pairs_per_row * F.col("n")
-        small = rest.join(per.where(few).select("bucket"), "bucket", "left_semi").join(sketch, "node")
-        other = small.select(F.col("bucket").alias("l_bucket"), *[F.col(c).alias(f"l_{c}") for c in ("node", "label", "weight", "sketch")])
+        small = rest.where(few).select("bucket", "node", "label", "weight").join(known("node", ""), "node")
+        other = small.select(*[F.col(c).alias(f"l_{c}") for c in small.columns])
         pairs = (small.join(other, (F.col("bucket") == F.col("l_bucket")) & (F.col("node") < F.col("l_node")) & (F.col("label") != F.col("l_label"))
-                            & may_match("weight", "l_weight") & (_agreeing("sketch", "l_sketch", bands * rows) >= least_agreeing))
+                            & may_match("weight", "l_weight") & may_agree("", "l_"))
                  .select(F.col("node").alias("x"), F.col("l_node").alias("y")))
         if last:
             compare(pairs)
-            drop(rest, per)
+            drop(rest)
             break
-        star = cut(stars(rest.join(per.where(~few).select("bucket"), "bucket", "left_semi")).drop("l_mates").distinct(), "dart-star", n_rows)
+        star = cut(stars(rest.where(~few)).drop("l_mates").distinct(), "dart-star", n_rows)
         compare(pairs.unionByName(likely(star.where(may_match("weight", "l_weight")).select(F.col("node").alias("x"), F.col("l_node").alias("y")))))
-        drop(rest, per)
+        drop(rest)
 
         # circles: the nodes compared with one leader; open if two of them are not of one class
         by_class = named(star, "node", "label")
@@ -407,12 +457,12 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", sh
         drop(beside)
         n_rows = buckets.count()
 
-    grouped = copies.select("node", "first").join(sized(labels, n_labels), "node")
+    grouped = texts.select("node", "first").join(sized(labels, n_labels), "node")
     heads = grouped.groupBy("label").agg(F.min("first").alias("head"))
     grouped = cut(grouped.join(heads, "label").select("node", "head"), "dart-classes", n_labels)
-    classes = copies.select("copy", "node", "first").join(sized(grouped, n_labels), "node", "left").select(
+    classes = texts.select("copy", "node", "first").join(sized(grouped, n_labels), "node", "left").select(
         "copy", F.coalesce("head", "first").alias("head"))
-    out = cut(rows_all.select("copy", "key", "row").join(classes, "copy").select(
+    out = cut(ids.join(classes, "copy").select(
         F.col("key").alias(key), "row", F.col("head.key").alias("class_id"), F.col("head.row").alias("class_row")), "dart-result")
     keep(out)
     return out
