@@ -475,11 +475,12 @@ def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text
     Of rows equal in ``key`` and ``text`` one stays.
     """
     classes = near_duplicates(docs, key, text, **how)
-    heads = cut(classes.select(F.col("class_id").alias("head"), F.col("class_row").alias("head_row")).distinct(), "dart-heads")
-    keep(heads)
+    apart = ~(F.col(key).eqNullSafe(F.col("class_id")) & (F.col("row") == F.col("class_row")))
+    others = cut(classes.where(apart).select(F.col(key).alias("other"), F.col("row").alias("other_row")).distinct(), "dart-others")
+    keep(others)
     # the row itself is one column, so that its columns may have any names
     rows = docs.select(F.struct("*").alias("doc"), F.col(key).alias("key"), _row_id(key, text).alias("row"))
-    kept = rows.join(heads, F.col("key").eqNullSafe(F.col("head")) & (F.col("row") == F.col("head_row")), "left_semi")
+    kept = rows.join(sized(others, others.count()), F.col("key").eqNullSafe(F.col("other")) & (F.col("row") == F.col("other_row")), "left_anti")
     repeated = classes.groupBy(key, "row").count().where("count > 1")
     if not repeated.isEmpty():
         rest = [F.col(f"doc.`{c}`") for c in docs.columns if c not in (key, text)]

@@ -42,3 +42,21 @@ def test_units_are_read_for_few_pairs(spark, monkeypatch, each):
     got = dm.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), pairs_per_row=each)
     assert order(got_of(got)) == order(brute(rows))
     assert 0 < sum(compared) < 200  # of about 900 pairs
+
+
+def test_texts_are_not_shuffled_for_few_others(spark):
+    """The rows that don't represent their class are few and counted: the texts are held against them as they are read."""
+    rows = [(i, f"{i} " + " ".join(f"w{i}x{j}" for j in range(9)), "s") for i in range(40)] + [(90, "same text", "a"), (91, "same text", "b"), (91, "same text", "a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        kept = dm.drop_near_duplicates(docs.where("doc_id != 91"))
+        plan = kept._jdf.queryExecution().toString()
+        assert "SortMergeJoin" not in plan and "LeftAnti" in plan
+        assert kept.count() == 41
+        assert sorted(r.doc_id for r in dm.drop_near_duplicates(docs).collect()) == [*range(40), 90]
+        null = spark.createDataFrame([(None, "a b", "x"), (None, "a b", "x"), (None, "A b", "y"), (1, "a  b", "z")], docs.schema)
+        assert [r.doc_id for r in dm.drop_near_duplicates(null).collect()] == [1]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
