@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from tabreg.llm.common import cut, sized
 from tabreg.llm.components import components
 from tabreg.sources.scratch import drop, keep, scoped
-from tabreg.llm.textnum import WordHashes, mix, salted, slices, unit
+from tabreg.llm.textnum import WordHashes, mix, remembers, salted, slices, unit, working
 
 SHINGLE = 5
 SIMILARITY = (4, 5)  # 0.8 as a fraction, so that the comparison is exact
@@ -44,6 +44,7 @@ SLICE_CHARS = 1_000_000
 #: Rank strips: [0, 2^-5), [2^-5, 2^-4) ... [1/2, 1), then of width 1.
 _LOW_STRIPS = 6
 _HASHES = WordHashes()
+remembers("dartminhash", _HASHES.clear)
 
 
 def _strip(i: int) -> tuple[float, float]:
@@ -71,6 +72,7 @@ def elements(texts: list[str], shingle: int = SHINGLE) -> tuple[np.ndarray, np.n
     lower-cased runs between white space; a text of fewer than ``shingle``
     words is one shingle, one without words has no elements.
     """
+    working("dartminhash")
     words = [_HASHES.array(t.lower().split()) for t in texts]
     n = np.array([len(w) for w in words], np.int64)
     flat = np.concatenate(words) if len(words) else np.zeros(0, np.uint64)

@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tabreg.llm.common import cut, lookup_join, packed
+from tabreg.llm.textnum import working
 from tabreg.sources.scratch import drop, keep, scoped
 
 #: Bound on the labelled rows of a language that the character model is fitted on, in expectation.
@@ -61,6 +62,7 @@ def _slices(texts: list[str]) -> Iterator[list[str]]:
 
 def _trigrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """(text index, code) of the overlapping three symbols that end in a letter; runs of other marks count as one."""
+    working("language_id")
     raw = [f" {t.lower()} ".encode() for t in texts]
     doc = np.repeat(np.arange(len(raw), dtype=np.int32), [len(r) for r in raw])
     s = _CLASS[np.frombuffer(b"".join(raw), np.uint8)]

@@ -22,6 +22,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tabreg.llm.textnum import remembers, working
+
 SEQ_LEN = 2048
 END_ID = 1
 #: Windows a task keeps open before it levels them, encoded words it remembers, full windows it gathers.
@@ -133,6 +135,9 @@ class ByteBpeEncoder:
             return b"".join([self.plain(parts[0]), *map(rest, parts[1:])])
 
 
+remembers("packing", ByteBpeEncoder._kept.clear)
+
+
 class SumOfSquares:
     """Places pieces (doc, start, ids as bytes) into windows of ``size`` tokens."""
 
@@ -239,6 +244,7 @@ def pack(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId() << 32
+        working("packing")
         encoder, packer = ByteBpeEncoder.of(tokenizer), SumOfSquares(seq_len, max_open)
         end = np.array([end_id], "<u4").tobytes()
         made = 0

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tabreg.llm.common import cut
-from tabreg.llm.textnum import WordHashes, mix, slices
+from tabreg.llm.textnum import WordHashes, mix, remembers, slices, working
 
 DEPTH = 2
 ADD = 0.1  # of the unigram model
@@ -46,6 +46,7 @@ _END = np.uint64(0x5851F42D4C957F2D)
 _K = np.uint64(0x9E3779B97F4A7C15)
 _WORD, _STATE, _STEP = np.uint64(0x1234567), np.uint64(0x2345671), np.uint64(0x3456712)
 _HASHES = WordHashes()
+remembers("suffix_tree_lm", _HASHES.clear)
 
 
 def tokens(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -53,6 +54,7 @@ def tokens(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
     A-Z are lower-cased; words are runs without ASCII white space.
     """
+    working("suffix_tree_lm")
     words = [_HASHES.array(t.encode().translate(_LOWER).split()) for t in texts]
     n = np.array([len(w) + 1 for w in words], np.int64)
     last = np.cumsum(n) - 1

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 
@@ -25,6 +25,26 @@ def unit(x: np.ndarray) -> np.ndarray:
     return (x >> np.uint64(11)).astype(np.float64) * 2.0**-53
 
 
+#: What makes each operator forget the words it remembers, by operator.
+_FORGET: dict[str, Callable[[], object]] = {}
+
+
+def remembers(operator: str, forget: Callable[[], object]) -> None:
+    """``operator`` remembers words from task to task in a Python worker; ``forget`` drops them."""
+    _FORGET[operator] = forget
+
+
+def working(operator: str) -> None:
+    """A task of ``operator`` runs in this Python worker: the words of the others are dropped.
+
+    Spark goes on using a worker for other operators, and each executor holds
+    several; so a worker holds the words of one operator at most.
+    """
+    for other, forget in _FORGET.items():
+        if other != operator:
+            forget()
+
+
 class WordHashes(dict):
     """64-bit hashes of words (str or bytes); the more frequent are remembered."""
 
