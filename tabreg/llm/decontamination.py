@@ -78,7 +78,7 @@ def _windows(items: DataFrame, key: str, text: str, window: int, shingle: int) -
 def _filter(keys: DataFrame):
     """A broadcast bit filter of 16 MB at most."""
     none = np.zeros(0, np.uint64)
-    return keys.sparkSession.sparkContext.broadcast(_Lookup(none, none.astype(float), _filter_of(keys)))
+    return keys.sparkSession.sparkContext.broadcast(_Lookup(none, none.astype(float), *_filter_of(keys)))
 
 
 def _frequencies(docs: DataFrame, text: str, widths: list[int], known) -> DataFrame:

@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from tabreg.llm.common import cut
 from tabreg.llm.textnum import WordHashes, mix, remembers, slices, working
+from tabreg.sources.scratch import drop, keep, scoped
 
 DEPTH = 2
 ADD = 0.1  # of the unigram model
@@ -36,8 +37,9 @@ OWN = 0.5  # weight a state gives its parent beyond the unkept counts
 KEPT_GAIN = 6.0  # log likelihood (nats) a transition must gain over its parent
 STATE_GAIN = 1.0  # log10 likelihood a state must gain over its parent
 HOT_ENTRIES = 1_000_000
-#: The filter has 16 bits a key, and 2^19 to 2^27 bits.
+#: The filter has 16 bits a key or more, and 2^19 to 2^27 bits.
 _LEAST_BITS, _MOST_BITS = 19, 27
+_ODD = (1, 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93)
 SLICE_CHARS = 2_000_000
 GROUP_TOKENS = 1_000_000
 
@@ -104,6 +106,10 @@ class _Places:
             won = self.slot[at] == todo
             self.key[at[won]] = keys[todo[won]]
             at, todo = (at[~won] + 1) & int(self.mask), todo[~won]
+        self.keys = keys
+
+    def __reduce__(self):
+        return _Places, (self.keys,)  # a third of the slots' size in a broadcast's files
 
     def find(self, keys: np.ndarray) -> np.ndarray:
         """The place, or -1."""
@@ -142,13 +148,17 @@ def _signed(x: np.ndarray) -> np.ndarray:
 class _Lookup:
     """Values of the table's hot entries, and a filter of the keys of all entries."""
 
-    def __init__(self, keys: np.ndarray, values: np.ndarray, bits: np.ndarray):
-        self.places, self.values, self.bits = _Places(keys), values, bits
+    def __init__(self, keys: np.ndarray, values: np.ndarray, bits: np.ndarray, probes: int = 1):
+        self.places, self.values, self.bits, self.probes = _Places(keys), values, bits, probes
         self.shift = np.uint64(64 - (len(bits) * 8 - 1).bit_length())
 
     def maybe(self, keys: np.ndarray) -> np.ndarray:
-        slot = keys >> self.shift
-        return (self.bits[(slot >> np.uint64(3)).astype(np.int64)] >> (slot & np.uint64(7)).astype(np.uint8)) & np.uint8(1) == 1
+        out, left = np.zeros(len(keys), bool), np.arange(len(keys))
+        for probe in range(self.probes):
+            slot = _slot(keys[left], probe, self.shift)
+            left = left[(self.bits[(slot >> np.uint64(3)).astype(np.int64)] >> (slot & np.uint64(7)).astype(np.uint8)) & np.uint8(1) == 1]
+        out[left] = True
+        return out
 
     def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(value or 0, is a hot entry, may be another entry)."""
@@ -161,20 +171,30 @@ class _Lookup:
         return value, hit, more
 
 
-def _filter_of(keys: DataFrame) -> np.ndarray:
-    """A bit array, a power of two long, with the upper bits of every key (long) set.
+def _slot(keys: np.ndarray, probe: int, shift: np.uint64) -> np.ndarray:
+    """The bit of each key for a probe: the upper bits of the key, or of its product with an odd number."""
+    return keys * np.uint64(_ODD[probe]) >> shift
+
 
+def _filter_of(keys: DataFrame) -> tuple[np.ndarray, int]:
+    """A bit array, a power of two long, with the bits of every key (long) set, and the number of bits a key has.
+
+    A key has as many bits as let the fewest other keys through, four at most.
     Built in pieces by range; only the array, of bounded size, reaches the driver.
     """
-    width = min(_MOST_BITS, max(_LEAST_BITS, (16 * keys.count()).bit_length()))
+    n = keys.count()
+    width = min(_MOST_BITS, max(_LEAST_BITS, (16 * n).bit_length()))
+    probes = max(1, min(len(_ODD), int(0.69 * 2**width / max(1, n))))
     shift, size = np.uint64(64 - width), 1 << (_LEAST_BITS - 3)
 
     def bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros(1 << (width - 3), np.uint8)
         for b in batches:
-            slot = b.column(0).to_numpy(zero_copy_only=False).view(np.uint64) >> shift
-            np.bitwise_or.at(seen, (slot >> np.uint64(3)).astype(np.int64),
-                             np.left_shift(np.uint8(1), (slot & np.uint64(7)).astype(np.uint8)))
+            own = b.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
+            for probe in range(probes):
+                slot = _slot(own, probe, shift)
+                np.bitwise_or.at(seen, (slot >> np.uint64(3)).astype(np.int64),
+                                 np.left_shift(np.uint8(1), (slot & np.uint64(7)).astype(np.uint8)))
         used = [c for c in range(len(seen) // size) if seen[c * size:(c + 1) * size].any()]
         squeeze = zstandard.ZstdCompressor(level=1).compress
         yield pa.RecordBatch.from_arrays(
@@ -191,7 +211,7 @@ def _filter_of(keys: DataFrame) -> np.ndarray:
     for row in (keys.mapInArrow(bits, "chunk int, bits binary").groupBy("chunk")
                 .applyInArrow(union, "chunk int, bits binary").toLocalIterator()):
         out[row["chunk"] * size:(row["chunk"] + 1) * size] = np.frombuffer(bytes(row["bits"]), np.uint8)
-    return out
+    return out, probes
 
 
 def _most_frequent(table: DataFrame, n: str, most: int):
@@ -218,7 +238,7 @@ def _lookup_of(table: DataFrame, hot_entries: int):
     level, least = _most_frequent(table, "n", hot_entries)
     hot = table.where(level >= least).select("key", "value").toArrow()
     return table.sparkSession.sparkContext.broadcast(_Lookup(
-        hot.column("key").to_numpy().view(np.uint64), hot.column("value").to_numpy(), _filter_of(table.select("key"))))
+        hot.column("key").to_numpy().view(np.uint64), hot.column("value").to_numpy(), *_filter_of(table.select("key"))))
 
 
 def _prepared(docs: DataFrame, key: str, text: str) -> DataFrame:
@@ -364,13 +384,15 @@ def _gain(n, expected):
 
 
 def _filled(rows: DataFrame, table: DataFrame, ident: list[str]) -> DataFrame:
-    """Add to log_p the table's values of the keys still open. Rows are unique in ``ident``."""
-    part = rows.where(F.size("open") > 0).select(*ident, F.explode("open").alias("key"))
+    """Add to log_p the table's values of the keys still open. Rows are unique in ``ident``; only those with such keys are shuffled."""
+    todo = rows.where(F.size("open") > 0)
+    part = todo.select(*ident, F.explode("open").alias("key"))
     more = (part.join(table.select("key", "value"), "key").groupBy(*ident).agg(F.sum("value").alias("more")))
-    return (rows.join(more, ident, "left").withColumn("log_p", F.col("log_p") + F.coalesce("more", F.lit(0.0)))
-            .drop("more", "open"))
+    todo = todo.join(more, ident, "left").withColumn("log_p", F.col("log_p") + F.coalesce("more", F.lit(0.0)))
+    return rows.where(F.size("open") == 0).drop("open").unionByName(todo.drop("more", "open"))
 
 
+@scoped
 def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", depth: int = DEPTH,
         hot_entries: int = HOT_ENTRIES):
     """Learn from the training rows (crc32 of the key's text mod 10 is not 0).
@@ -379,6 +401,13 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", depth: int = D
     the broadcast lookup; and {train_tokens, distinct, unseen} with the log10
     probability of a word never seen. No training rows: an empty model.
     """
+    model, parts = _fit(docs, key, text, depth, hot_entries)
+    keep(*parts)
+    return model
+
+
+def _fit(docs: DataFrame, key: str, text: str, depth: int, hot_entries: int):
+    """The model of ``fit`` and the written tables that it reads."""
     rows = _prepared(docs, key, text)
     counts = cut(_word_counts(rows), "pst-words")
     total = counts.agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).first()
@@ -394,17 +423,25 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", depth: int = D
 
     value = F.log10((F.col("n") + ADD) / ADD)
     table = cut(hashed(counts).select("key", value.alias("value"), "n", F.lit(True).alias("word")), "pst-unigrams")
+    parts = [table]
     lookup = _lookup_of(table, hot_entries)
     codes = _codes_of(counts, hot_entries)
+    drop(counts)
     groups = max(1, -(-n_all // GROUP_TOKENS))
-    parents, earlier = None, None
+    parents, earlier, seen_before = None, None, None
     for d in range(1, depth + 1):
         found = _frequent(_steps(rows, d, groups, parents, codes), d, lookup, codes, p0, d == depth)
         counted = cut(found, "pst-frequent")
+        lookup.destroy()  # all that used these is written
+        if parents is not None:
+            parents.destroy()
+        if d == depth:
+            codes.destroy()
         found = _filled(counted.where("not chance").drop("chance"), table, ["state", "step"])
         if d == 1:
             prior = table.where("word").select(F.col("key").alias("open_before"), F.col("value").alias("_b"))
-            found = found.join(prior, "open_before", "left").withColumn("before", F.coalesce("_b", "before")).drop("_b")
+            todo = found.where("open_before != 0").join(prior, "open_before", "left")
+            found = found.where("open_before = 0").unionByName(todo.withColumn("before", F.coalesce("_b", "before")).drop("_b"))
             found = found.withColumn("seen", F.round(F.pow(F.lit(10.0), "before") * ADD - ADD).cast("long"))
         else:
             found = found.join(earlier, "state")
@@ -412,6 +449,8 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", depth: int = D
         gain = F.col("n") * F.log(F.col("n") / expected) - (F.col("n") - expected)
         kept = cut(found.where((F.col("n") > expected) & (gain >= KEPT_GAIN)).select("state", "step", "n", "log_p", "seen"),
                    "pst-kept")
+        if seen_before is not None:
+            drop(seen_before)
         sums = kept.groupBy("state").agg(F.sum("n").alias("kept_n"), F.max("seen").alias("seen"))
         rest = F.col("seen") - F.col("kept_n") + OWN
         sums = sums.select("state", rest.alias("rest"), F.log10(rest / (F.col("seen") + OWN)).alias("hand_on"),
@@ -419,23 +458,26 @@ def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", depth: int = D
         steps = kept.join(sums, "state").withColumn(
             "value", F.log10(1 + F.col("n") / (F.col("rest") * F.pow(F.lit(10.0), "log_p"))))
         steps = cut(steps, "pst-steps")
+        drop(kept)
         good = (steps.groupBy("state").agg(F.sum(F.col("n") * F.col("value")).alias("won"), F.first("hand_on").alias("hand_on"),
                                            F.first("_seen").alias("n"))
                 .where(F.col("won") + F.col("n") * F.col("hand_on") >= STATE_GAIN))
         good = cut(good.select("state", "hand_on", "n"), "pst-states")
-        steps = steps.join(good.select("state"), "state", "left_semi")
+        told = steps.join(good.select("state"), "state", "left_semi")
         entries = cut(_entries(good.select(F.col("state").alias("k"), F.col("hand_on").alias("value"), "n", F.lit(True).alias("is_state"))
-                           .unionByName(steps.select(F.col("step").alias("k"), "value", "n", F.lit(False).alias("is_state")))), "pst-table")
+                           .unionByName(told.select(F.col("step").alias("k"), "value", "n", F.lit(False).alias("is_state")))), "pst-table")
+        drop(steps, good)
+        parts.append(entries)
         table = table.unionByName(entries)
-        lookup.destroy()  # all that used it is written
-        if parents is not None:
-            parents.destroy()
         if d < depth:
+            seen_before = counted
             earlier = counted.select(F.col("step").alias("state"), F.col("n").alias("seen"))
             none = np.zeros(0, np.uint64)
-            parents = docs.sparkSession.sparkContext.broadcast(_Lookup(none, none.astype(float), _filter_of(earlier.select("state"))))
+            parents = docs.sparkSession.sparkContext.broadcast(_Lookup(none, none.astype(float), *_filter_of(earlier.select("state"))))
+        else:
+            drop(counted)
         lookup = _lookup_of(table, hot_entries)
-    return table, lookup, {"train_tokens": n_all, "distinct": v, "unseen": p0}
+    return (table, lookup, {"train_tokens": n_all, "distinct": v, "unseen": p0}), parts
 
 
 def _entries(rows: DataFrame) -> DataFrame:
@@ -481,23 +523,30 @@ def score(docs: DataFrame, model, key: str = "doc_id", text: str = "text", depth
                     open_doc.append(doc[at][more])
                     open_key.append(k[more])
             open_doc, open_key = np.concatenate(open_doc), np.concatenate(open_key)
-            order = np.argsort(open_doc, kind="stable")
-            lists = np.split(_signed(open_key[order]), np.searchsorted(open_doc[order], np.arange(1, m)))
+            order = np.lexsort([open_key, open_doc])
+            open_doc, open_key = open_doc[order], open_key[order]
+            first = np.ones(len(order), bool)  # a key is asked for once a row
+            first[1:] = (open_doc[1:] != open_doc[:-1]) | (open_key[1:] != open_key[:-1])
+            first = np.flatnonzero(first)
+            ends = np.searchsorted(open_doc[first], np.arange(1, m))
+            lists = np.split(_signed(open_key[first]), ends)
+            times = np.split(np.diff(first, append=len(order)).astype(np.int32), ends)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(task + made + np.arange(m)), pa.array([p[1] for p in part], key_type),
                  pa.array([p[0] for p in part], pa.bool_()), pa.array(size), pa.array(known.astype(np.int64)),
-                 pa.array(base), pa.array(gain), pa.array(lists, pa.list_(pa.int64()))],
-                names=["row", "key", "held", "size", "known", "base", "gain", "open"])
+                 pa.array(base), pa.array(gain), pa.array(lists, pa.list_(pa.int64())), pa.array(times, pa.list_(pa.int32()))],
+                names=["row", "key", "held", "size", "known", "base", "gain", "open", "times"])
             made += m
 
     found = cut(rows.mapInArrow(run, f"row long, key {kind}, held boolean, size long, known long, base double, "
-                                     "gain double, open array<long>"), "pst-scores")
-    asked = found.select("row", F.explode("open").alias("key")).groupBy("key", "row").agg(F.count(F.lit(1)).alias("times"))
+                                     "gain double, open array<long>, times array<int>"), "pst-scores")
+    keep(found)
+    asked = found.select("row", F.explode(F.arrays_zip("open", "times")).alias("_a")).select("row", F.col("_a.open").alias("key"), "_a.times")
     word = F.col("word").cast("int")
     more = (asked.join(table.select("key", "value", "word"), "key").groupBy("row").agg(
         F.sum(F.col("times") * word).alias("m_known"), F.sum(F.col("times") * F.col("value") * word).alias("m_base"),
         F.sum(F.col("times") * F.col("value") * (1 - word)).alias("m_gain")))
-    out = found.drop("open").join(more, "row", "left").na.fill(0, ["m_known", "m_base", "m_gain"])
+    out = found.drop("open", "times").join(more, "row", "left").na.fill(0, ["m_known", "m_base", "m_gain"])
     base = F.col("base") + F.col("m_base")
     return out.select(F.col("key").alias(key), F.col("held").alias("held_out"), F.col("size").alias("n_tokens"),
                       (F.col("known") + F.col("m_known")).cast("long").alias("n_known"),
@@ -505,6 +554,7 @@ def score(docs: DataFrame, model, key: str = "doc_id", text: str = "text", depth
                       (base + F.col("gain") + F.col("m_gain")).alias("score"))
 
 
+@scoped
 def fit_and_score(docs: DataFrame, key: str = "doc_id", text: str = "text", depth: int = DEPTH,
                   hot_entries: int = HOT_ENTRIES) -> DataFrame:
     """Fit on the training rows and score every row of ``docs``.
@@ -513,4 +563,6 @@ def fit_and_score(docs: DataFrame, key: str = "doc_id", text: str = "text", dept
     Repeated rows are learnt and scored each. Without training rows every
     token is unseen. An empty table gives no rows; further columns are not read.
     """
-    return score(docs, fit(docs, key, text, depth, hot_entries), key, text, depth)
+    model, parts = _fit(docs, key, text, depth, hot_entries)
+    keep(*parts)
+    return score(docs, model, key, text, depth)
