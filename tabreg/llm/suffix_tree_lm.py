@@ -18,16 +18,18 @@ joined. No table is ever whole in one place.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tabreg.llm.common import cut
+from tabreg.llm.common import cut, shuffle_partitions
 from tabreg.llm.textnum import WordHashes, mix, remembers, slices, working
 from tabreg.sources.scratch import drop, keep, scoped
 
@@ -37,35 +39,67 @@ OWN = 0.5  # weight a state gives its parent beyond the unkept counts
 KEPT_GAIN = 6.0  # log likelihood (nats) a transition must gain over its parent
 STATE_GAIN = 1.0  # log10 likelihood a state must gain over its parent
 HOT_ENTRIES = 1_000_000
+HOT_CONTEXTS = 200_000  # of two or more words, at most, whose transitions are dealt out one by one
 #: The filter has 16 bits a key or more, and 2^19 to 2^27 bits.
 _LEAST_BITS, _MOST_BITS = 19, 27
 _ODD = (1, 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93)
-SLICE_CHARS = 2_000_000
-GROUP_TOKENS = 1_000_000
+SLICE_CHARS = 4_000_000
+GROUP_TOKENS = 600_000
+ASK_PARTS = 4  # of the table, joined one after another, so that a part's keys only are on their way; a power of two
+CHOICE_ROWS = 50_000  # transitions whose states are judged together
 
+_SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 _END = np.uint64(0x5851F42D4C957F2D)
 _K = np.uint64(0x9E3779B97F4A7C15)
 _WORD, _STATE, _STEP = np.uint64(0x1234567), np.uint64(0x2345671), np.uint64(0x3456712)
-_HASHES = WordHashes()
+REMEMBERED = 20_000  # words
+_HASHES = WordHashes(REMEMBERED)
 remembers("suffix_tree_lm", _HASHES.clear)
 
 
+def _hashes(words: np.ndarray) -> np.ndarray:
+    """Hashes of distinct words; among many, most are rare, and looking them up costs more than hashing them."""
+    if len(words) <= REMEMBERED:
+        return _HASHES.array(words)
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+
+
+def _worded(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(document index and position of all tokens, hashes of the distinct words, each token's place among them)."""
+    working("suffix_tree_lm")
+    data = [t.encode().translate(_LOWER) + b" " for t in texts]
+    chars = np.frombuffer(b"".join(data), np.uint8)
+    space = _SPACE[chars]
+    edges = np.flatnonzero(np.diff(~space, prepend=False))  # starts and ends of words in turn; the last is a space
+    sizes = np.diff(edges)[::2]
+    words = pa.Array.from_buffers(pa.large_binary(), len(sizes), [
+        None, pa.py_buffer(np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)), pa.py_buffer(chars[~space])]).dictionary_encode()
+    vocabulary = np.append(_hashes(words.dictionary.to_numpy(zero_copy_only=False)), _END)
+    ends = np.searchsorted(edges[::2], np.cumsum([len(x) for x in data], dtype=np.int64))
+    n = np.diff(ends, prepend=0) + 1
+    last = np.cumsum(n) - 1
+    word = np.full(int(n.sum()), len(vocabulary) - 1, np.int32)
+    inner = np.ones(len(word), bool)
+    inner[last] = False
+    word[inner] = words.indices.to_numpy()
+    return np.repeat(np.arange(len(texts)), n), np.arange(len(word)) - np.repeat(last + 1 - n, n), vocabulary, word
+
+
 def tokens(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(document index, position, word hash) of all tokens; every text ends with one end token.
 
     A-Z are lower-cased; words are runs without ASCII white space.
     """
-    working("suffix_tree_lm")
-    words = [_HASHES.array(t.encode().translate(_LOWER).split()) for t in texts]
-    n = np.array([len(w) + 1 for w in words], np.int64)
-    last = np.cumsum(n) - 1
-    flat = np.full(int(n.sum()), _END)
-    inner = np.ones(len(flat), bool)
-    inner[last] = False
-    if len(words):
-        flat[inner] = np.concatenate(words)
-    return np.repeat(np.arange(len(texts)), n), np.arange(len(flat)) - np.repeat(last + 1 - n, n), flat
+    doc, pos, vocabulary, word = _worded(texts)
+    return doc, pos, vocabulary[word]
+
+
+def _runs(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(order that sorts ``x``, where each distinct value starts in it)."""
+    order = np.argsort(x)
+    x = x[order]
+    return order, np.flatnonzero(np.concatenate([[len(x) > 0], x[1:] != x[:-1]])[:len(x)])
 
 
 def states(pos: np.ndarray, w: np.ndarray, depth: int) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -256,10 +290,10 @@ def _word_counts(rows: DataFrame) -> DataFrame:
             c = np.bincount(at, np.concatenate(held_counts)).astype(np.int64)
             return pa.RecordBatch.from_arrays([pa.array(_signed(w)), pa.array(c)], names=["word", "c"])
         for part in slices(batches, SLICE_CHARS, 0, 1):
-            w, c = np.unique(tokens([p[1] for p in part])[2], return_counts=True)
-            held_keys.append(w)
-            held_counts.append(c)
-            size += len(w)
+            _, _, vocabulary, word = _worded([p[1] for p in part])
+            held_keys.append(vocabulary)
+            held_counts.append(np.bincount(word, minlength=len(vocabulary)))
+            size += len(vocabulary)
             if size > GROUP_TOKENS:
                 yield out()
                 held_keys, held_counts, size = [], [], 0
@@ -273,60 +307,58 @@ def _word_counts(rows: DataFrame) -> DataFrame:
 def _steps(rows: DataFrame, d: int, groups: int, parents, codes) -> DataFrame:
     """group, blob: counted runs of ``d`` words and the next, of the training texts.
 
-    Groups are ranges of a hash of the run, so that no frequent word gathers
-    in one. ``parents``: a filter of the runs of ``d`` words seen twice or more.
+    Groups are ranges of a hash. ``parents``: the most frequent runs of ``d`` words, and a filter
+    of all seen twice or more. What follows a run is in one group, so that it counts the run as well;
+    but what follows a most frequent one, or a single word (``parents`` is None), is dealt out
+    by a hash of run and next word, so that no frequent word gathers in one.
     """
     def run(batches):
         pack = zstandard.ZstdCompressor(level=1).compress
-        held, size = [], 0
-
-        def out():
-            cols = [np.concatenate(c) for c in zip(*held)]
-            step, first, n = np.unique(cols[0], return_index=True, return_counts=True)
-            group = (step >> np.uint64(32)) * np.uint64(groups) >> np.uint64(32)
-            ends = np.searchsorted(group, np.arange(groups), side="right")
+        for part in slices(batches, SLICE_CHARS, 0, 1):
+            _, pos, vocabulary, word = _worded([p[1] for p in part])
+            at, state, step = states(pos, vocabulary[word], d)[-1]
+            place = step
+            if parents is not None:
+                _, hot, more = parents.value.find(state)
+                use = hot | more
+                at, step, place = at[use], step[use], np.where(hot, step, state)[use]
+            if not len(at):
+                continue
+            order, starts = _runs(step)
+            first, n = order[starts], np.diff(starts, append=len(order)).astype(np.uint32)
+            at, group = at[first], (place[first] >> np.uint64(32)) * np.uint64(groups) >> np.uint64(32)
+            code = codes.value.codes(vocabulary)
+            words = [word[at - j] for j in range(d, -1, -1)]  # oldest first
+            coded = [code[w] for w in words]
+            order = np.argsort(coded[0].astype(np.uint64) << np.uint64(32) | coded[1])
+            order = order[np.argsort(group[order].astype(np.uint16 if groups < 2**16 else np.uint64), kind="stable")]
+            n, coded, words = n[order], [c[order] for c in coded], [w[order] for w in words]
+            ends = np.searchsorted(group[order], np.arange(groups), side="right")
             ids, blobs, lo = [], [], 0
-            words = [c[first] for c in cols[1:]]
-            coded = [codes.value.codes(w) for w in words]
             for g, hi in enumerate(ends):
                 if hi > lo:
-                    order = lo + np.lexsort([c[lo:hi] for c in coded[::-1]])
-                    parts = [n[order].astype(np.uint32)]
+                    parts = [n[lo:hi]]
                     for w, c in zip(words, coded):
-                        parts += [c[order], w[order][c[order] == np.uint32(0xFFFFFFFF)]]
+                        parts += [c[lo:hi], vocabulary[w[lo:hi][c[lo:hi] == np.uint32(0xFFFFFFFF)]]]
                     parts[1] = np.diff(parts[1], prepend=np.uint32(0))
                     ids.append(g)
                     blobs.append(pack(np.array([hi - lo, *map(len, parts[2::2])], np.uint64).tobytes() + b"".join(x.tobytes() for x in parts)))
                 lo = hi
-            return pa.RecordBatch.from_arrays([pa.array(ids, pa.int32()), pa.array(blobs, pa.binary())],
-                                              names=["group", "blob"])
-        for part in slices(batches, SLICE_CHARS, 0, 1):
-            _, pos, w = tokens([p[1] for p in part])
-            at, state, step = states(pos, w, d)[-1]
-            if parents is not None:
-                use = parents.value.maybe(state)
-                at, step = at[use], step[use]
-            held.append((step, *[w[at - j] for j in range(d, -1, -1)]))  # the words, oldest first
-            size += len(at)
-            if size > GROUP_TOKENS:
-                yield out()
-                held, size = [], 0
-        if size:
-            yield out()
+            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int32()), pa.array(blobs, pa.binary())], names=["group", "blob"])
 
     return rows.where("not held").select("key", "text").mapInArrow(run, "group int, blob binary")
 
 
-def _frequent(steps: DataFrame, d: int, lookup, codes, p0: float, last: bool) -> DataFrame:
+def _frequent(steps: DataFrame, d: int, lookup, parents, codes, p0: float, last: bool) -> DataFrame:
     """Transitions counted twice or more, with what the lookup tells of their parents.
 
-    Those that are surely no more than chance are dropped at the last depth; before, they
-    are marked, for they are contexts of the next depth all the same.
+    Those that are surely no more than chance are dropped at the last depth; before, only
+    their step and n are given, for they are contexts of the next depth all the same.
     state, step, n, log_p (of the word in the parent state, as far
-    as looked up), before (unigram value of the word before, depth 1 only),
-    open (table keys still to be looked up), open_before, chance.
+    as looked up), seen (count of the state, as far as known),
+    open (table keys still to be looked up), open_before (that of the word before, depth 1 only), chance.
     """
-    schema = "state long, step long, n long, log_p double, before double, open array<long>, open_before long, chance boolean"
+    schema = "state long, step long, n long, log_p double, seen double, open array<long>, open_before long, chance boolean"
 
     def merged(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
         unpack = zstandard.ZstdDecompressor().decompress
@@ -344,36 +376,49 @@ def _frequent(steps: DataFrame, d: int, lookup, codes, p0: float, last: bool) ->
                 at += 4 * m + 8 * rare[i]
             parts.append(fields)
         n, *words = [np.concatenate(c) for c in zip(*parts)]
-        step, first, at = np.unique(_state(words), return_index=True, return_inverse=True)
-        count = np.bincount(at, n).astype(np.int64)
+        del parts, fields
+        state = _state(words[:-1])
+        step = mix(state * _K + words[-1])
+        order, starts = _runs(step)
+        first, count = order[starts], np.add.reduceat(n[order], starts, dtype=np.int64)
         use = count >= 2
-        first, step, count = first[use], step[use], count[use]
-        *earlier, w = [c[first] for c in words]
-        state, before = _state(earlier), earlier[-1]
-        inner = [_state(earlier[-j:]) for j in range(1, d)]
-        look = lookup.value
+        kept = first[use]
+        state, step, seen = state[first], step[kept], np.zeros(len(kept))
+        if d > 1:
+            order, starts = _runs(state)
+            total = np.empty(len(state))
+            total[order] = np.repeat(np.add.reduceat(count[order], starts), np.diff(starts, append=len(order)))
+            value, hot, _ = parents.value.find(state[use])
+            seen = np.where(hot, value, total[use])
+        state, count = state[use], count[use]
+        *earlier, w = [c[kept] for c in words]
+        look, none = lookup.value, np.uint64(0)
         keys = [mix(w ^ _WORD)]
-        for k in inner:
+        for j in range(1, d):
+            k = _state(earlier[-j:])
             keys += [mix(k ^ _STATE), mix(mix(k * _K + w) ^ _STEP)]
-        log_p, unknown = np.full(len(w), p0), []
+        log_p, unknown, before = np.full(len(w), p0), [], np.zeros(len(w), np.uint64)
         for k in keys:
             value, _, more = look.find(k)
             log_p += value
-            unknown.append(np.where(more, k, np.uint64(0)))
-        prior, _, more_before = look.find(mix(before ^ _WORD))
-        unknown = np.stack(unknown, 1)
-        chance = np.zeros(len(w), bool)
+            unknown.append(np.where(more, k, none))
         if d == 1:
-            seen = 0.1 * 10.0**prior - 0.1
-            sure = ~more_before & (unknown == 0).all(axis=1)
-            chance = sure & (_gain(count, seen * 10.0**log_p) < KEPT_GAIN)
-        keep = ~chance if last else np.ones(len(w), bool)
-        open_keys = [_signed(r[r != 0]) if r.any() else np.zeros(0, np.int64) for r in unknown[keep]]
+            k = mix(earlier[0] ^ _WORD)
+            value, _, more = look.find(k)
+            seen, before = np.round(ADD * 10.0**value - ADD), np.where(more, k, none)
+        unknown = np.stack(unknown, 1)
+        sure = (before == 0) & (unknown == 0).all(axis=1)
+        chance = sure & (_gain(count, seen * 10.0**log_p) < KEPT_GAIN)
+        if last:
+            state, step, count, log_p, seen, before, unknown = [x[~chance] for x in (state, step, count, log_p, seen, before, unknown)]
+            chance = chance[~chance]
+        state, log_p, seen = [np.where(chance, x.dtype.type(0), x) for x in (state, log_p, seen)]
+        ends = np.cumsum((unknown != 0).sum(axis=1))
         return pa.table([
-            pa.array(_signed(state[keep])), pa.array(_signed(step[keep])), pa.array(count[keep]),
-            pa.array(log_p[keep]), pa.array(prior[keep]), pa.array(open_keys, pa.list_(pa.int64())),
-            pa.array(_signed(np.where(more_before, mix(before ^ _WORD), np.uint64(0))[keep])), pa.array(chance[keep])],
-            names=["state", "step", "n", "log_p", "before", "open", "open_before", "chance"])
+            pa.array(_signed(state)), pa.array(_signed(step)), pa.array(count), pa.array(log_p), pa.array(seen),
+            pa.ListArray.from_arrays(pa.array(np.append(0, ends).astype(np.int32)), pa.array(_signed(unknown[unknown != 0]))),
+            pa.array(_signed(before)), pa.array(chance)],
+            names=["state", "step", "n", "log_p", "seen", "open", "open_before", "chance"])
 
     return steps.groupBy("group").applyInArrow(merged, schema)
 
@@ -383,13 +428,48 @@ def _gain(n, expected):
     return np.where(n > expected, n * np.log(np.maximum(n, 1) / np.maximum(expected, 1e-300)) - (n - expected), 0.0)
 
 
-def _filled(rows: DataFrame, table: DataFrame, ident: list[str]) -> DataFrame:
-    """Add to log_p the table's values of the keys still open. Rows are unique in ``ident``; only those with such keys are shuffled."""
-    todo = rows.where(F.size("open") > 0)
-    part = todo.select(*ident, F.explode("open").alias("key"))
-    more = (part.join(table.select("key", "value"), "key").groupBy(*ident).agg(F.sum("value").alias("more")))
-    todo = todo.join(more, ident, "left").withColumn("log_p", F.col("log_p") + F.coalesce("more", F.lit(0.0)))
-    return rows.where(F.size("open") == 0).drop("open").unionByName(todo.drop("more", "open"))
+def _chosen(found: DataFrame, table: DataFrame) -> DataFrame:
+    """key, value, n, word: the entries of the transitions and states that are kept.
+
+    What the table has for the keys still open comes as further rows of a transition, to be added up.
+    A group holds whole states, never all that follows a word, but what ``_frequent`` has left of it.
+    """
+    open_keys = F.transform("open", lambda k: F.struct(k.alias("key"), F.lit(False).alias("before")))
+    of_before = F.array(F.struct(F.col("open_before").alias("key"), F.lit(True).alias("before")))
+    asked = (found.where("size(open) > 0 OR open_before != 0")
+             .select("state", "step", F.explode(F.concat(open_keys, of_before)).alias("_a")).select("state", "step", "_a.*").where("key != 0"))
+    told = asked.join(table.select("key", "value"), "key").select(
+        "state", "step", F.lit(0).cast("long").alias("n"), F.when(F.col("before"), 0.0).otherwise(F.col("value")).alias("log_p"),
+        F.when(F.col("before"), F.round(F.pow(F.lit(10.0), "value") * ADD - ADD)).otherwise(0.0).alias("seen"))
+    rows = found.select("state", "step", "n", "log_p", "seen").unionByName(told)
+    groups = max(2 * shuffle_partitions(found.sparkSession), -(-found.count() // CHOICE_ROWS))
+
+    def judged(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
+        state, step = [group.column(c).to_numpy().view(np.uint64) for c in ("state", "step")]
+        order, starts = _runs(step)
+        state, step = state[order][starts], step[order][starts]
+        n, log_p, seen = [np.add.reduceat(group.column(c).to_numpy()[order], starts) for c in ("n", "log_p", "seen")]
+        keep = _gain(n, seen * 10.0**log_p) >= KEPT_GAIN
+        state, step, n, log_p, seen = [x[keep] for x in (state, step, n, log_p, seen)]
+        order, starts = _runs(state)
+        step, n, log_p, seen = [x[order] for x in (step, n, log_p, seen)]
+        if len(starts):
+            size = np.diff(starts, append=len(order))
+            state, seen = state[order][starts], seen[starts]
+            rest = seen - np.add.reduceat(n, starts) + OWN
+            hand_on = np.log10(rest / (seen + OWN))
+            value = np.log10(1 + n / (np.repeat(rest, size) * 10.0**log_p))
+            good = np.add.reduceat(n * value, starts) + seen * hand_on >= STATE_GAIN
+            told = np.repeat(good, size)
+            key = np.concatenate([mix(state[good] ^ _STATE), mix(step[told] ^ _STEP)])
+            value, n = np.concatenate([hand_on[good], value[told]]), np.concatenate([seen[good].astype(np.int64), n[told]])
+        else:
+            key, value, n = step, log_p, n
+        return pa.table([pa.array(_signed(key)), pa.array(value), pa.array(n), pa.array(np.zeros(len(key), bool))],
+                        names=["key", "value", "n", "word"])
+
+    return (rows.withColumn("group", F.pmod("state", F.lit(groups)).cast("int")).groupBy("group")
+            .applyInArrow(judged, "key long, value double, n long, word boolean"))
 
 
 @scoped
@@ -428,69 +508,25 @@ def _fit(docs: DataFrame, key: str, text: str, depth: int, hot_entries: int):
     codes = _codes_of(counts, hot_entries)
     drop(counts)
     groups = max(1, -(-n_all // GROUP_TOKENS))
-    parents, earlier, seen_before = None, None, None
+    parents = None
     for d in range(1, depth + 1):
-        found = _frequent(_steps(rows, d, groups, parents, codes), d, lookup, codes, p0, d == depth)
-        counted = cut(found, "pst-frequent")
+        counted = cut(_frequent(_steps(rows, d, groups, parents, codes), d, lookup, parents, codes, p0, d == depth), "pst-frequent")
         lookup.destroy()  # all that used these is written
         if parents is not None:
             parents.destroy()
         if d == depth:
             codes.destroy()
-        found = _filled(counted.where("not chance").drop("chance"), table, ["state", "step"])
-        if d == 1:
-            prior = table.where("word").select(F.col("key").alias("open_before"), F.col("value").alias("_b"))
-            todo = found.where("open_before != 0").join(prior, "open_before", "left")
-            found = found.where("open_before = 0").unionByName(todo.withColumn("before", F.coalesce("_b", "before")).drop("_b"))
-            found = found.withColumn("seen", F.round(F.pow(F.lit(10.0), "before") * ADD - ADD).cast("long"))
-        else:
-            found = found.join(earlier, "state")
-        expected = F.col("seen") * F.pow(F.lit(10.0), "log_p")
-        gain = F.col("n") * F.log(F.col("n") / expected) - (F.col("n") - expected)
-        kept = cut(found.where((F.col("n") > expected) & (gain >= KEPT_GAIN)).select("state", "step", "n", "log_p", "seen"),
-                   "pst-kept")
-        if seen_before is not None:
-            drop(seen_before)
-        sums = kept.groupBy("state").agg(F.sum("n").alias("kept_n"), F.max("seen").alias("seen"))
-        rest = F.col("seen") - F.col("kept_n") + OWN
-        sums = sums.select("state", rest.alias("rest"), F.log10(rest / (F.col("seen") + OWN)).alias("hand_on"),
-                           F.col("seen").alias("_seen"))
-        steps = kept.join(sums, "state").withColumn(
-            "value", F.log10(1 + F.col("n") / (F.col("rest") * F.pow(F.lit(10.0), "log_p"))))
-        steps = cut(steps, "pst-steps")
-        drop(kept)
-        good = (steps.groupBy("state").agg(F.sum(F.col("n") * F.col("value")).alias("won"), F.first("hand_on").alias("hand_on"),
-                                           F.first("_seen").alias("n"))
-                .where(F.col("won") + F.col("n") * F.col("hand_on") >= STATE_GAIN))
-        good = cut(good.select("state", "hand_on", "n"), "pst-states")
-        told = steps.join(good.select("state"), "state", "left_semi")
-        entries = cut(_entries(good.select(F.col("state").alias("k"), F.col("hand_on").alias("value"), "n", F.lit(True).alias("is_state"))
-                           .unionByName(told.select(F.col("step").alias("k"), "value", "n", F.lit(False).alias("is_state")))), "pst-table")
-        drop(steps, good)
+        entries = cut(_chosen(counted.where("not chance"), table), "pst-table")
         parts.append(entries)
         table = table.unionByName(entries)
         if d < depth:
-            seen_before = counted
-            earlier = counted.select(F.col("step").alias("state"), F.col("n").alias("seen"))
-            none = np.zeros(0, np.uint64)
-            parents = docs.sparkSession.sparkContext.broadcast(_Lookup(none, none.astype(float), *_filter_of(earlier.select("state"))))
-        else:
-            drop(counted)
+            parents = _lookup_of(counted.select(F.col("step").alias("key"), F.col("n").cast("double").alias("value"), "n"),
+                                 min(hot_entries, HOT_CONTEXTS))
+        drop(counted)
         lookup = _lookup_of(table, hot_entries)
     return (table, lookup, {"train_tokens": n_all, "distinct": v, "unseen": p0}), parts
 
 
-def _entries(rows: DataFrame) -> DataFrame:
-    def run(batches):
-        for b in batches:
-            k = b.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
-            state = b.column(3).to_numpy(zero_copy_only=False).astype(bool)
-            k = mix(k ^ np.where(state, _STATE, _STEP))
-            yield pa.RecordBatch.from_arrays([pa.array(_signed(k)), b.column(1), b.column(2),
-                                              pa.array(np.zeros(len(k), bool))], names=["key", "value", "n", "word"])
-    return rows.mapInArrow(run, "key long, value double, n long, word boolean")
-
-
 def score(docs: DataFrame, model, key: str = "doc_id", text: str = "text", depth: int = DEPTH) -> DataFrame:
     """One row per row of ``docs``: key, held_out, n_tokens, n_known, train_tokens, base_score, score."""
     table, lookup, facts = model
@@ -498,6 +534,9 @@ def score(docs: DataFrame, model, key: str = "doc_id", text: str = "text", depth
     rows = _prepared(docs, key, text)
     kind = docs.schema[key].dataType.simpleString()
 
+    asked_names = [f"{c}{p}" for p in range(ASK_PARTS) for c in ("open", "times")]
+    part_shift = np.uint64(65 - ASK_PARTS.bit_length())
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, made = TaskContext.get().partitionId() << 36, 0
         look, key_type = lookup.value, None
@@ -508,50 +547,74 @@ def score(docs: DataFrame, model, key: str = "doc_id", text: str = "text", depth
                 key_type = b.schema.field(1).type
                 yield b
         for part in slices(seen(), SLICE_CHARS // 2, 0, 1, 2):
-            doc, pos, w = tokens([p[2] for p in part])
+            doc, pos, vocabulary, word = _worded([p[2] for p in part])
             m = len(part)
             size = np.bincount(doc, minlength=m)
-            value, hit, more = look.find(mix(w ^ _WORD))
+            k = mix(vocabulary ^ _WORD)
+            value, hit, more = [x[word] for x in look.find(k)]
             base = np.bincount(doc, value, m) + size * p0
             known = np.bincount(doc, hit, m)
-            open_doc, open_key = [doc[more]], [mix(w ^ _WORD)[more]]
+            open_doc, open_key = [doc[more]], [k[word[more]]]
             gain = np.zeros(m)
-            for at, state, step in states(pos, w, depth):
-                for k in (mix(state ^ _STATE), mix(step ^ _STEP)):
-                    value, _, more = look.find(k)
-                    gain += np.bincount(doc[at], value, m)
-                    open_doc.append(doc[at][more])
+            for d, (at, state, step) in enumerate(states(pos, vocabulary[word], depth), 1):
+                at_doc = doc[at]
+                if d == 1:  # the state is a word
+                    k, of = mix(_state([vocabulary]) ^ _STATE), word[at - 1]
+                    value, hit, more = [x[of] for x in look.find(k)]
+                    open_key.append(k[of[more]])
+                else:
+                    k = mix(state ^ _STATE)
+                    value, hit, more = look.find(k)
                     open_key.append(k[more])
+                open_doc.append(at_doc[more])
+                gain += np.bincount(at_doc, value, m)
+                there = hit | more  # only a state has transitions
+                k, at_doc = mix(step[there] ^ _STEP), at_doc[there]
+                value, _, more = look.find(k)
+                gain += np.bincount(at_doc, value, m)
+                open_doc.append(at_doc[more])
+                open_key.append(k[more])
             open_doc, open_key = np.concatenate(open_doc), np.concatenate(open_key)
-            order = np.lexsort([open_key, open_doc])
+            order = np.argsort(open_key)
+            order = order[np.argsort(open_doc[order].astype(np.uint16), kind="stable")]  # a slice has 20 000 rows at most
             open_doc, open_key = open_doc[order], open_key[order]
             first = np.ones(len(order), bool)  # a key is asked for once a row
             first[1:] = (open_doc[1:] != open_doc[:-1]) | (open_key[1:] != open_key[:-1])
             first = np.flatnonzero(first)
-            ends = np.searchsorted(open_doc[first], np.arange(1, m))
-            lists = np.split(_signed(open_key[first]), ends)
-            times = np.split(np.diff(first, append=len(order)).astype(np.int32), ends)
+            times = np.diff(first, append=len(order)).astype(np.int32)
+            open_doc, open_key, lists = open_doc[first], open_key[first], []
+            for p in range(ASK_PARTS):
+                own = open_key >> part_shift == p
+                ends = pa.array(np.searchsorted(open_doc[own], np.arange(m + 1)).astype(np.int32))
+                lists += [pa.ListArray.from_arrays(ends, pa.array(_signed(open_key[own]))), pa.ListArray.from_arrays(ends, pa.array(times[own]))]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(task + made + np.arange(m)), pa.array([p[1] for p in part], key_type),
                  pa.array([p[0] for p in part], pa.bool_()), pa.array(size), pa.array(known.astype(np.int64)),
-                 pa.array(base), pa.array(gain), pa.array(lists, pa.list_(pa.int64())), pa.array(times, pa.list_(pa.int32()))],
-                names=["row", "key", "held", "size", "known", "base", "gain", "open", "times"])
+                 pa.array(base), pa.array(gain), *lists],
+                names=["row", "key", "held", "size", "known", "base", "gain", *asked_names])
             made += m
 
-    found = cut(rows.mapInArrow(run, f"row long, key {kind}, held boolean, size long, known long, base double, "
-                                     "gain double, open array<long>, times array<int>"), "pst-scores")
-    keep(found)
-    asked = found.select("row", F.explode(F.arrays_zip("open", "times")).alias("_a")).select("row", F.col("_a.open").alias("key"), "_a.times")
-    word = F.col("word").cast("int")
-    more = (asked.join(table.select("key", "value", "word"), "key").groupBy("row").agg(
-        F.sum(F.col("times") * word).alias("m_known"), F.sum(F.col("times") * F.col("value") * word).alias("m_base"),
-        F.sum(F.col("times") * F.col("value") * (1 - word)).alias("m_gain")))
-    out = found.drop("open", "times").join(more, "row", "left").na.fill(0, ["m_known", "m_base", "m_gain"])
+    lists = ", ".join(f"open{p} array<long>, times{p} array<int>" for p in range(ASK_PARTS))
+    found = cut(rows.mapInArrow(run, f"row long, key {kind}, held boolean, size long, known long, base double, gain double, {lists}"), "pst-asked")
+    word, told = F.col("word").cast("int"), []
+    for p in range(ASK_PARTS):
+        asked = found.select("row", F.explode(F.arrays_zip(f"open{p}", f"times{p}")).alias("_a")).select(
+            "row", F.col(f"_a.open{p}").alias("key"), F.col(f"_a.times{p}").alias("times"))
+        part = table.where(F.shiftrightunsigned("key", int(part_shift)) == p).select("key", "value", "word")
+        told.append(cut(asked.join(part, "key").groupBy("row").agg(
+            F.sum(F.col("times") * word).alias("m_known"), F.sum(F.col("times") * F.col("value") * word).alias("m_base"),
+            F.sum(F.col("times") * F.col("value") * (1 - word)).alias("m_gain")), "pst-told"))
+    sums = [F.sum(c).alias(c) for c in ("m_known", "m_base", "m_gain")]
+    more = functools.reduce(DataFrame.unionByName, told).groupBy("row").agg(*sums)
+    out = found.drop(*asked_names).join(more, "row", "left").na.fill(0, ["m_known", "m_base", "m_gain"])
     base = F.col("base") + F.col("m_base")
-    return out.select(F.col("key").alias(key), F.col("held").alias("held_out"), F.col("size").alias("n_tokens"),
-                      (F.col("known") + F.col("m_known")).cast("long").alias("n_known"),
-                      F.lit(facts["train_tokens"]).cast("long").alias("train_tokens"), base.alias("base_score"),
-                      (base + F.col("gain") + F.col("m_gain")).alias("score"))
+    out = cut(out.select(F.col("key").alias(key), F.col("held").alias("held_out"), F.col("size").alias("n_tokens"),
+                         (F.col("known") + F.col("m_known")).cast("long").alias("n_known"),
+                         F.lit(facts["train_tokens"]).cast("long").alias("train_tokens"), base.alias("base_score"),
+                         (base + F.col("gain") + F.col("m_gain")).alias("score")), "pst-scores")
+    drop(found, *told)
+    keep(out)
+    return out
 
 
 @scoped
